@@ -1,0 +1,4 @@
+"""No streaming operators: every job here is a bounded batch over a finished corpus.
+
+Column functions and ``explode_tokens`` also work on a streaming DataFrame.
+"""
