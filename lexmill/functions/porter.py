@@ -1,11 +1,14 @@
-"""Porter stemming (M. F. Porter, 1980, with the author's later revisions) as Column expressions.
-
-Each step maps a word to a word and reads its argument several times, so the
-steps are chained as ``transform`` calls over an array: the lambda variable is
-bound once per step and the expression stays linear in size. State travels
-inside the word: ``Y`` is a consonant y, a final ``#`` says that step 1b took
-off -ed or -ing, and a final ``.`` shields words that are too short to stem.
-Tokens hold only letters, digits and underscores, so the marks cannot clash.
+"""Porter stemming (M. F. Porter, 1980, with the author's later revisions) as a Column expression.
+
+Each step maps a word to a word and reads it several times, so the steps are
+chained as ``transform`` calls over an array: the lambda variable is bound once
+per step and the expression stays linear in size. The steps are SQL text,
+which Spark parses in one go; building them from Column calls takes seconds.
+
+State travels inside the word: ``Y`` is a consonant y, a final ``#`` says that
+step 1b took off -ed or -ing, and a final ``.`` shields words that are too short
+to stem. Tokens hold only letters, digits and underscores, so the marks cannot
+clash.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ MEASURE_OVER_1 = f"^{CONSONANT}*{VOWEL}+{CONSONANT}+{VOWEL}+{CONSONANT}"
 SHORT_END = f"{CONSONANT}{VOWEL}[^aeiouywxY]$"
 SHORT_BEFORE_E = f"{CONSONANT}{VOWEL}[^aeiouywxY]e$"
 CONSONANT_Y = "(^|[aeiou])y"
-UNDOUBLED_EXCEPT = "lsz"
+DOUBLE_STAYS = "[lsz]$"
 STEP_2 = [
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
     ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
@@ -41,30 +44,30 @@ STEP_4 = [
 ]
 
 
-def _less(word: Column, n: int) -> Column:
-    return F.substring(word, F.lit(1), F.length(word) - n)
+def _less(n: int) -> str:
+    return f"left(w, length(w) - {n})"
 
 
-def _longer_than_0(stem: Column) -> Column:
-    return stem.rlike(MEASURE_OVER_0)
+def _ends(*suffixes: str) -> str:
+    return " OR ".join(f"endswith(w, '{suffix}')" for suffix in suffixes)
 
 
-def _longer_than_1(stem: Column) -> Column:
-    return stem.rlike(MEASURE_OVER_1)
+def _case(*branches: tuple[str, str]) -> str:
+    """The first condition that holds decides; otherwise the word stays."""
+    return "CASE " + " ".join(f"WHEN {test} THEN {result}" for test, result in branches) + " ELSE w END"
 
 
-def _replaceable(stem: Column, suffix: str) -> Column:
-    return _longer_than_0(stem)
+def _over_0(stem: str) -> str:
+    return f"{stem} RLIKE '{MEASURE_OVER_0}'"
 
 
-def _droppable(stem: Column, suffix: str) -> Column:
-    ok = _longer_than_1(stem)
-    return (stem.endswith("s") | stem.endswith("t")) & ok if suffix == "ion" else ok
+def _over_1(stem: str) -> str:
+    return f"{stem} RLIKE '{MEASURE_OVER_1}'"
 
 
 def _first_suffix(
-    word: Column, rules: Sequence[tuple[str, str]], condition: Callable[[Column, str], Column], shortest_stem: int
-) -> Column:
+    rules: Sequence[tuple[str, str]], condition: Callable[[str, str], str], shortest_stem: int
+) -> str:
     """The first matching suffix decides, also when its condition then fails.
 
     Suffixes with different final letters exclude each other, so the rules are
@@ -73,109 +76,104 @@ def _first_suffix(
     """
     groups: dict[str, list[tuple[str, str]]] = {}
     for suffix, new in rules:
-        groups.setdefault(suffix[-1], []).append((suffix, new))
+        stem = _less(len(suffix))
+        replaced = f"concat({stem}, '{new}')" if new else stem
+        groups.setdefault(suffix[-1], []).append((_ends(suffix), _case((condition(stem, suffix), replaced))))
     shortest = min(len(suffix) for suffix, _ in rules) + shortest_stem
-    by_letter = F.when(F.length(word) < shortest, word)
-    for letter, group in groups.items():
-        chain = F
-        for suffix, new in group:
-            stem = _less(word, len(suffix))
-            replaced = F.concat(stem, F.lit(new)) if new else stem
-            chain = chain.when(word.endswith(suffix), F.when(condition(stem, suffix), replaced).otherwise(word))
-        by_letter = by_letter.when(word.endswith(letter), chain.otherwise(word))
-    return by_letter.otherwise(word)
-
-
-def _mark(word: Column) -> Column:
-    marked = F.replace(F.regexp_replace(word, CONSONANT_Y, "$1Y"), F.lit("yy"), F.lit("yY"))
-    return F.when(F.length(word) <= 2, F.concat(word, F.lit("."))).otherwise(
-        F.when(word.contains("y"), marked).otherwise(word)
-    )
+    by_letter = [(_ends(letter), _case(*group)) for letter, group in groups.items()]
+    return _case((f"length(w) < {shortest}", "w"), *by_letter)
 
 
-def _plural(word: Column) -> Column:
-    return F.when(
-        word.endswith("s"),
-        F.when(word.endswith("sses") | word.endswith("ies"), _less(word, 2))
-        .when(word.endswith("ss"), word)
-        .otherwise(_less(word, 1)),
-    ).otherwise(word)
+def _replaceable(stem: str, suffix: str) -> str:
+    return _over_0(stem)
 
 
-def _past(word: Column) -> Column:
-    def cut(n: int) -> Column:
-        return F.when(_less(word, n).rlike(VOWEL), F.concat(_less(word, n), F.lit("#"))).otherwise(word)
+def _droppable(stem: str, suffix: str) -> str:
+    return f"{_over_1(stem)} AND {stem} RLIKE '[st]$'" if suffix == "ion" else _over_1(stem)
 
-    return (
-        F.when(word.endswith("eed"), F.when(_longer_than_0(_less(word, 3)), _less(word, 1)).otherwise(word))
-        .when(word.endswith("ed"), cut(2))
-        .when(word.endswith("ing"), cut(3))
-        .otherwise(word)
-    )
 
+def _mark() -> str:
+    marked = f"replace(regexp_replace(w, '{CONSONANT_Y}', '$1Y'), 'yy', 'yY')"
+    return _case(("length(w) <= 2", "concat(w, '.')"), ("contains(w, 'y')", marked))
 
-def _repair(word: Column) -> Column:
-    stem = _less(word, 1)
-    last, before = F.substring(word, -2, 1), F.substring(word, -3, 1)
-    doubled = (last == before) & last.rlike(CONSONANT)
-    short = _longer_than_0(stem) & ~_longer_than_1(stem) & stem.rlike(SHORT_END)
-    ends = word.endswith("at#") | word.endswith("bl#") | word.endswith("iz#")
-    return F.when(
-        word.endswith("#"),
-        F.when(ends, F.concat(stem, F.lit("e")))
-        .when(doubled, F.when(last.isin(*UNDOUBLED_EXCEPT), stem).otherwise(_less(word, 2)))
-        .when(short, F.concat(stem, F.lit("e")))
-        .otherwise(stem),
-    ).otherwise(word)
 
+def _plural() -> str:
+    ends_in_s = _case((_ends("sses", "ies"), _less(2)), (_ends("ss"), "w"), ("true", _less(1)))
+    return _case((_ends("s"), ends_in_s))
 
-def _final_y(word: Column) -> Column:
-    stem = _less(word, 1)
-    return F.when(
-        word.endswith("y") | word.endswith("Y"),
-        F.when(stem.rlike(VOWEL), F.concat(stem, F.lit("i"))).otherwise(word),
-    ).otherwise(word)
 
+def _past() -> str:
+    def cut(n: int) -> str:
+        return _case((f"{_less(n)} RLIKE '{VOWEL}'", f"concat({_less(n)}, '#')"))
 
-def _double_suffix(word: Column) -> Column:
-    return _first_suffix(word, STEP_2, _replaceable, 2)
+    return _case(
+        (_ends("eed"), _case((_over_0(_less(3)), _less(1)))), (_ends("ed"), cut(2)), (_ends("ing"), cut(3))
+    )
 
 
-def _inner_suffix(word: Column) -> Column:
-    return _first_suffix(word, STEP_3, _replaceable, 2)
+def _repair() -> str:
+    stem = _less(1)
+    with_e = f"concat({stem}, 'e')"
+    # A consonant Y after a vowel y is a double letter, too.
+    doubled = f"lower(substring(w, -2, 1)) = substring(w, -3, 1) AND {stem} RLIKE '{CONSONANT}$'"
+    short = f"{_over_0(stem)} AND NOT {_over_1(stem)} AND {stem} RLIKE '{SHORT_END}'"
+    return _case(
+        (
+            _ends("#"),
+            _case(
+                (_ends("at#", "bl#", "iz#"), with_e),
+                (doubled, f"if({stem} RLIKE '{DOUBLE_STAYS}', {stem}, {_less(2)})"),
+                (short, with_e),
+                ("true", stem),
+            ),
+        )
+    )
 
 
-def _last_suffix(word: Column) -> Column:
-    return _first_suffix(word, [(suffix, "") for suffix in STEP_4], _droppable, 4)
+def _final_y() -> str:
+    return _case((_ends("y", "Y"), _case((f"{_less(1)} RLIKE '{VOWEL}'", f"concat({_less(1)}, 'i')"))))
 
 
-def _final_e(word: Column) -> Column:
+def _final_e() -> str:
     # A final vowel does not change the measure, so the whole word is tested for it.
-    drop = _longer_than_0(word) & (_longer_than_1(word) | ~word.rlike(SHORT_BEFORE_E))
-    return F.when(word.endswith("e"), F.when(drop, _less(word, 1)).otherwise(word)).otherwise(word)
+    drop = f"{_over_0('w')} AND ({_over_1('w')} OR NOT w RLIKE '{SHORT_BEFORE_E}')"
+    return _case((_ends("e"), _case((drop, _less(1)))))
 
 
-def _final_l(word: Column) -> Column:
-    return F.when(word.endswith("ll"), F.when(_longer_than_1(word), _less(word, 1)).otherwise(word)).otherwise(word)
+def _final_l() -> str:
+    return _case((_ends("ll"), _case((_over_1("w"), _less(1)))))
 
 
-def _unmark(word: Column) -> Column:
-    return F.when(word.endswith("."), _less(word, 1)).when(word.contains("Y"), F.lower(word)).otherwise(word)
+def _unmark() -> str:
+    return _case((_ends("."), _less(1)), ("contains(w, 'Y')", "lower(w)"))
 
 
 STEPS = [
-    _mark, _plural, _past, _repair, _final_y, _double_suffix, _inner_suffix, _last_suffix, _final_e,
-    _final_l, _unmark,
-]
+    _mark(),
+    _plural(),
+    _past(),
+    _repair(),
+    _final_y(),
+    _first_suffix(STEP_2, _replaceable, 2),
+    _first_suffix(STEP_3, _replaceable, 2),
+    _first_suffix([(suffix, "") for suffix in STEP_4], _droppable, 4),
+    _final_e(),
+    _final_l(),
+    _unmark(),
+]
 
 
-def porter_array(words: Column) -> Column:
-    """Stem every element of an ``array<string>`` of lowercase words."""
+def porter_array(words: str) -> Column:
+    """Stem every element of an array column, given by name, of lowercase words."""
+    stems = f"`{words}`"
     for step in STEPS:
-        words = F.transform(words, step)
-    return words
+        stems = f"transform({stems}, w -> {step})"
+    return F.expr(stems)
 
 
-def porter(word: Column) -> Column:
-    """Stem one lowercase word."""
-    return F.get(porter_array(F.array(word)), F.lit(0))
+def porter(word: str) -> Column:
+    """Stem a string column, given by name, of lowercase words."""
+    stems = f"array(`{word}`)"
+    for step in STEPS:
+        stems = f"transform({stems}, w -> {step})"
+    return F.expr(f"{stems}[0]")

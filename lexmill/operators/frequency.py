@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.formats import COLLECTION_SIZE, tf_idf
-from lexmill.functions.porter import porter_array
+from lexmill.functions.porter import porter, porter_array
 from lexmill.functions.text import DF, TF, TokenProfile, explode_runs, explode_tokens, token_array
 from lexmill.operators.counts import without_stop_words
 from lexmill.operators.stems import attach_stems
@@ -34,45 +34,40 @@ def document_frequency(
     ``stems`` joins a table from ``stem_vocabulary`` instead.
     """
     literals = as_literals(stop)
+    inline = stem and stems is None
     if doc is None and literals is not None and stems is None:
-        terms = df.select(F.explode(_distinct_terms(F.col(text), profile, literals, stem)).alias("term"))
+        terms = _row_terms(df, text, [], profile, literals, inline)
     else:
         if doc is None:
             df, doc = df.withColumn("_row", F.monotonically_increasing_id()), "_row"
-        terms = _doc_terms(df, text, doc, profile, stop, literals, stem, stems).distinct()
+        if literals is not None:
+            terms = _row_terms(df, text, [doc], profile, literals, inline)
+        else:
+            terms = _token_terms(df, text, doc, profile, stop, inline)
+        if stems is not None:
+            terms = attach_stems(terms, stems, "term").where(F.length("term") >= profile.min_stem_len)
+        terms = terms.distinct()
     return terms.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def _distinct_terms(text: Column, profile: TokenProfile, stop: Sequence[str], stem: bool) -> Column:
-    terms = F.array_distinct(token_array(text, profile, stop))
-    if stem:
-        terms = F.filter(porter_array(terms), lambda s: F.length(s) >= profile.min_stem_len)
-        terms = F.array_distinct(terms)
-    return terms
+def _row_terms(
+    df: DataFrame, text: str, keep: list[str], profile: TokenProfile, stop: Sequence[str], stem: bool
+) -> DataFrame:
+    """``keep, term`` with the terms of each row once."""
+    terms = F.array_distinct(token_array(F.col(text), profile, stop))
+    if not stem:
+        return df.select(*keep, F.explode(terms).alias("term"))
+    stemmed = F.filter(porter_array("_terms"), lambda s: F.length(s) >= profile.min_stem_len)
+    return df.select(*keep, terms.alias("_terms")).select(*keep, F.explode(F.array_distinct(stemmed)).alias("term"))
 
 
-def _doc_terms(
-    df: DataFrame,
-    text: str,
-    doc: str,
-    profile: TokenProfile,
-    stop: DataFrame | Sequence[str] | None,
-    literals: list[str] | None,
-    stem: bool,
-    stems: DataFrame | None,
+def _token_terms(
+    df: DataFrame, text: str, doc: str, profile: TokenProfile, stop: DataFrame | Sequence[str], stem: bool
 ) -> DataFrame:
-    """``doc, term`` rows, distinct within each input row where that is free."""
-    if literals is not None:
-        inline = stem and stems is None
-        array = _distinct_terms(F.col(text), profile, literals, inline)
-        rows = df.select(doc, F.explode(array).alias("term"))
-    else:
-        rows = without_stop_words(explode_tokens(df, profile, text=text, keep=[doc], out="term"), stop, "term")
-        if stem and stems is None:
-            rows = rows.select(doc, F.get(porter_array(F.array("term")), F.lit(0)).alias("term"))
-            rows = rows.where(F.length("term") >= profile.min_stem_len)
-    if stems is not None:
-        rows = attach_stems(rows, stems, "term").where(F.length("term") >= profile.min_stem_len)
+    """``doc, term`` with one row per token, for stop lists that have to be joined."""
+    rows = without_stop_words(explode_tokens(df, profile, text=text, keep=[doc], out="term"), stop, "term")
+    if stem:
+        rows = rows.select(doc, porter("term").alias("term")).where(F.length("term") >= profile.min_stem_len)
     return rows
 
 
@@ -94,11 +89,7 @@ def term_frequency(
     """
     literals = as_literals(stop)
     if literals is None:
-        # A stop list too long for literals is joined, one row per token.
-        rows = without_stop_words(explode_tokens(df, profile, text=text, keep=[doc], out="term"), stop, "term")
-        if stem:
-            rows = rows.select(doc, F.get(porter_array(F.array("term")), F.lit(0)).alias("term"))
-            rows = rows.where(F.length("term") >= profile.min_stem_len)
+        rows = _token_terms(df, text, doc, profile, stop, stem)
         counted = rows.select(doc, "term", F.lit(1).cast("bigint").alias("tf"))
         row_is_document = False
     else:
@@ -114,10 +105,11 @@ def _row_counts(
     df: DataFrame, doc: str, text: str, profile: TokenProfile, stop: list[str], stem: bool
 ) -> DataFrame:
     """``doc, term, tf`` counted inside each row, by run length in the sorted tokens."""
-    terms = token_array(F.col(text), profile, stop)
+    rows = df.select(doc, token_array(F.col(text), profile, stop).alias("_terms"))
+    terms = F.col("_terms")
     if stem:
-        terms = F.filter(porter_array(terms), lambda s: F.length(s) >= profile.min_stem_len)
-    return explode_runs(df, terms, name="term", count="tf", keep=[doc])
+        terms = F.filter(porter_array("_terms"), lambda s: F.length(s) >= profile.min_stem_len)
+    return explode_runs(rows, terms, name="term", count="tf", keep=[doc])
 
 
 def merge_counts(counted: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -12,7 +12,7 @@ from lexmill.functions.text import DF, TokenProfile, explode_tokens
 def stem_vocabulary(df: DataFrame, *, text: str = "text", profile: TokenProfile = DF) -> DataFrame:
     """``term, stem`` for each distinct token: the corpus is reduced to its vocabulary before stemming."""
     vocabulary = explode_tokens(df, profile, text=text, out="term").distinct()
-    return vocabulary.select("term", porter(F.col("term")).alias("stem"))
+    return vocabulary.select("term", porter("term").alias("stem"))
 
 
 def attach_stems(tokens: DataFrame, stems: DataFrame, column: str) -> DataFrame:

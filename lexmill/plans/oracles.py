@@ -157,7 +157,7 @@ def stem_ctes(words: str) -> str:
         f"WHEN suffix(s, 'ed') THEN CASE WHEN {vowel(less(2))} THEN {less(2)} || '#' ELSE s END "
         f"WHEN suffix(s, 'ing') THEN CASE WHEN {vowel(less(3))} THEN {less(3)} || '#' ELSE s END ELSE s END",
         f"CASE WHEN NOT suffix(s, '#') THEN s WHEN regexp_matches(s, '(at|bl|iz)#$') THEN {less(1)} || 'e' "
-        f"WHEN substr(s, length(s) - 1, 1) = substr(s, length(s) - 2, 1) AND regexp_matches(s, '[^aeiouy]#$') "
+        f"WHEN lower(substr(s, length(s) - 1, 1)) = substr(s, length(s) - 2, 1) AND regexp_matches(s, '[^aeiouy]#$') "
         f"THEN CASE WHEN regexp_matches(s, '[lsz]#$') THEN {less(1)} ELSE {less(2)} END "
         f"WHEN {over0(less(1))} AND NOT {over1(less(1))} AND {short(less(1))} THEN {less(1)} || 'e' "
         f"ELSE {less(1)} END",

@@ -1,0 +1,128 @@
+import random
+
+import pytest
+from brute import window_pairs
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from lexmill.functions.formats import stripe_text
+from lexmill.functions.text import PAIRS
+from lexmill.operators.cooccur import pairs, stripes
+from pyspark.sql import functions as F
+
+STRATEGIES = ["nested", "filter_last", "band_join"]
+
+
+def lines(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "line string")
+
+
+def as_dict(df):
+    return {(r.w, r.u): r.n for r in df.collect()}
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("preagg", ["task", "line"])
+def test_words_outside_the_vocabulary_take_up_a_position(spark, strategy, preagg):
+    options = {"strategy": strategy, "preagg": preagg}
+    assert as_dict(pairs(lines(spark, "a x b"), ["a", "b"], 1, **options)) == {}
+    assert as_dict(pairs(lines(spark, "a x b"), ["a", "b"], 2, **options)) == {("a", "b"): 1, ("b", "a"): 1}
+    assert as_dict(pairs(lines(spark, "a a a"), ["a"], 1, **options)) == {("a", "a"): 4}
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_edges(spark, strategy):
+    df = lines(spark, "", "a", "--a b", "b", "... ", "aéb")
+    assert as_dict(pairs(df, ["a", "b"], 5, strategy=strategy)) == {("a", "b"): 2, ("b", "a"): 2}
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_equals_brute_force_on_long_skewed_lines(spark, strategy):
+    rnd = random.Random(7)
+    texts = [
+        " ".join(rnd.choices(["hot", "a", "b", "c", "x", "y"], weights=[6, 2, 2, 1, 3, 3], k=n))
+        for n in (1, 2, 3, 40, 400, 3000)
+    ]
+    vocabulary = {"hot", "a", "b", "c"}
+    for d in (1, 2, 3, 7):
+        expected = window_pairs(texts, vocabulary, d)
+        assert as_dict(pairs(lines(spark, *texts), sorted(vocabulary), d, strategy=strategy)) == expected
+    vocabulary = spark.createDataFrame([(w,) for w in vocabulary], "word string")
+    assert as_dict(pairs(lines(spark, *texts), vocabulary, 2, strategy=strategy)) == window_pairs(
+        texts, {"hot", "a", "b", "c"}, 2
+    )
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    texts=st.lists(st.text("ab c'1", max_size=25), min_size=1, max_size=5),
+    distance=st.integers(1, 4),
+)
+def test_symmetric_even_diagonal_and_equal_to_brute_force(spark, texts, distance):
+    found = as_dict(pairs(lines(spark, *texts), ["a", "b", "ab", "c"], distance, profile=PAIRS))
+    assert found == window_pairs(texts, {"a", "b", "ab", "c"}, distance)
+    assert all(found[u, w] == n for (w, u), n in found.items())
+    assert all(n % 2 == 0 for (w, u), n in found.items() if w == u)
+
+
+def test_counts_do_not_fall_with_distance(spark):
+    df = lines(spark, "a b c a b x a c b", "c c a")
+    last = {}
+    for d in (1, 2, 3, 4):
+        now = as_dict(pairs(df, ["a", "b", "c"], d))
+        assert all(now[cell] >= n for cell, n in last.items())
+        last = now
+
+
+def test_stripes_use_their_own_tokenizer(spark):
+    df = lines(spark, "don't stop 42 stop", "lonely")
+    found = stripes(df, ["don't", "stop", "42", "lonely", "Upper"], 1)
+    assert {r.w: r.stripe for r in found.collect()} == {
+        "don't": {"stop": 1},
+        "stop": {"42": 2, "don't": 1},
+        "42": {"stop": 2},
+    }
+    text = {r.w: r.s for r in found.select("w", stripe_text(F.col("stripe")).alias("s")).collect()}
+    assert text["stop"] == "{42=2, don't=1}"
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_keep_empty_returns_lonely_words(spark, strategy):
+    df = lines(spark, "a b", "alone x", "alone")
+    vocabulary = ["a", "b", "alone", "absent"]
+    found = stripes(df, vocabulary, 1, strategy=strategy, keep_empty=True)
+    assert {r.w: r.stripe for r in found.collect()} == {"a": {"b": 1}, "b": {"a": 1}, "alone": {}}
+    found = stripes(df, vocabulary, 1, strategy=strategy)
+    assert {r.w for r in found.collect()} == {"a", "b"}
+
+
+def test_empty_vocabulary(spark):
+    df = lines(spark, "a b")
+    empty = spark.createDataFrame([], "word string")
+    for vocabulary, strategy in (([], "auto"), (empty, "auto"), (empty, "band_join")):
+        with pytest.raises(ValueError):
+            stripes(df, vocabulary, 1, strategy=strategy)
+        assert stripes(df, vocabulary, 1, strategy=strategy, require_vocabulary=False).count() == 0
+        assert pairs(df, vocabulary, 1, strategy=strategy).count() == 0
+
+
+def test_long_vocabulary_needs_no_literals(spark):
+    words = spark.range(20_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"))
+    extra = spark.createDataFrame([("a",), ("b",)], "word string")
+    df = lines(spark, "a b zz a")
+    assert as_dict(pairs(df, words.unionByName(extra), 3)) == {("a", "b"): 2, ("b", "a"): 2, ("a", "a"): 2}
+    with pytest.raises(ValueError):
+        pairs(df, words, 1, strategy="nested")
+
+
+def test_bad_arguments(spark):
+    df = lines(spark, "a b")
+    for bad in ({"distance": 0}, {"distance": 1, "strategy": "x"}, {"distance": 1, "preagg": "x"}):
+        with pytest.raises(ValueError):
+            pairs(df, ["a"], **bad)
+
+
+def test_nested_plan_shuffles_only_partial_counts(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("text").alias("line"))
+    plan = pairs(docs, ["the", "of"], 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_count" in plan and "Join" not in plan
