@@ -82,25 +82,43 @@ def explode_tokens(
     return rows.where(token_ok(F.col(out), profile))
 
 
-def explode_runs(df: DataFrame, items: Column, *, name: str, count: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Count equal elements of an array inside the row: one row per distinct element.
+def _run_ends(df: DataFrame, items: Column, keep: Sequence[str]) -> DataFrame:
+    """``keep``, the sorted ``_items`` and the index ``_ends`` after each run of equal ones.
 
-    The elements are sorted and counted by run length, so the cost is that of
-    the sort and nothing is shuffled. Each array that is read more than once is
-    a column first; the last one is not, because Spark would infer a filter
-    from an exploded column, push it down and compute the array twice.
+    Both arrays are read more than once, so they are columns.
     """
     rows = df.select(*keep, F.sort_array(items).alias("_items"))
     ends = F.filter(
         F.transform("_items", lambda x, i: F.when(~x.eqNullSafe(F.get("_items", i + 1)), i + 1)),
         lambda i: i.isNotNull(),
     )
-    rows = rows.select(*keep, "_items", ends.alias("_ends"))
-    counted = F.transform(
+    return rows.select(*keep, "_items", ends.alias("_ends"))
+
+
+def _run_counts(name: str, count: str) -> Column:
+    """``array<struct<name, count>>`` from the columns of ``_run_ends``."""
+    return F.transform(
         "_ends",
         lambda end, i: F.struct(
             F.get("_items", end - 1).alias(name),
             (end - F.coalesce(F.get("_ends", i - 1), F.lit(0))).cast("bigint").alias(count),
         ),
     )
-    return rows.select(*keep, F.inline(counted))
+
+
+def explode_runs(df: DataFrame, items: Column, *, name: str, count: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Count equal elements of an array inside the row: one row per distinct element.
+
+    The elements are sorted and counted by run length, so the cost is that of
+    the sort and nothing is shuffled. The counts go into ``inline`` as an
+    expression: from a column Spark would infer a filter, push it down and
+    compute the array twice.
+    """
+    return _run_ends(df, items, keep).select(*keep, F.inline(_run_counts(name, count)))
+
+
+def map_runs(df: DataFrame, items: Column, *, out: str, keep: Sequence[str] = ()) -> DataFrame:
+    """As ``explode_runs``, but one ``map<element, count>`` per row; rows without elements are left out."""
+    found = F.map_from_entries(_run_counts("key", "value"))
+    # A generator drops the empty rows, because a filter would be pushed down and compute the array twice.
+    return _run_ends(df, items, keep).select(*keep, F.explode(F.when(F.size("_ends") > 0, F.array(found))).alias(out))

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.formats import COLLECTION_SIZE, tf_idf
 from lexmill.functions.porter import porter, porter_array
-from lexmill.functions.text import DF, TF, TokenProfile, explode_runs, explode_tokens, token_array
+from lexmill.functions.text import DF, TF, TokenProfile, explode_runs, explode_tokens, map_runs, token_array
 from lexmill.operators.counts import without_stop_words
 from lexmill.operators.stems import attach_stems
-from lexmill.sources.wordlists import as_literals
+from lexmill.sources.wordlists import as_literals, as_local_df_table
 
 
 def document_frequency(
@@ -87,29 +87,42 @@ def term_frequency(
     Counts are made inside each row. With ``row_is_document`` they are final and
     nothing is shuffled; otherwise the rows of one document are summed up.
     """
-    literals = as_literals(stop)
+    literals, terms = as_literals(stop), None
+    if df_table is not None:
+        df_table, terms = as_local_df_table(df_table)
     if literals is None:
         rows = _token_terms(df, text, doc, profile, stop, stem)
         counted = rows.select(doc, "term", F.lit(1).cast("bigint").alias("tf"))
         row_is_document = False
     else:
-        counted = _row_counts(df, doc, text, profile, literals, stem)
+        rows, items = _row_tokens(df, doc, text, profile, literals, stem, terms)
+        counted = explode_runs(rows, items, name="term", count="tf", keep=[doc])
     if df_table is not None:
-        counted = counted.join(df_table.select("term", "df").where("df != 0"), "term")
+        counted = counted.join(df_table, "term")
     if row_is_document:
         return counted.select(doc, "term", "tf", *(["df"] if df_table is not None else []))
     return merge_counts(counted, doc)
 
 
-def _row_counts(
-    df: DataFrame, doc: str, text: str, profile: TokenProfile, stop: list[str], stem: bool
-) -> DataFrame:
-    """``doc, term, tf`` counted inside each row, by run length in the sorted tokens."""
+def _row_tokens(
+    df: DataFrame,
+    doc: str,
+    text: str,
+    profile: TokenProfile,
+    stop: list[str],
+    stem: bool,
+    terms: list[str] | None,
+) -> tuple[DataFrame, Column]:
+    """Rows of ``doc, _terms`` and the array expression over them that holds the row's terms."""
     rows = df.select(doc, token_array(F.col(text), profile, stop).alias("_terms"))
-    terms = F.col("_terms")
-    if stem:
-        terms = F.filter(porter_array("_terms"), lambda s: F.length(s) >= profile.min_stem_len)
-    return explode_runs(rows, terms, name="term", count="tf", keep=[doc])
+
+    def wanted(term: Column) -> Column:
+        ok = F.length(term) >= profile.min_stem_len
+        if terms is None:
+            return ok
+        return ok & term.isin(*terms) if terms else F.lit(False)
+
+    return rows, F.filter(porter_array("_terms") if stem else F.col("_terms"), wanted)
 
 
 def merge_counts(counted: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -128,6 +141,30 @@ def tf_stripes(tf: DataFrame, doc: str = "doc_id") -> DataFrame:
     return tf.groupBy(doc).agg(F.map_from_entries(cells).alias("stripe"))
 
 
+def row_stripes(
+    df: DataFrame,
+    *,
+    doc: str = "doc_id",
+    text: str = "text",
+    profile: TokenProfile = TF,
+    stop: DataFrame | Sequence[str] | None = None,
+    stem: bool = False,
+    df_table: DataFrame | None = None,
+) -> DataFrame:
+    """``tf_stripes`` for one row per document: the map is built inside the row and nothing is shuffled.
+
+    Stop lists and DF tables too long for literals go the way of ``term_frequency``.
+    """
+    literals, terms = as_literals(stop), None
+    if df_table is not None:
+        df_table, terms = as_local_df_table(df_table)
+    if literals is None or (df_table is not None and terms is None):
+        tf = term_frequency(df, doc=doc, text=text, profile=profile, stop=stop, stem=stem, df_table=df_table)
+        return tf_stripes(tf, doc)
+    rows, items = _row_tokens(df, doc, text, profile, literals, stem, terms)
+    return map_runs(rows, items, out="stripe", keep=[doc])
+
+
 def scores(tf: DataFrame, df_table: DataFrame | None = None, *, doc: str = "doc_id", n_docs: float = COLLECTION_SIZE) -> DataFrame:
     """``doc, term, score`` from term frequencies that carry ``df`` or are joined with a DF table."""
     if df_table is not None:

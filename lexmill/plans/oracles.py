@@ -215,6 +215,9 @@ def scored(tf_sql: str, df_sql: str, doc: str) -> str:
 TF_DOC = tf("documents", "doc_id")
 TALK = "(SELECT conv_id AS doc_id, text FROM conversations)"
 SCORED_TF = f"SELECT t.* FROM ({TF_DOC}) t JOIN (SELECT * FROM ({DF_LINE}) {TOP100}) d ON t.term = d.term"
+TF_STRIPES = (
+    f"SELECT doc_id, string_agg(term || ':' || tf, ',' ORDER BY term) AS stripe FROM ({SCORED_TF}) GROUP BY doc_id"
+)
 TFIDF = scored(TF_DOC, DF_LINE, "doc_id")
 MERGED = " UNION ALL ".join(
     f"SELECT word, n FROM ({counts(source, text=text)})"
@@ -269,8 +272,8 @@ ORACLES: dict[str, str] = {
     "term_freq": TF_DOC,
     "term_freq_by_line": TF_DOC,
     "term_freq_conversations": stemmed_tf("conversations", "conv_id"),
-    "tf_stripes": f"SELECT doc_id, string_agg(term || ':' || tf, ',' ORDER BY term) AS stripe "
-    f"FROM ({SCORED_TF}) GROUP BY doc_id",
+    "tf_stripes": TF_STRIPES,
+    "tf_stripes_by_line": TF_STRIPES,
     "tf_stripe_decode": SCORED_TF,
     "tfidf": TFIDF,
     "tfidf_stemmed": scored(stemmed_tf("documents", "doc_id"), DF_LINE_STEMMED, "doc_id"),

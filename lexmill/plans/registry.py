@@ -215,17 +215,18 @@ def term_freq_conversations(spark: SparkSession, sf: str) -> DataFrame:
     return frequency.term_frequency(conversations(spark, sf), doc="conv_id", stop=STOP_WORDS, stem=True)
 
 
-def _scored_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return frequency.term_frequency(
-        documents(spark, sf), stop=STOP_WORDS, row_is_document=True, df_table=df_top100(spark, sf)
-    )
-
-
 def tf_stripes(spark: SparkSession, sf: str) -> DataFrame:
-    found = frequency.tf_stripes(_scored_terms(spark, sf))
+    found = frequency.row_stripes(documents(spark, sf), stop=STOP_WORDS, df_table=df_top100(spark, sf))
     return found.select("doc_id", tf_stripe_text(F.col("stripe")).alias("stripe"))
 
 
+def tf_stripes_by_line(spark: SparkSession, sf: str) -> DataFrame:
+    """The same stripes from one row per line, merged by document."""
+    by_line = lines_of(documents(spark, sf), keep=["doc_id"])
+    tf = frequency.term_frequency(by_line, text="line", stop=STOP_WORDS, df_table=df_top100(spark, sf))
+    return frequency.tf_stripes(tf).select("doc_id", tf_stripe_text(F.col("stripe")).alias("stripe"))
+
+
 def tf_stripe_decode(spark: SparkSession, sf: str) -> DataFrame:
     entries = tf_stripe_entries(F.col("stripe"))
     return tf_stripes(spark, sf).select("doc_id", F.inline(entries))
@@ -411,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "term_freq_by_line": term_freq_by_line,
     "term_freq_conversations": term_freq_conversations,
     "tf_stripes": tf_stripes,
+    "tf_stripes_by_line": tf_stripes_by_line,
     "tf_stripe_decode": tf_stripe_decode,
     "tfidf": tfidf,
     "tfidf_stemmed": tfidf_stemmed,

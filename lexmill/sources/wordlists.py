@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import trim_blanks
@@ -77,14 +77,31 @@ def word_frame(spark: SparkSession, words: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(pa.table({"word": pa.array(sorted(set(words)), pa.string())}))
 
 
-def as_literals(words: DataFrame | Sequence[str] | None, limit: int = LITERAL_WORDS) -> list[str] | None:
-    """The words as a sorted list, or None when there are more than ``limit``.
+def small_rows(df: DataFrame, limit: int = LITERAL_WORDS) -> list[Row] | None:
+    """All rows, or None when there are more than ``limit``: at most one more ever reaches the driver."""
+    rows = df.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
 
-    Never more than ``limit + 1`` rows reach the driver.
-    """
+
+def as_literals(words: DataFrame | Sequence[str] | None, limit: int = LITERAL_WORDS) -> list[str] | None:
+    """The words as a sorted list, or None when there are more than ``limit``."""
     if words is None:
         return []
     if isinstance(words, DataFrame):
-        words = [row[0] for row in words.select("word").distinct().limit(limit + 1).collect()]
+        rows = small_rows(words.select("word").distinct(), limit)
+        return None if rows is None else sorted(row.word for row in rows)
     found = sorted(set(words))
     return found if len(found) <= limit else None
+
+
+def as_local_df_table(df_table: DataFrame, limit: int = LITERAL_WORDS) -> tuple[DataFrame, list[str] | None]:
+    """A DF table that can be joined, and its terms as literals if there are at most ``limit``.
+
+    A short table is computed once here instead of inside every plan that uses it.
+    """
+    table = df_table.select("term", F.col("df").cast("bigint").alias("df")).where("df != 0")
+    rows = small_rows(table, limit)
+    if rows is None:
+        return table, None
+    columns = {"term": pa.array([r.term for r in rows], pa.string()), "df": pa.array([r.df for r in rows], pa.int64())}
+    return df_table.sparkSession.createDataFrame(pa.table(columns)), [r.term for r in rows]
