@@ -66,9 +66,31 @@ def stripes(
     counted = _count(
         lines, vocabulary, distance, text, profile, strategy, preagg, key, keep_empty, require_vocabulary
     )
-    # Words that were only seen carry a null neighbour; collect_list skips the null cell.
+    return _as_stripes(_mirror(counted))
+
+
+def merge_pairs(parts: Sequence[DataFrame]) -> DataFrame:
+    """Pair counts of a corpus from those of its parts."""
+    return _union(parts).groupBy("w", "u").agg(F.sum("n").alias("n"))
+
+
+def merge_stripes(parts: Sequence[DataFrame]) -> DataFrame:
+    """Stripes of a corpus from those of its parts: maps of one word add up, cell by cell."""
+    cells = _union(parts).select("w", F.explode_outer("stripe").alias("u", "n"))
+    return _as_stripes(cells.groupBy("w", "u").agg(F.sum("n").alias("n")))
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def _as_stripes(cells: DataFrame) -> DataFrame:
+    """One map per word. Words that were only seen carry a null neighbour, which collect_list skips."""
     cell = F.when(F.col("u").isNotNull(), F.struct("u", "n"))
-    return _mirror(counted).groupBy("w").agg(F.map_from_entries(F.sort_array(F.collect_list(cell))).alias("stripe"))
+    return cells.groupBy("w").agg(F.map_from_entries(F.sort_array(F.collect_list(cell))).alias("stripe"))
 
 
 def _count(
@@ -171,7 +193,7 @@ def _band_join(
         key = ["_line"]
     tokens = lines.select(*key, F.posexplode(raw_tokens(F.col(text), profile)).alias("pos", "w")).where("w != ''")
     kept = tokens.join(vocabulary.select(F.col("word").alias("w")).distinct(), "w", "left_semi")
-    bucket = F.floor(F.col("pos") / distance)
+    bucket = F.expr(f"pos div {int(distance)}")
     left = kept.select(*key, bucket.alias("bucket"), F.col("pos").alias("p"), F.col("w").alias("a"))
     right = kept.select(
         *key, F.explode(F.array(bucket, bucket - 1)).alias("bucket"), F.col("pos").alias("q"), F.col("w").alias("b")

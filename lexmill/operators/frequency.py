@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.formats import COLLECTION_SIZE, tf_idf
-from lexmill.functions.porter import porter, porter_array
+from lexmill.functions.porter import porter_array
 from lexmill.functions.text import DF, TF, TokenProfile, explode_runs, explode_tokens, map_runs, token_array
 from lexmill.operators.counts import without_stop_words
-from lexmill.operators.stems import attach_stems
+from lexmill.operators.stems import attach_stems, stems_of
 from lexmill.sources.wordlists import as_literals, as_local_df_table
 
 
@@ -31,7 +31,8 @@ def document_frequency(
     are made distinct inside the row and only the counts are shuffled. With
     ``doc`` the rows that share it are one document, and distinct (document,
     term) keys are shuffled first. ``stem=True`` stems inside the row;
-    ``stems`` joins a table from ``stem_vocabulary`` instead.
+    ``stems`` joins a table from ``stem_vocabulary`` instead; that stems each
+    word once, but has to shuffle (document, term) keys.
     """
     literals = as_literals(stop)
     inline = stem and stems is None
@@ -45,7 +46,9 @@ def document_frequency(
         else:
             terms = _token_terms(df, text, doc, profile, stop, inline)
         if stems is not None:
-            terms = attach_stems(terms, stems, "term").where(F.length("term") >= profile.min_stem_len)
+            terms = attach_stems(terms, stems, "term")
+            if profile.min_stem_len > 1:
+                terms = terms.where(F.length("term") >= profile.min_stem_len)
         terms = terms.distinct()
     return terms.groupBy("term").agg(F.count("*").alias("df"))
 
@@ -67,7 +70,8 @@ def _token_terms(
     """``doc, term`` with one row per token, for stop lists that have to be joined."""
     rows = without_stop_words(explode_tokens(df, profile, text=text, keep=[doc], out="term"), stop, "term")
     if stem:
-        rows = rows.select(doc, porter("term").alias("term")).where(F.length("term") >= profile.min_stem_len)
+        words = rows.select(doc, F.array("term").alias("_words"))
+        rows = words.select(doc, stems_of("_words", profile.min_stem_len).alias("term"))
     return rows
 
 

@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.porter import porter
+from lexmill.functions.porter import porter, porter_array
 from lexmill.functions.text import DF, TokenProfile, explode_tokens
 
 
 def stem_vocabulary(df: DataFrame, *, text: str = "text", profile: TokenProfile = DF) -> DataFrame:
     """``term, stem`` for each distinct token: the corpus is reduced to its vocabulary before stemming."""
     vocabulary = explode_tokens(df, profile, text=text, out="term").distinct()
-    return vocabulary.select("term", porter("term").alias("stem"))
+    return vocabulary.select("term", F.array("term").alias("_words")).select("term", stems_of("_words").alias("stem"))
+
+
+def stems_of(words: str, min_len: int = 1) -> Column:
+    """Generate the stems of an array column that have ``min_len`` letters.
+
+    A generator is where filters stop. On a plain stem column, Spark would push
+    a later filter below the distinct, and stem every token of the corpus for it.
+    """
+    stems = porter_array(words)
+    return F.explode(F.filter(stems, lambda s: F.length(s) >= min_len) if min_len > 1 else stems)
 
 
 def attach_stems(tokens: DataFrame, stems: DataFrame, column: str) -> DataFrame:
-    """Replace the token ``column`` by its stem. Spark broadcasts ``stems`` if its size allows, else shuffles."""
+    """Replace the token ``column`` by its stem.
+
+    ``stems`` may hold any part of the vocabulary, say its frequent words: other
+    tokens are stemmed where they stand. In a left join only ``stems`` can be
+    broadcast, and Spark does that if its size allows.
+    """
     others = [c for c in tokens.columns if c != column]
     looked_up = stems.select(F.col("term").alias(column), F.col("stem").alias("_stem"))
-    return tokens.join(looked_up, column).select(*others, F.col("_stem").alias(column))
+    joined = tokens.join(looked_up, column, "left")
+    return joined.select(*others, F.coalesce("_stem", porter(column)).alias(column))

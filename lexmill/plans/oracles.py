@@ -51,13 +51,23 @@ def counts(source: str, profile: T.TokenProfile = T.WORDCOUNT, text: str = "text
     return f"SELECT word, count(*) AS n FROM ({tokens(source, profile, '', text, stop)}) GROUP BY word"
 
 
-LINES = (
-    "(SELECT doc_id, unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS line, "
-    "generate_subscripts(regexp_split_to_array(text, '\\r\\n|\\r|\\n'), 1) AS line_no FROM documents)"
-)
-PAGE_LINES = (
-    "(SELECT page_id AS doc_id, unnest(regexp_split_to_array(html, '\\r\\n|\\r|\\n')) AS line, "
-    "generate_subscripts(regexp_split_to_array(html, '\\r\\n|\\r|\\n'), 1) AS line_no FROM pages)"
+SPLIT_LINES = f"regexp_split_to_array(text, {q(T.LINE_END)})"
+
+
+def lines(source: str, keep: str) -> str:
+    """``keep, line_no, line``: one row per line of ``text``."""
+    return (
+        f"(SELECT {keep}, unnest(ls) AS line, generate_subscripts(ls, 1) AS line_no "
+        f"FROM (SELECT {keep}, {SPLIT_LINES} AS ls FROM {source}))"
+    )
+
+
+LINES = lines("documents", "doc_id")
+PAGE_LINES = lines("(SELECT page_id AS doc_id, html AS text FROM pages)", "doc_id")
+ALL_LINES = lines(
+    "(SELECT row_number() OVER () AS doc_id, text FROM (SELECT text FROM documents UNION ALL "
+    "SELECT text FROM conversations UNION ALL SELECT html FROM pages))",
+    "doc_id",
 )
 VOCABULARY = f"SELECT word FROM ({counts('documents')}) {TOP50}"
 PAGE_VOCABULARY = f"SELECT word FROM ({counts('pages', text='html')}) {TOP50}"
@@ -90,8 +100,8 @@ def pairs(distance: int, **options: str) -> str:
 STRIPE = "'{' || string_agg(u || '=' || n, ', ' ORDER BY u) || '}'"
 
 
-def stripes(distance: int) -> str:
-    return f"WITH {pair_ctes(distance, T.STRIPES)} SELECT w, {STRIPE} AS stripe FROM pair GROUP BY w"
+def stripes(distance: int, **options: str) -> str:
+    return f"WITH {pair_ctes(distance, T.STRIPES, **options)} SELECT w, {STRIPE} AS stripe FROM pair GROUP BY w"
 
 
 def stripes_keep_empty(distance: int) -> str:
@@ -289,9 +299,15 @@ ORACLES: dict[str, str] = {
     "tfidf_text": f"SELECT doc_id, term, printf('%.6f', score) AS score FROM ({TFIDF})",
     "tfidf_from_files": TFIDF,
     "src_lines": f"SELECT line, count(*) AS n FROM {LINES} GROUP BY line",
-    "src_docs": "SELECT lang, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM "
-    "(SELECT lang, unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS line FROM documents) GROUP BY lang",
+    "src_docs": "SELECT lang, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars "
+    f"FROM {lines('documents', 'lang')} GROUP BY lang",
     "sink_tsv_roundtrip": counts("documents"),
     "sink_pairs_roundtrip": f"SELECT w || ',' || u AS pair, n FROM ({pairs(1)})",
+    "cooc_pairs_merged_d2": pairs(2, lines=ALL_LINES),
+    "cooc_stripes_merged_d2": stripes(2, lines=ALL_LINES),
+    "cooc_stripes_from_files_d1": stripes(1),
+    "sink_stripes_roundtrip": f"SELECT w || chr(9) || stripe AS line FROM ({stripes(1)})",
+    "sink_tfidf_roundtrip": f"SELECT doc_id || chr(9) || term || chr(9) || printf('%.6f', score) AS line "
+    f"FROM ({TFIDF})",
     "sink_top100_roundtrip": f"SELECT term, df FROM ({DF_LINE_STEMMED}) {TOP100}",
 }

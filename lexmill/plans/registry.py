@@ -16,6 +16,7 @@ from lexmill.functions.formats import (
     tf_stripe_text,
 )
 from lexmill.operators import counts, frequency
+from lexmill.operators.cooccur import merge_pairs, merge_stripes
 from lexmill.operators.stems import stem_vocabulary
 from lexmill.plans import pipelines as P
 from lexmill.plans.defaults import STOP_WORDS
@@ -147,6 +148,26 @@ def cooc_stripes_keep_empty_d1(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("w", stripe_text(F.col("stripe")).alias("stripe"))
 
 
+def _corpora(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Documents, conversations and pages as lines."""
+    return [
+        lines(spark, sf),
+        lines_of(conversations(spark, sf)),
+        lines_of(pages(spark, sf), text="html"),
+    ]
+
+
+def cooc_pairs_merged_d2(spark: SparkSession, sf: str) -> DataFrame:
+    words = vocabulary(spark, sf)
+    return merge_pairs([P.pair_cooccurrence(part, words, 2) for part in _corpora(spark, sf)])
+
+
+def cooc_stripes_merged_d2(spark: SparkSession, sf: str) -> DataFrame:
+    words = vocabulary(spark, sf)
+    found = merge_stripes([P.stripe_cooccurrence(part, words, 2) for part in _corpora(spark, sf)])
+    return found.select("w", stripe_text(F.col("stripe")).alias("stripe"))
+
+
 # Document frequency
 
 
@@ -365,6 +386,26 @@ def tfidf_from_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def sink_stripes_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "stripes")
+    write_tsv(_stripes(1)(spark, sf), path, "w", "stripe")
+    return read_lines(spark, path)
+
+
+def sink_tfidf_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "scores")
+    write_tsv(tfidf_text(spark, sf), path, "doc_id", "term", "score")
+    return read_lines(spark, path)
+
+
+def cooc_stripes_from_files_d1(spark: SparkSession, sf: str) -> DataFrame:
+    """The chained run through files: top words written as ``word<TAB>count``, read back as vocabulary."""
+    path = scratch_path(spark, "top50")
+    write_top_tsv(top_words(spark, sf), path, "word", "n")
+    found = P.stripe_cooccurrence(lines(spark, sf), read_vocabulary(spark, path, fmt="first_field"), 1)
+    return found.select("w", stripe_text(F.col("stripe")).alias("stripe"))
+
+
 QUERIES: dict[str, Query] = {
     "top_words": top_words,
     "top_words_case_sensitive": top_words_case_sensitive,
@@ -395,6 +436,8 @@ QUERIES: dict[str, Query] = {
     "cooc_stripes_d4": _stripes(4),
     "cooc_stripes_line_preagg_d2": _stripes(2, preagg="line"),
     "cooc_stripes_keep_empty_d1": cooc_stripes_keep_empty_d1,
+    "cooc_pairs_merged_d2": cooc_pairs_merged_d2,
+    "cooc_stripes_merged_d2": cooc_stripes_merged_d2,
     "doc_freq_line": doc_freq_line,
     "doc_freq_doc": doc_freq_doc,
     "doc_freq_conversations": doc_freq_conversations,
@@ -426,4 +469,7 @@ QUERIES: dict[str, Query] = {
     "sink_tsv_roundtrip": sink_tsv_roundtrip,
     "sink_pairs_roundtrip": sink_pairs_roundtrip,
     "sink_top100_roundtrip": sink_top100_roundtrip,
+    "sink_stripes_roundtrip": sink_stripes_roundtrip,
+    "sink_tfidf_roundtrip": sink_tfidf_roundtrip,
+    "cooc_stripes_from_files_d1": cooc_stripes_from_files_d1,
 }

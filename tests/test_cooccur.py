@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from lexmill.functions.formats import stripe_text
 from lexmill.functions.text import PAIRS
-from lexmill.operators.cooccur import pairs, stripes
+from lexmill.operators.cooccur import merge_pairs, merge_stripes, pairs, stripes
 from pyspark.sql import functions as F
 
 STRATEGIES = ["nested", "filter_last", "band_join"]
@@ -126,3 +126,13 @@ def test_nested_plan_shuffles_only_partial_counts(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("text").alias("line"))
     plan = pairs(docs, ["the", "of"], 2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_count" in plan and "Join" not in plan
+
+
+def test_parts_merge_to_the_whole(spark):
+    parts = [lines(spark, "a b a", "alone"), lines(spark, "b a", "c b")]
+    whole = lines(spark, "a b a", "alone", "b a", "c b")
+    words = ["a", "b", "c", "alone"]
+    assert as_dict(merge_pairs([pairs(p, words, 1) for p in parts])) == as_dict(pairs(whole, words, 1))
+    merged = merge_stripes([stripes(p, words, 1, keep_empty=True) for p in parts])
+    expected = stripes(whole, words, 1, keep_empty=True)
+    assert {r.w: r.stripe for r in merged.collect()} == {r.w: r.stripe for r in expected.collect()}

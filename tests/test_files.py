@@ -1,9 +1,11 @@
+import math
 from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from lexmill.plans import pipelines
 from lexmill.sources import corpus, sinks, wordlists
 
 
@@ -112,3 +114,25 @@ def test_literals_are_bounded(spark):
     frame = wordlists.word_frame(spark, ["x", "y", "z"])
     assert wordlists.as_literals(frame, 3) == ["x", "y", "z"]
     assert wordlists.as_literals(frame, 2) is None
+
+
+def test_chained_run_over_files(spark, text_file, tmp_path):
+    """Stop list, corpus, DF table and scores all by file, documents named by base name."""
+    stop = wordlists.read_stop_words(spark, text_file("stop.txt", "THE"))
+    text_file("corpus/1.txt", "The cats ran", "cat")
+    text_file("corpus/2.txt", "the dog")
+    corpus_dir = str(tmp_path / "corpus")
+    lines = corpus.read_lines(spark, corpus_dir)
+    table = str(tmp_path / "top100")
+    sinks.write_top_tsv(
+        pipelines.top_document_frequency(lines, text="line", stop=stop, k=2), table, "term", "df"
+    )
+    docs = corpus.read_documents(spark, corpus_dir)
+    found = pipelines.tf_idf_scores(docs, wordlists.read_df_table(spark, table), text="line", stop=stop)
+    assert sorted(map(tuple, found.collect())) == [
+        ("1.txt", "cat", round(2 * math.log(10000 / 2 + 1), 6)),
+        ("2.txt", "dog", round(math.log(10000 / 1 + 1), 6)),
+    ]
+    whole = corpus.read_documents(spark, corpus_dir, whole=True)
+    again = pipelines.tf_idf_scores(whole, wordlists.read_df_table(spark, table), stop=stop, row_is_document=True)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found.collect()))

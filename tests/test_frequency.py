@@ -130,7 +130,7 @@ def test_one_letter_terms_can_be_frequent_but_are_never_scored(spark):
 
 def test_row_documents_are_scored_without_a_shuffle_of_terms(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    table = spark.read.text(__file__).selectExpr("value AS term", "1 AS df")
+    table = spark.createDataFrame([("the", 5), ("of", 3)], "term string, df bigint")
     found = pipelines.tf_idf_scores(docs, table, row_is_document=True)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan

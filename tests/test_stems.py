@@ -5,7 +5,7 @@ from brute import porter as brute_porter
 
 from lexmill.functions import porter as P
 from lexmill.functions.text import DF
-from lexmill.operators.stems import stem_vocabulary
+from lexmill.operators.stems import attach_stems, stem_vocabulary
 
 
 def stems(spark, words):
@@ -57,3 +57,10 @@ def test_stem_vocabulary_has_one_row_per_token(spark):
     df = spark.createDataFrame([("Days of days, day",), ("day x_1",)], ["text"])
     rows = sorted(map(tuple, stem_vocabulary(df, profile=DF).collect()))
     assert rows == [("day", "dai"), ("days", "dai"), ("of", "of")]
+
+
+def test_attach_stems_needs_only_a_part_of_the_vocabulary(spark):
+    tokens = spark.createDataFrame([(1, "cats"), (1, "dogs"), (2, "cats")], "doc int, term string")
+    part = spark.createDataFrame([("cats", "cat")], "term string, stem string")
+    rows = attach_stems(tokens, part, "term").collect()
+    assert sorted(map(tuple, rows)) == [(1, "cat"), (1, "dog"), (2, "cat")]
