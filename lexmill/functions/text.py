@@ -46,7 +46,12 @@ def trim_blanks(col: Column) -> Column:
 
 
 def split_lines(text: Column) -> Column:
-    return F.split(text, LINE_END)
+    """The lines of a text, ended by any of the three terminators.
+
+    A single character splits without the regex engine, so the others are replaced first.
+    """
+    unix = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return F.split(unix, "\n")
 
 
 def raw_tokens(text: Column, profile: TokenProfile) -> Column:
@@ -54,9 +59,11 @@ def raw_tokens(text: Column, profile: TokenProfile) -> Column:
     return F.split(F.lower(text) if profile.lowercase else text, profile.separator)
 
 
-def token_ok(token: Column, profile: TokenProfile) -> Column:
-    """The token filters of a profile, without its stop words."""
-    ok = F.length(token) >= profile.min_len
+def token_ok(token: Column, profile: TokenProfile, stop: Sequence[str] = ()) -> Column:
+    """The token filters of a profile and a stop list, cheapest first."""
+    ok = F.length(token) >= profile.min_len if profile.min_len > 1 else token != ""
+    if stop:
+        ok = ok & ~token.isin(*stop)
     if profile.keep:
         ok = ok & token.rlike(profile.keep)
     if profile.drop:
@@ -64,22 +71,26 @@ def token_ok(token: Column, profile: TokenProfile) -> Column:
     return ok
 
 
-def token_array(text: Column, profile: TokenProfile, stop: Sequence[str] = ()) -> Column:
-    """The filtered tokens of one row as an array, in order."""
-
-    def wanted(token: Column) -> Column:
-        ok = token_ok(token, profile)
-        return ok & ~token.isin(*stop) if stop else ok
-
-    return F.filter(raw_tokens(text, profile), wanted)
+def token_array(
+    text: Column, profile: TokenProfile, stop: Sequence[str] = (), *, distinct: bool = False
+) -> Column:
+    """The filtered tokens of one row as an array, in order; with ``distinct`` each one once."""
+    tokens = raw_tokens(text, profile)
+    return F.filter(F.array_distinct(tokens) if distinct else tokens, lambda token: token_ok(token, profile, stop))
 
 
 def explode_tokens(
-    df: DataFrame, profile: TokenProfile, *, text: str = "text", keep: Sequence[str] = (), out: str = "word"
+    df: DataFrame,
+    profile: TokenProfile,
+    *,
+    text: str = "text",
+    keep: Sequence[str] = (),
+    out: str = "word",
+    stop: Sequence[str] = (),
 ) -> DataFrame:
     """One row per token that passes the profile's filters, with the ``keep`` columns."""
     rows = df.select(*keep, F.explode(raw_tokens(F.col(text), profile)).alias(out))
-    return rows.where(token_ok(F.col(out), profile))
+    return rows.where(token_ok(F.col(out), profile, stop))
 
 
 def _run_ends(df: DataFrame, items: Column, keep: Sequence[str]) -> DataFrame:

@@ -111,6 +111,8 @@ def _count(
     if strategy not in STRATEGIES or preagg not in ("task", "line"):
         raise ValueError(f"unknown strategy {strategy!r} or preagg {preagg!r}")
     words = as_literals(vocabulary) if strategy in ("auto", "nested") else None
+    if words is not None:
+        words = [word for word in words if word]
     if strategy == "nested" and words is None:
         raise ValueError("the vocabulary is too long for literals; use another strategy")
     if words is None and not isinstance(vocabulary, DataFrame):
@@ -152,9 +154,9 @@ def _nested(
     def wanted(w: Column) -> Column:
         if words is None:
             return w != ""
-        return (w != "") & w.isin(*words) if words else F.lit(False)
+        return w.isin(*words) if words else F.lit(False)
 
-    kept = F.filter(F.transform(known, lambda w, i: F.when(wanted(w), i)), lambda i: i.isNotNull())
+    kept = F.array_remove(F.transform(known, lambda w, i: F.when(wanted(w), i).otherwise(-1)), -1)
 
     # Any two kept positions within the distance have fewer than `distance` kept
     # positions between them, so the next `distance` entries are all candidates.

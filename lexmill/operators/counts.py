@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import WORDCOUNT, TokenProfile, explode_tokens, token_array
-from lexmill.sources.wordlists import word_frame
+from lexmill.sources.wordlists import as_literals, word_frame
 
 
 def without_stop_words(tokens: DataFrame, stop: DataFrame | Sequence[str] | None, column: str = "word") -> DataFrame:
-    """Left anti join against the stop list; Spark broadcasts the list if its size allows."""
+    """Left anti join against a stop list too long for literals; Spark broadcasts it if its size allows."""
     if stop is None:
         return tokens
     if not isinstance(stop, DataFrame):
@@ -28,8 +28,10 @@ def word_counts(
     stop: DataFrame | Sequence[str] | None = None,
 ) -> DataFrame:
     """``word, n``. Map-side partial counts mean that a hot word crosses the shuffle once per task."""
-    counted = explode_tokens(df, profile, text=text).groupBy("word").agg(F.count("*").alias("n"))
-    return without_stop_words(counted, stop)
+    literals = as_literals(stop)
+    tokens = explode_tokens(df, profile, text=text, stop=literals or ())
+    counted = tokens.groupBy("word").agg(F.count("*").alias("n"))
+    return without_stop_words(counted, stop) if literals is None else counted
 
 
 def top_words(counts: DataFrame, k: int = 50) -> DataFrame:

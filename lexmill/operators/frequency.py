@@ -57,7 +57,7 @@ def _row_terms(
     df: DataFrame, text: str, keep: list[str], profile: TokenProfile, stop: Sequence[str], stem: bool
 ) -> DataFrame:
     """``keep, term`` with the terms of each row once."""
-    terms = F.array_distinct(token_array(F.col(text), profile, stop))
+    terms = token_array(F.col(text), profile, stop, distinct=True)
     if not stem:
         return df.select(*keep, F.explode(terms).alias("term"))
     stemmed = F.filter(porter_array("_terms"), lambda s: F.length(s) >= profile.min_stem_len)
