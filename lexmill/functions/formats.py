@@ -43,7 +43,7 @@ def tf_stripe_entries(text: Column) -> Column:
     cells = F.transform(
         F.filter(cells, lambda parts: F.size(parts) == 2),
         lambda parts: F.struct(
-            F.trim(parts[0]).alias("term"), F.trim(parts[1]).try_cast("int").cast("bigint").alias("tf")
+            F.trim(F.get(parts, F.lit(0))).alias("term"), F.trim(F.get(parts, F.lit(1))).try_cast("int").cast("bigint").alias("tf")
         ),
     )
     return F.filter(cells, lambda cell: cell["tf"].isNotNull())

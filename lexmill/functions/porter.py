@@ -24,7 +24,8 @@ VOWEL = "[aeiouy]"
 MEASURE_OVER_0 = f"^{CONSONANT}*{VOWEL}+{CONSONANT}"
 MEASURE_OVER_1 = f"^{CONSONANT}*{VOWEL}+{CONSONANT}+{VOWEL}+{CONSONANT}"
 SHORT_END = f"{CONSONANT}{VOWEL}[^aeiouywxY]$"
-SHORT_BEFORE_E = f"{CONSONANT}{VOWEL}[^aeiouywxY]e$"
+# Measure 0, or measure 1 with a short end: a stem of one vowel between consonants.
+KEEPS_E = f"^({CONSONANT}*{VOWEL}*|{CONSONANT}+{VOWEL}[^aeiouywxY]e)$"
 CONSONANT_Y = "(^|[aeiou])y"
 DOUBLE_STAYS = "[lsz]$"
 STEP_2 = [
@@ -92,23 +93,20 @@ def _droppable(stem: str, suffix: str) -> str:
     return f"{_over_1(stem)} AND {stem} RLIKE '[st]$'" if suffix == "ion" else _over_1(stem)
 
 
-def _mark() -> str:
-    marked = f"replace(regexp_replace(w, '{CONSONANT_Y}', '$1Y'), 'yy', 'yY')"
-    return _case(("length(w) <= 2", "concat(w, '.')"), ("contains(w, 'y')", marked))
-
-
-def _plural() -> str:
+def _plural_and_mark() -> str:
     ends_in_s = _case((_ends("sses", "ies"), _less(2)), (_ends("ss"), "w"), ("true", _less(1)))
-    return _case((_ends("s"), ends_in_s))
+    singular = _case((_ends("s"), ends_in_s))
+    # Marking looks at the letters before a y only, so it can come after the plural.
+    marked = f"replace(regexp_replace({singular}, '{CONSONANT_Y}', '$1Y'), 'yy', 'yY')"
+    return f"CASE WHEN length(w) <= 2 THEN concat(w, '.') WHEN contains(w, 'y') THEN {marked} ELSE {singular} END"
 
 
 def _past() -> str:
     def cut(n: int) -> str:
         return _case((f"{_less(n)} RLIKE '{VOWEL}'", f"concat({_less(n)}, '#')"))
 
-    return _case(
-        (_ends("eed"), _case((_over_0(_less(3)), _less(1)))), (_ends("ed"), cut(2)), (_ends("ing"), cut(3))
-    )
+    ends_in_eed = _case((_over_0(_less(3)), _less(1)))
+    return _case((_ends("ed"), f"if({_ends('eed')}, {ends_in_eed}, {cut(2)})"), (_ends("ing"), cut(3)))
 
 
 def _repair() -> str:
@@ -135,22 +133,16 @@ def _final_y() -> str:
 
 
 def _final_e() -> str:
-    # A final vowel does not change the measure, so the whole word is tested for it.
-    drop = f"{_over_0('w')} AND ({_over_1('w')} OR NOT w RLIKE '{SHORT_BEFORE_E}')"
-    return _case((_ends("e"), _case((drop, _less(1)))))
-
-
-def _final_l() -> str:
-    return _case((_ends("ll"), _case((_over_1("w"), _less(1)))))
+    return _case((_ends("e"), _case((f"NOT w RLIKE '{KEEPS_E}'", _less(1)))))
 
 
-def _unmark() -> str:
-    return _case((_ends("."), _less(1)), ("contains(w, 'Y')", "lower(w)"))
+def _final_l_and_unmark() -> str:
+    drop_l = f"{_ends('ll')} AND {_over_1('w')}"
+    return f"CASE WHEN {_ends('.')} THEN {_less(1)} WHEN {drop_l} THEN lower({_less(1)}) ELSE lower(w) END"
 
 
 STEPS = [
-    _mark(),
-    _plural(),
+    _plural_and_mark(),
     _past(),
     _repair(),
     _final_y(),
@@ -158,8 +150,7 @@ STEPS = [
     _first_suffix(STEP_3, _replaceable, 2),
     _first_suffix([(suffix, "") for suffix in STEP_4], _droppable, 4),
     _final_e(),
-    _final_l(),
-    _unmark(),
+    _final_l_and_unmark(),
 ]
 
 

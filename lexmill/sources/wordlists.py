@@ -65,9 +65,9 @@ def read_df_table(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def _counts(lines: DataFrame, *keep: str) -> DataFrame:
     fields = lines.select(_fields(F.col("value")).alias("f"), *keep).where(F.size("f") == 2)
-    number = trim_blanks(F.col("f")[1])
+    number = trim_blanks(F.get("f", F.lit(1)))
     valid = F.when(number.rlike(r"^[+-]?[0-9]+$"), number.try_cast("int"))
-    return fields.select(trim_blanks(F.col("f")[0]).alias("term"), valid.cast("bigint").alias("df"), *keep).where(
+    return fields.select(trim_blanks(F.get("f", F.lit(0))).alias("term"), valid.cast("bigint").alias("df"), *keep).where(
         "df IS NOT NULL"
     )
 
