@@ -1,4 +1,4 @@
-"""No streaming operators: every job here is a bounded batch over a finished corpus.
+"""No streaming operators of their own: every job here is a bounded batch over a finished corpus.
 
-Column functions and ``explode_tokens`` also work on a streaming DataFrame.
+``word_counts`` also runs on a streaming DataFrame, for a corpus that arrives in parts.
 """
