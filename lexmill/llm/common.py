@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,3 +80,20 @@ def stored(df: DataFrame, name: str, *, codec: str = "zstd") -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once per application, so that it need not be installed there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="llm-package-")) / f"{top.name}.zip"
+    with zipfile.ZipFile(archive, "w") as whole:
+        for module in sorted(top.rglob("*.py")):
+            whole.write(module, module.relative_to(top.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexmill.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_report
 from lexmill.llm.quality import quality_report
+from lexmill.llm.simhash import near_duplicates
+from lexmill.llm.token_counts import token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,12 +20,22 @@ def op3_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op6_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_llr": op3_quality_llr,
+    "op4_token_counts": op4_token_counts,
+    "op6_simhash_variants": op6_simhash_variants,
     "op9_line_dedup": op9_line_dedup,
 }
 
