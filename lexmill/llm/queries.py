@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexmill.llm.bpe import round_trip
 from lexmill.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_report
+from lexmill.llm.mixing import MIX_SQL, mix_report
 from lexmill.llm.quality import quality_report
 from lexmill.llm.simhash import near_duplicates
 from lexmill.llm.token_counts import token_counts
@@ -24,10 +26,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op6_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_report(table(spark, sf_dir, "documents"))
 
@@ -35,10 +45,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_llr": op3_quality_llr,
     "op4_token_counts": op4_token_counts,
+    "op5_bpe_transducer": op5_bpe_transducer,
     "op6_simhash_variants": op6_simhash_variants,
+    "op8_curriculum_mix": op8_curriculum_mix,
     "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_curriculum_mix": MIX_SQL,
     "op9_line_dedup": LINE_DEDUP_SQL,
 }
