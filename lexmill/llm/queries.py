@@ -12,12 +12,17 @@ from lexmill.llm.mixing import MIX_SQL, mix_report
 from lexmill.llm.quality import quality_report
 from lexmill.llm.simhash import near_duplicates
 from lexmill.llm.token_counts import token_counts
+from lexmill.llm.warc import archived_pages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +48,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc_archive": op2_warc_archive,
     "op3_quality_llr": op3_quality_llr,
     "op4_token_counts": op4_token_counts,
     "op5_bpe_transducer": op5_bpe_transducer,
