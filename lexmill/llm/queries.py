@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexmill.llm.bpe import round_trip
 from lexmill.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_report
 from lexmill.llm.mixing import MIX_SQL, mix_report
+from lexmill.llm.order_minhash import fingerprints
 from lexmill.llm.quality import quality_report
 from lexmill.llm.simhash import near_duplicates
 from lexmill.llm.token_counts import token_counts
@@ -47,6 +48,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": op2_warc_archive,
     "op3_quality_llr": op3_quality_llr,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash_variants": op6_simhash_variants,
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_line_dedup": op9_line_dedup,
+    "op10_order_minhash": op10_order_minhash,
 }
 
 ORACLES: dict[str, str] = {
