@@ -86,22 +86,21 @@ def linked_prints(prints: DataFrame) -> DataFrame:
     A group of near copies has a link for every pair, but components need only
     as many as hold it together. So the fingerprints of a bucket are first
     linked to the smallest one there, and only buckets that still hold two
-    components are joined with themselves, across components. Every link
-    within MAX_BITS shares a bucket, so none that joins two components is
-    missed. A bucket holds distinct fingerprints that agree in 20 or 21 bits.
+    components are joined with themselves, across components and verified in
+    the join. Every link within MAX_BITS shares a bucket, so none that joins two
+    components is missed. A bucket holds distinct fingerprints that agree in 20
+    or 21 bits: no copies, but unrelated ones, as many as there are
+    fingerprints for 2**20 values. Those never leave a window or a join.
     """
     bucket = Window.partitionBy("key")
-    placed = prints.select("p", _variants("p").alias("key")).select(
-        "p", "key", F.min("p").over(bucket).alias("lead"), F.max("p").over(bucket).alias("end")
-    )
-    shared = stored(placed.where("lead != end").drop("end"), "variants")
-    spokes = shared.where((F.col("p") != F.col("lead")) & _near("p", "lead"))
+    led = prints.select("p", _variants("p").alias("key")).select("p", F.min("p").over(bucket).alias("lead"))
+    spokes = led.where((F.col("p") != F.col("lead")) & _near("p", "lead"))
     grouped = components(spokes.select(F.col("p").alias("a"), F.col("lead").alias("b")))
-    members = shared.join(grouped, shared["p"] == grouped["node"], "left").select(
-        "key", "p", F.coalesce("label", "p").alias("c")
+    named = prints.join(grouped, prints["p"] == grouped["node"], "left").select("p", F.coalesce("label", "p").alias("c"))
+    members = named.select("p", "c", _variants("p").alias("key")).select(
+        "*", F.min("c").over(bucket).alias("low"), F.max("c").over(bucket).alias("high")
     )
-    mixed = members.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high")
-    open_rows = stored(members.join(mixed.select("key"), "key", "left_semi"), "open")
+    open_rows = stored(members.where("low != high").select("key", "p", "c"), "open")
     left = open_rows.select("key", F.col("p").alias("p1"), F.col("c").alias("c1"))
     right = open_rows.select("key", F.col("p").alias("p2"), F.col("c").alias("c2"))
     across = left.join(right, (left["key"] == right["key"]) & (F.col("c1") < F.col("c2")) & _near("p1", "p2"))
