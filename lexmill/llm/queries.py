@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexmill.llm.bpe import round_trip
+from lexmill.llm.html_layout import extracted
 from lexmill.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_report
 from lexmill.llm.mixing import MIX_SQL, mix_report
 from lexmill.llm.order_minhash import fingerprints
@@ -20,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
 def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
@@ -53,6 +58,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_layout": op1_html_layout,
     "op2_warc_archive": op2_warc_archive,
     "op3_quality_llr": op3_quality_llr,
     "op4_token_counts": op4_token_counts,
