@@ -14,6 +14,7 @@ from lexmill.llm.order_minhash import fingerprints
 from lexmill.llm.quality import quality_report
 from lexmill.llm.simhash import near_duplicates
 from lexmill.llm.token_counts import token_counts
+from lexmill.llm.toxicity import toxicity
 from lexmill.llm.warc import archived_pages
 
 
@@ -45,6 +46,11 @@ def op6_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op6_simhash_variants": op6_simhash_variants,
+    "op7_toxicity_channel": op7_toxicity_channel,
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_line_dedup": op9_line_dedup,
     "op10_order_minhash": op10_order_minhash,
