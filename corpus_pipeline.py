@@ -1,4 +1,9 @@
-"""Documents to training data: the stages, each written as Parquet and read again before the next."""
+"""Documents to training data, in five stages.
+
+Each stage works on all that its predecessor kept, and all but the last return
+the columns of ``documents``. Between stages the documents are written as
+Parquet and read again, which also cuts the lineage.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.llm.bpe import round_trip
 from lexmill.llm.common import stored
 from lexmill.llm.line_dedup import line_dedup
+from lexmill.llm.mixing import mix
 from lexmill.llm.quality import quality_rules
+from lexmill.llm.simhash import drop_near_duplicates
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -21,17 +29,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier one holds; those of which nothing is left go."""
-    left = line_dedup(docs).where(F.col("text") != "")
-    return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+    """Documents without the lines that another one keeps. A copy of which nothing is left stays, with an empty text."""
+    return line_dedup(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that with the smallest id."""
+    return drop_near_duplicates(docs).select(*COLUMNS)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, in the order of training."""
+    return mix(docs).select(*COLUMNS)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row of the mixture."""
+    return round_trip(docs.select("doc_id", "text")).drop("text")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality", quality),
+    ("quality_rules", quality),
     ("line_dedup", lines),
+    ("simhash_near_dedup", near_duplicates),
+    ("mixing", mixture),
+    ("bpe", tokens),
 ]
 
-#: The hashes of the quality rules are not in DuckDB, and its regular expressions are not those of the last stage.
+#: DuckDB has neither the hashes of the quality rules and fingerprints nor the tokenizer.
 ORACLE_SQL = None
 
 

@@ -47,6 +47,15 @@ def unpacked(df: DataFrame, names: Sequence[str], made: dict[str, Column]) -> li
     return kept + [column.alias(c) for c, column in made.items() if c not in names]
 
 
+def fenced(df: DataFrame, keep: Sequence[str], made: dict[str, Column]) -> DataFrame:
+    """The columns ``keep`` and ``made``, with a generator in between that no filter is pushed through.
+
+    A filter on what an expensive expression made would otherwise be evaluated
+    below it, with the expression copied into it, and into its lambdas.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*[column.alias(name) for name, column in made.items()]))))
+
+
 def doc_key(doc: str) -> Column:
     """An integer id that is never null: a missing id counts as the largest."""
     return F.coalesce(F.col(f"`{doc}`").cast("bigint"), F.lit(LAST_ID))

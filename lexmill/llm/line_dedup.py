@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import BLANKS, ascii_lower, doc_key, packed, stored, unpacked
+from lexmill.llm.common import BLANKS, ascii_lower, doc_key, fenced, packed, stored, unpacked
 
 # A hash held by a large part of all lines is joined in this many pieces.
 SALTS = 16
@@ -84,16 +84,19 @@ def line_dedup(
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = packed(docs, *_row_id(doc, text), body.alias("body"))
     drops = shared_lines(docs.select(doc, text), doc=doc, text=text, min_chars=min_chars, min_docs=min_docs)
-    joined = rows.join(drops, ["d", "t"], "left")
-    lines = F.split("body", "\n", -1)
-    positions = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
-    kept = F.array_join(F.transform(positions, lambda p: F.get(lines, p)), "\n")
+    # A column of its own: inside the lambda below, the text would be split for every line.
+    lines = F.when(F.col("dropped").isNotNull(), F.split("body", "\n", -1))
+    joined = rows.join(drops, ["d", "t"], "left").select("row", "body", "dropped", lines.alias("lines"))
+    positions = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("dropped"))
+    kept = F.array_join(F.transform(positions, lambda p: F.get("lines", p)), "\n")
     made = {
-        text: F.when(F.col("dropped").isNull(), F.col("body")).otherwise(kept),
+        "left": F.when(F.col("dropped").isNull(), F.col("body")).otherwise(kept),
         "n_lines": (F.length("body") - F.length(F.replace("body", F.lit("\n"), F.lit(""))) + 1).cast("bigint"),
         "n_dropped": F.coalesce(F.size("dropped"), F.lit(0)).cast("bigint"),
     }
-    return joined.select(*unpacked(joined, docs.columns, made))
+    found = fenced(joined, ["row"], made)
+    renamed = {text: F.col("left"), "n_lines": F.col("n_lines"), "n_dropped": F.col("n_dropped")}
+    return found.select(*unpacked(found, docs.columns, renamed))
 
 
 def line_dedup_report(docs: DataFrame, **options: object) -> DataFrame:

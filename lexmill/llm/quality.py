@@ -12,7 +12,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import BLANKS, packed, unpacked, words_of
+from lexmill.llm.common import BLANKS, fenced, packed, unpacked, words_of
 
 # Hash buckets of the multinomials: the size of the one array that reaches every task.
 BUCKETS = 1 << 16
@@ -152,7 +152,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", te
     scored = stats.select("*", failed.alias("base_failed"), (total / n_grams).alias("llr")).drop("hashes")
     made = {c: F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr")}
     made |= {"base_failed": F.col("base_failed"), "kept": ~F.col("base_failed") & (F.col("llr") >= THRESHOLD)}
-    return scored.select(*unpacked(scored, docs.columns, made))
+    judged = fenced(scored, ["row"], made)
+    return judged.select(*unpacked(judged, docs.columns, {c: F.col(c) for c in made}))
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
