@@ -61,19 +61,23 @@ def doc_key(doc: str) -> Column:
     return F.coalesce(F.col(f"`{doc}`").cast("bigint"), F.lit(LAST_ID))
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only a local session may leave it unset; it then gets a folder of its own,
-    which is recorded in the session.
+    Only a local session may leave it unset; the application then gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="llm-shared-")
+    return _own_folders[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -1,0 +1,46 @@
+"""The registered queries of this package: SQL where there is some, and a stable schema for all."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from lexmill.llm.queries import ORACLES, QUERIES
+
+COLUMNS = {
+    1: "page_id text",
+    2: "page_id payload_bytes payload_digest record_type refers_to",
+    3: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    4: "doc_id n_bytes n_tokens over_limit",
+    5: "doc_id n_tokens ids_sha256 decoded_sha256",
+    6: "doc_id fingerprint component_id",
+    7: "doc_id held_out score predicted",
+    8: "doc_id size source_size target taken",
+    9: "doc_id n_lines n_dropped kept_sha256",
+    10: "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+}
+
+
+def test_all_are_registered():
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(COLUMNS)
+    assert {*QUERIES, "pipeline"} <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_columns_and_rows(spark, sf_dir, name):
+    found = QUERIES[name](spark, sf_dir)
+    number = int(name[2:].split("_")[0])
+    assert set(COLUMNS[number].split()) <= set(found.columns)
+    table = "pages" if number < 3 else "documents"
+    assert found.count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_sql(spark, sf_dir, name):
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    want = connection.sql(ORACLES[name])
+    found = QUERIES[name](spark, sf_dir)
+    assert sorted(found.columns) == sorted(want.columns)
+    assert sorted(tuple(r[c] for c in want.columns) for r in found.collect()) == sorted(want.fetchall())
