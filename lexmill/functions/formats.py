@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexmill.functions.text import trim_blanks, whole_number
+
 # Fixed value: the collection size the TF-IDF formula assumes, whatever the real corpus size.
 COLLECTION_SIZE = 10000.0
 
@@ -38,12 +40,12 @@ def tf_stripe_text(stripe: Column) -> Column:
 
 
 def tf_stripe_entries(text: Column) -> Column:
-    """Decode ``a:1,b:2`` into ``array<struct<term, tf>>``; malformed cells are dropped."""
-    cells = F.transform(F.split(text, ","), lambda cell: F.split(cell, ":"))
+    """Decode ``a:1,b:2`` into ``array<struct<term, tf>>``; malformed cells are dropped, colons at their end ignored."""
+    cells = F.transform(F.split(text, ","), lambda cell: F.split(F.regexp_replace(cell, ":+$", ""), ":"))
     cells = F.transform(
         F.filter(cells, lambda parts: F.size(parts) == 2),
         lambda parts: F.struct(
-            F.trim(F.get(parts, F.lit(0))).alias("term"), F.trim(F.get(parts, F.lit(1))).try_cast("int").cast("bigint").alias("tf")
+            trim_blanks(F.get(parts, F.lit(0))).alias("term"), whole_number(F.get(parts, F.lit(1))).alias("tf")
         ),
     )
     return F.filter(cells, lambda cell: cell["tf"].isNotNull())

@@ -45,6 +45,12 @@ def trim_blanks(col: Column) -> Column:
     return F.regexp_replace(col, BLANKS_AT_ENDS, "")
 
 
+def whole_number(col: Column) -> Column:
+    """A 64-bit integer in decimal digits with an optional sign and blanks around it; null for anything else."""
+    digits = trim_blanks(col)
+    return F.when(digits.rlike(r"^[+-]?[0-9]+$"), digits.try_cast("bigint"))
+
+
 def split_lines(text: Column) -> Column:
     """The lines of a text, ended by any of the three terminators.
 
@@ -117,6 +123,13 @@ def _run_counts(name: str, count: str) -> Column:
     )
 
 
+def run_counts(
+    df: DataFrame, items: Column, *, name: str, count: str, keep: Sequence[str] = ()
+) -> tuple[DataFrame, Column]:
+    """Rows, and the array expression over them that holds each distinct element with its count, in order."""
+    return _run_ends(df, items, keep), _run_counts(name, count)
+
+
 def explode_runs(df: DataFrame, items: Column, *, name: str, count: str, keep: Sequence[str] = ()) -> DataFrame:
     """Count equal elements of an array inside the row: one row per distinct element.
 
@@ -125,11 +138,27 @@ def explode_runs(df: DataFrame, items: Column, *, name: str, count: str, keep: S
     expression: from a column Spark would infer a filter, push it down and
     compute the array twice.
     """
-    return _run_ends(df, items, keep).select(*keep, F.inline(_run_counts(name, count)))
+    rows, cells = run_counts(df, items, name=name, count=count, keep=keep)
+    return rows.select(*keep, F.inline(cells))
+
+
+def add_runs(
+    df: DataFrame, cells: Column, *, name: str, count: str, keep: Sequence[str] = ()
+) -> tuple[DataFrame, Column]:
+    """As ``run_counts`` for elements that have counts already: those of equal elements add up."""
+    rows = df.select(*keep, F.sort_array(cells).alias("_items"))
+    ends = F.filter(
+        F.transform("_items", lambda x, i: F.when(~x[name].eqNullSafe(F.get("_items", i + 1)[name]), i + 1)),
+        lambda i: i.isNotNull(),
+    )
+    rows = rows.select(*keep, "_items", ends.alias("_ends"))
 
+    def total(end: Column, i: Column) -> Column:
+        start = F.coalesce(F.get("_ends", i - 1), F.lit(0))
+        run = F.slice("_items", start + 1, end - start)
+        return F.struct(
+            F.get("_items", end - 1)[name].alias(name),
+            F.aggregate(run, F.lit(0).cast("bigint"), lambda a, x: a + x[count]).alias(count),
+        )
 
-def map_runs(df: DataFrame, items: Column, *, out: str, keep: Sequence[str] = ()) -> DataFrame:
-    """As ``explode_runs``, but one ``map<element, count>`` per row; rows without elements are left out."""
-    found = F.map_from_entries(_run_counts("key", "value"))
-    # A generator drops the empty rows, because a filter would be pushed down and compute the array twice.
-    return _run_ends(df, items, keep).select(*keep, F.explode(F.when(F.size("_ends") > 0, F.array(found))).alias(out))
+    return rows, F.transform("_ends", total)

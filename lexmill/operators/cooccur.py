@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from lexmill.functions.text import PAIRS, STRIPES, TokenProfile, explode_runs, raw_tokens
 from lexmill.sources.wordlists import as_literals, word_frame
 
-STRATEGIES = ("auto", "nested", "filter_last", "band_join")
+STRATEGIES = ("auto", "nested", "marked", "band_join")
+
+# A word that is a large part of all tokens meets a joined vocabulary in this many pieces.
+SALTS = 16
 
 
 def pairs(
@@ -32,14 +35,16 @@ def pairs(
 ) -> DataFrame:
     """``w, u, n``: how often ``u`` stands within ``distance`` positions of ``w``.
 
-    ``strategy`` is ``"nested"`` (pairs are made inside the row from vocabulary
-    words only; the vocabulary must be short enough for literals),
-    ``"filter_last"`` (pairs of all words are made inside the row, and counted
-    pairs are joined with the vocabulary), ``"band_join"`` (tokens are joined by
-    line and position) or ``"auto"``: nested if it can be, else filter_last.
-    The first two shuffle only partial counts. ``preagg`` is ``"task"`` (Spark's
-    partial aggregation) or ``"line"`` (counts inside each line before that).
-    ``key`` names columns that identify a line, for the band join.
+    ``strategy`` is ``"nested"`` (pairs of vocabulary words are made inside the
+    row; of the corpus only partial counts are shuffled), ``"marked"`` (positions
+    of vocabulary words are found by a join, lines are put together again from
+    those, and pairs are made inside them), ``"band_join"`` (tokens are joined by
+    line and position, for cross-checks) or ``"auto"``: nested if the vocabulary
+    is short enough for literals, else marked. A vocabulary too long for that
+    takes the marked way under ``"nested"``, too, with the same result.
+    ``preagg`` is ``"task"`` (Spark's partial aggregation) or ``"line"`` (counts
+    inside each line before that). ``key`` names columns that identify a line;
+    the band join needs them.
     """
     return _mirror(_count(lines, vocabulary, distance, text, profile, strategy, preagg, key, False))
 
@@ -56,17 +61,20 @@ def stripes(
     key: Sequence[str] = (),
     keep_empty: bool = False,
     require_vocabulary: bool = True,
+    parts: int = 1,
 ) -> DataFrame:
     """``w, stripe``: one ``map<neighbour, count>`` per word.
 
     ``keep_empty`` also returns words that occur but never have a neighbour,
     with an empty map. An empty vocabulary raises unless
-    ``require_vocabulary=False``. A map has at most one entry per vocabulary word.
+    ``require_vocabulary=False``. A map has at most one entry per vocabulary
+    word; for a vocabulary that makes it too long for a row, ``parts`` splits
+    each map over so many rows by the neighbour's hash, numbered by ``part``.
     """
     counted = _count(
         lines, vocabulary, distance, text, profile, strategy, preagg, key, keep_empty, require_vocabulary
     )
-    return _as_stripes(_mirror(counted))
+    return _as_stripes(_mirror(counted), parts)
 
 
 def merge_pairs(parts: Sequence[DataFrame]) -> DataFrame:
@@ -87,10 +95,13 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return whole
 
 
-def _as_stripes(cells: DataFrame) -> DataFrame:
-    """One map per word. Words that were only seen carry a null neighbour, which collect_list skips."""
+def _as_stripes(cells: DataFrame, parts: int = 1) -> DataFrame:
+    """One map per word and part. Words that were only seen carry a null neighbour, which collect_list skips."""
     cell = F.when(F.col("u").isNotNull(), F.struct("u", "n"))
-    return cells.groupBy("w").agg(F.map_from_entries(F.sort_array(F.collect_list(cell))).alias("stripe"))
+    # The null neighbour has part 0, like any other that falls there.
+    part = F.when(F.col("u").isNull(), 0).otherwise(F.pmod(F.xxhash64("u"), F.lit(parts)))
+    key = [F.col("w")] if parts == 1 else [F.col("w"), part.cast("int").alias("part")]
+    return cells.groupBy(*key).agg(F.map_from_entries(F.sort_array(F.collect_list(cell))).alias("stripe"))
 
 
 def _count(
@@ -113,8 +124,6 @@ def _count(
     words = as_literals(vocabulary) if strategy in ("auto", "nested") else None
     if words is not None:
         words = [word for word in words if word]
-    if strategy == "nested" and words is None:
-        raise ValueError("the vocabulary is too long for literals; use another strategy")
     if words is None and not isinstance(vocabulary, DataFrame):
         vocabulary = word_frame(lines.sparkSession, vocabulary)
     if required and (vocabulary.isEmpty() if words is None else not words):
@@ -123,11 +132,7 @@ def _count(
         return _nested(lines, words, distance, text, profile, preagg, seen)
     if strategy == "band_join":
         return _band_join(lines, vocabulary, distance, text, profile, preagg, key, seen)
-    counted = _nested(lines, None, distance, text, profile, preagg, seen)
-    # A word that was only seen has no second word to look up.
-    for column in (F.col("lo"), F.coalesce("hi", "lo")):
-        counted = counted.join(vocabulary, column == vocabulary["word"], "left_semi")
-    return counted
+    return _marked(lines, vocabulary, distance, text, profile, preagg, seen)
 
 
 def _ordered(a: Column, b: Column) -> Column:
@@ -139,21 +144,13 @@ def _alone(word: Column) -> Column:
 
 
 def _nested(
-    lines: DataFrame,
-    words: list[str] | None,
-    distance: int,
-    text: str,
-    profile: TokenProfile,
-    preagg: str,
-    seen: bool,
+    lines: DataFrame, words: list[str], distance: int, text: str, profile: TokenProfile, preagg: str, seen: bool
 ) -> DataFrame:
-    """Pairs from array expressions inside the row, of the given words or of all."""
+    """Pairs of the given words, from array expressions inside the row."""
     tokens = lines.select(raw_tokens(F.col(text), profile).alias("tokens"))
     known = F.col("tokens")
 
     def wanted(w: Column) -> Column:
-        if words is None:
-            return w != ""
         return w.isin(*words) if words else F.lit(False)
 
     kept = F.array_remove(F.transform(known, lambda w, i: F.when(wanted(w), i).otherwise(-1)), -1)
@@ -174,6 +171,39 @@ def _nested(
     return rows.select(F.inline(found)).groupBy("lo", "hi").agg(F.count("*").alias("n"))
 
 
+def _marked(
+    lines: DataFrame, vocabulary: DataFrame, distance: int, text: str, profile: TokenProfile, preagg: str, seen: bool
+) -> DataFrame:
+    """Pairs of the words of a table: positions of its words, put together again by line.
+
+    Other words go before anything is paired. A line is known by two hashes of
+    its text: lines of equal text are one, with the number of times it occurs.
+    """
+    body = F.col(text)
+    line = [F.xxhash64(body).alias("k1"), F.xxhash64(F.lit("line"), body).alias("k2")]
+    tokens = lines.select(*line, F.posexplode(raw_tokens(body, profile)).alias("pos", "w")).where("w != ''")
+    salt = F.pmod(F.xxhash64("k1", "pos"), F.lit(SALTS)).cast("int")
+    known = vocabulary.select(F.col("word").alias("w")).where("w IS NOT NULL").distinct()
+    known = known.select("w", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    kept = tokens.withColumn("salt", salt).join(known, ["w", "salt"], "left_semi")
+    placed = kept.groupBy("k1", "k2", "pos", "w").agg(F.count("*").alias("m"))
+    rows = placed.groupBy("k1", "k2").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "w"))).alias("kept"), F.max("m").alias("m")
+    )
+
+    def ahead(p: Column, i: Column) -> Column:
+        near = F.filter(F.slice("kept", i + 2, F.lit(distance)), lambda q: q["pos"] - p["pos"] <= distance)
+        return F.transform(near, lambda q: _ordered(p["w"], q["w"]))
+
+    found = F.flatten(F.transform("kept", ahead))
+    if seen:
+        found = F.concat(found, F.array_distinct(F.transform("kept", lambda p: _alone(p["w"]))))
+    if preagg == "line":
+        counted = explode_runs(rows, found, name="pair", count="c", keep=["m"])
+        return counted.groupBy("pair.lo", "pair.hi").agg(F.sum(F.col("c") * F.col("m")).alias("n"))
+    return rows.select("m", F.inline(found)).groupBy("lo", "hi").agg(F.sum("m").alias("n"))
+
+
 def _band_join(
     lines: DataFrame,
     vocabulary: DataFrame,
@@ -191,10 +221,10 @@ def _band_join(
     """
     key = list(key)
     if not key:
-        lines = lines.withColumn("_line", F.monotonically_increasing_id())
-        key = ["_line"]
+        raise ValueError("the band join needs columns that identify a line")
     tokens = lines.select(*key, F.posexplode(raw_tokens(F.col(text), profile)).alias("pos", "w")).where("w != ''")
-    kept = tokens.join(vocabulary.select(F.col("word").alias("w")).distinct(), "w", "left_semi")
+    known = vocabulary.select(F.col("word").alias("w")).where("w IS NOT NULL").distinct()
+    kept = tokens.join(known, "w", "left_semi")
     bucket = F.expr(f"pos div {int(distance)}")
     left = kept.select(*key, bucket.alias("bucket"), F.col("pos").alias("p"), F.col("w").alias("a"))
     right = kept.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.formats import COLLECTION_SIZE, tf_idf
 from lexmill.functions.porter import porter_array
-from lexmill.functions.text import DF, TF, TokenProfile, explode_runs, explode_tokens, map_runs, token_array
+from lexmill.functions.text import DF, TF, TokenProfile, add_runs, explode_tokens, run_counts, token_array
 from lexmill.operators.counts import without_stop_words
 from lexmill.operators.stems import attach_stems, stems_of
 from lexmill.sources.wordlists import as_literals, as_local_df_table
@@ -83,42 +83,69 @@ def term_frequency(
     profile: TokenProfile = TF,
     stop: DataFrame | Sequence[str] | None = None,
     stem: bool = False,
+    stems: DataFrame | None = None,
     row_is_document: bool = False,
     df_table: DataFrame | None = None,
 ) -> DataFrame:
     """``doc, term, tf``, and ``df`` when a DF table restricts the terms.
 
-    Counts are made inside each row. With ``row_is_document`` they are final and
-    nothing is shuffled; otherwise the rows of one document are summed up.
+    Counts are made inside each row. With ``row_is_document`` they are those of
+    the row; otherwise the rows of one document are summed up. ``stem=True``
+    stems the distinct terms of a row inside it; ``stems`` joins a table from
+    ``stem_vocabulary`` instead. How long the stop list is decides only whether
+    it is looked up in the row or joined.
     """
     literals, terms = as_literals(stop), None
     if df_table is not None:
         df_table, terms = as_local_df_table(df_table)
+    inline = stem and stems is None and literals is not None
+    keep = [doc]
+    if row_is_document and (literals is None or stems is not None):
+        # Counts of a row are joined and grouped again below, by row.
+        df, keep = df.withColumn("_row", F.monotonically_increasing_id()), ["_row", doc]
+    wanted = terms if (inline or not stem) and stems is None and literals is not None else None
+    counted = _row_counts(df, keep, text, profile, literals or [], inline, wanted)
     if literals is None:
-        rows = _token_terms(df, text, doc, profile, stop, stem)
-        counted = rows.select(doc, "term", F.lit(1).cast("bigint").alias("tf"))
-        row_is_document = False
-    else:
-        rows, items = _row_tokens(df, doc, text, profile, literals, stem, terms)
-        counted = explode_runs(rows, items, name="term", count="tf", keep=[doc])
+        counted = without_stop_words(counted, stop, "term")
+    if stems is not None:
+        counted = attach_stems(counted, stems, "term")
+    elif stem and not inline:
+        words = counted.select(*keep, "tf", F.array("term").alias("_words"))
+        counted = words.select(*keep, stems_of("_words").alias("term"), "tf")
+    counted = counted.where(F.length("term") >= profile.min_stem_len)
+    if df_table is not None:
+        counted = counted.join(df_table.select("term"), "term", "left_semi")
+    if not row_is_document or len(keep) > 1:
+        counted = counted.groupBy(*keep, "term").agg(F.sum("tf").alias("tf"))
     if df_table is not None:
         counted = counted.join(df_table, "term")
-    if row_is_document:
-        return counted.select(doc, "term", "tf", *(["df"] if df_table is not None else []))
-    return merge_counts(counted, doc)
+    return counted.select(doc, "term", "tf", *(["df"] if df_table is not None else []))
 
 
-def _row_tokens(
+def _row_counts(
     df: DataFrame,
-    doc: str,
+    keep: list[str],
+    text: str,
+    profile: TokenProfile,
+    stop: list[str],
+    stem: bool,
+    terms: list[str] | None,
+) -> DataFrame:
+    """``keep, term, tf``: one row per distinct term of a row."""
+    rows, cells = _row_cells(df, keep, text, profile, stop, stem, terms)
+    return rows.select(*keep, F.inline(cells))
+
+
+def _row_cells(
+    df: DataFrame,
+    keep: list[str],
     text: str,
     profile: TokenProfile,
     stop: list[str],
     stem: bool,
     terms: list[str] | None,
 ) -> tuple[DataFrame, Column]:
-    """Rows of ``doc, _terms`` and the array expression over them that holds the row's terms."""
-    rows = df.select(doc, token_array(F.col(text), profile, stop).alias("_terms"))
+    """Rows, and the array expression over them that holds each row's distinct terms as ``term, tf``."""
 
     def wanted(term: Column) -> Column:
         ok = F.length(term) >= profile.min_stem_len
@@ -126,23 +153,36 @@ def _row_tokens(
             return ok
         return ok & term.isin(*terms) if terms else F.lit(False)
 
-    return rows, F.filter(porter_array("_terms") if stem else F.col("_terms"), wanted)
+    tokens = token_array(F.col(text), profile, stop)
+    if not stem:
+        rows = df.select(*keep, tokens.alias("_terms"))
+        return run_counts(rows, F.filter("_terms", wanted), name="term", count="tf", keep=keep)
+    rows, cells = run_counts(df, tokens, name="term", count="tf", keep=keep)
+    rows = rows.select(*keep, cells.alias("_cells"))
+    rows = rows.select(*keep, "_cells", F.transform("_cells", lambda c: c["term"]).alias("_words"))
+    # Each distinct word of the row is stemmed once; words of one stem add up.
+    stemmed = F.zip_with(porter_array("_words"), "_cells", lambda s, c: F.struct(s.alias("term"), c["tf"].alias("tf")))
+    return add_runs(rows, F.filter(stemmed, lambda c: wanted(c["term"])), name="term", count="tf", keep=keep)
 
 
 def merge_counts(counted: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """Add up the counts of one document that come from several rows, parts or runs."""
-    known = ["df"] if "df" in counted.columns else []
-    return counted.groupBy(doc, "term", *known).agg(F.sum("tf").alias("tf"))
+    """``doc, term, tf``: counts of one document that come from several rows, parts or runs, added up.
+
+    A ``df`` column is left behind: join one DF table after the merge.
+    """
+    return counted.groupBy(doc, "term").agg(F.sum("tf").alias("tf"))
 
 
-def tf_stripes(tf: DataFrame, doc: str = "doc_id") -> DataFrame:
+def tf_stripes(tf: DataFrame, doc: str = "doc_id", *, parts: int = 1) -> DataFrame:
     """``doc, stripe``: one ``map<term, tf>`` per document that has a term.
 
     The map is as long as the document has distinct terms in ``tf``; restrict
-    them with a DF table first.
+    them with a DF table first. Where that is not enough, ``parts`` splits a
+    document's map over so many rows, numbered by ``part``.
     """
     cells = F.sort_array(F.collect_list(F.struct("term", "tf")))
-    return tf.groupBy(doc).agg(F.map_from_entries(cells).alias("stripe"))
+    key = [F.col(doc)] if parts == 1 else [F.col(doc), F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int").alias("part")]
+    return tf.groupBy(*key).agg(F.map_from_entries(cells).alias("stripe"))
 
 
 def row_stripes(
@@ -155,18 +195,23 @@ def row_stripes(
     stem: bool = False,
     df_table: DataFrame | None = None,
 ) -> DataFrame:
-    """``tf_stripes`` for one row per document: the map is built inside the row and nothing is shuffled.
+    """``doc, stripe`` for one row per document: one map per row that has a term.
 
-    Stop lists and DF tables too long for literals go the way of ``term_frequency``.
+    With a short stop list and DF table the map is built inside the row and
+    nothing is shuffled; longer ones are joined, and the row is put together again.
     """
     literals, terms = as_literals(stop), None
     if df_table is not None:
         df_table, terms = as_local_df_table(df_table)
     if literals is None or (df_table is not None and terms is None):
-        tf = term_frequency(df, doc=doc, text=text, profile=profile, stop=stop, stem=stem, df_table=df_table)
-        return tf_stripes(tf, doc)
-    rows, items = _row_tokens(df, doc, text, profile, literals, stem, terms)
-    return map_runs(rows, items, out="stripe", keep=[doc])
+        rows = df.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(doc).alias("id")).alias("_key"), text)
+        tf = term_frequency(rows, doc="_key", text=text, profile=profile, stop=stop, stem=stem, df_table=df_table)
+        return tf_stripes(tf, "_key").select(F.col("_key.id").alias(doc), "stripe")
+    rows, cells = _row_cells(df, [doc], text, profile, literals, stem, terms)
+    filled = rows.select(doc, cells.alias("_cells"))
+    # A generator drops the empty rows, because a filter would be pushed down and compute the array twice.
+    found = F.when(F.size("_cells") > 0, F.array(F.map_from_entries("_cells")))
+    return filled.select(doc, F.explode(found).alias("stripe"))
 
 
 def scores(tf: DataFrame, df_table: DataFrame | None = None, *, doc: str = "doc_id", n_docs: float = COLLECTION_SIZE) -> DataFrame:

@@ -223,12 +223,18 @@ def scored(tf_sql: str, df_sql: str, doc: str) -> str:
 
 
 TF_DOC = tf("documents", "doc_id")
-TALK = "(SELECT conv_id AS doc_id, text FROM conversations)"
+TF_ALL = f"SELECT doc_id, word AS term, count(*) AS tf FROM ({tokens('documents', T.TF, 'doc_id', stop=False)}) GROUP BY ALL"
+DF_ALL = (
+    f"SELECT word AS term, count(DISTINCT doc_id) AS df FROM ({tokens('documents', T.DF, 'doc_id', stop=False)}) GROUP BY word"
+)
+PAGE_WORDS = counts("pages", text="html", stop=False)
+FILES = "(SELECT 'source=' || source || '/lang=' || lang AS doc_id, text FROM documents)"
 SCORED_TF = f"SELECT t.* FROM ({TF_DOC}) t JOIN (SELECT * FROM ({DF_LINE}) {TOP100}) d ON t.term = d.term"
 TF_STRIPES = (
     f"SELECT doc_id, string_agg(term || ':' || tf, ',' ORDER BY term) AS stripe FROM ({SCORED_TF}) GROUP BY doc_id"
 )
 TFIDF = scored(TF_DOC, DF_LINE, "doc_id")
+LARGE = "SELECT term || '+' AS term, df + 3000000000 AS df FROM t"
 MERGED = " UNION ALL ".join(
     f"SELECT word, n FROM ({counts(source, text=text)})"
     for source, text in [("documents", "text"), ("conversations", "text"), ("pages", "html"), ("benchmark", "text")]
@@ -258,9 +264,9 @@ ORACLES: dict[str, str] = {
     **{f"cooc_pairs_d{d}": pairs(d) for d in (1, 2, 3, 4)},
     "cooc_pairs_band_d2": pairs(2),
     "cooc_pairs_line_preagg_d2": pairs(2),
-    "cooc_pairs_part_preagg_d2": pairs(2),
     "cooc_pairs_pages_d2": pairs(2, vocabulary=PAGE_VOCABULARY, lines=PAGE_LINES),
     "cooc_pairs_large_vocabulary_d1": pairs(1, vocabulary=FREQUENT),
+    "cooc_pairs_large_vocabulary_d4": pairs(4, vocabulary=FREQUENT),
     "cooc_pairs_large_vocabulary_band_d1": pairs(1, vocabulary=FREQUENT),
     **{f"cooc_stripes_d{d}": stripes(d) for d in (1, 2, 3, 4)},
     "cooc_stripes_line_preagg_d2": stripes(2),
@@ -277,8 +283,8 @@ ORACLES: dict[str, str] = {
     "df_top100_stemmed": f"SELECT row_number() OVER (ORDER BY df DESC, term) AS rank, term, df "
     f"FROM ({DF_LINE_STEMMED}) {TOP100}",
     "df_vocab_size": f"SELECT count(*) AS n_terms FROM ({DF_LINE})",
-    "df_table_read": DF_LINE,
-    "count_table_read": f"WITH t AS ({DF_LINE}) SELECT term, df FROM t UNION ALL SELECT term, df + 1 AS df FROM t",
+    "df_table_read": f"WITH t AS ({DF_LINE}) SELECT term, df FROM t UNION ALL {LARGE}",
+    "count_table_read": f"WITH t AS ({DF_LINE}) SELECT term, df FROM t UNION ALL SELECT term, df + 1 FROM t UNION ALL {LARGE}",
     "term_freq": TF_DOC,
     "term_freq_by_line": TF_DOC,
     "term_freq_conversations": stemmed_tf("conversations", "conv_id"),
@@ -291,11 +297,16 @@ ORACLES: dict[str, str] = {
     "tfidf_conversations": scored(
         stemmed_tf("conversations", "conv_id"), stemmed_df("conversations", "conv_id"), "conv_id"
     ),
-    "tfidf_merged_runs": scored(
-        f"SELECT doc_id, term, sum(tf) AS tf FROM ({TF_DOC} UNION ALL {tf(TALK, 'doc_id')}) GROUP BY doc_id, term",
-        DF_LINE,
-        "doc_id",
-    ),
+    "tfidf_merged_runs": TFIDF,
+    "term_freq_long_stop_list": f"SELECT * FROM ({TF_ALL}) WHERE term NOT IN (SELECT word FROM ({PAGE_WORDS}))",
+    "doc_freq_long_stop_list": f"SELECT * FROM ({DF_ALL}) WHERE term NOT IN (SELECT word FROM ({PAGE_WORDS}))",
+    "tfidf_small_collection": TFIDF.replace("10000.0", "(SELECT count(*)::DOUBLE FROM documents)"),
+    "tfidf_of_files": scored(tf(FILES, "doc_id"), DF_LINE, "doc_id"),
+    "top100_from_counts": f"SELECT row_number() OVER (ORDER BY df DESC, term) AS rank, term, df FROM ({DF_LINE}) {TOP100}",
+    "src_docs_by_name": "SELECT count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars "
+    f"FROM {lines('documents', 'lang')}",
+    "src_docs_whole": "SELECT source, lang, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars "
+    f"FROM {lines('documents', 'source, lang')} GROUP BY source, lang",
     "tfidf_text": f"SELECT doc_id, term, printf('%.6f', score) AS score FROM ({TFIDF})",
     "tfidf_from_files": TFIDF,
     "src_lines": f"SELECT line, count(*) AS n FROM {LINES} GROUP BY line",

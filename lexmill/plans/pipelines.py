@@ -7,26 +7,35 @@ a table of documents); output is a lazy DataFrame to show, join or write.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import DF, PAIRS, STRIPES, TF, WORDCOUNT, WORDCOUNT_CASED
+from lexmill.functions.formats import COLLECTION_SIZE
+from lexmill.functions.text import DF, PAIRS, STRIPES, TF, WORDCOUNT, WORDCOUNT_CASED, TokenProfile
 from lexmill.operators.cooccur import pairs, stripes
 from lexmill.operators.counts import top_terms, top_words, word_counts
 from lexmill.operators.frequency import document_frequency, scores, term_frequency
+from lexmill.sources.wordlists import read_counts
 
 Words = DataFrame | Sequence[str]
 
 
 def most_frequent_words(
-    corpus: DataFrame, *, text: str = "text", stop: Words | None = None, k: int = 50, case_sensitive: bool = False
+    corpus: DataFrame,
+    *,
+    text: str = "text",
+    stop: Words | None = None,
+    k: int = 50,
+    case_sensitive: bool = False,
+    min_len: int = WORDCOUNT.min_len,
 ) -> DataFrame:
-    """The ``k`` most frequent words that are not stop words, as ``word, n``.
+    """The ``k`` most frequent words of ``min_len`` letters or more that are not stop words, as ``word, n``.
 
     The stop list stays lowercase in a case-sensitive count, so ``The`` is counted then.
     """
-    profile = WORDCOUNT_CASED if case_sensitive else WORDCOUNT
+    profile = replace(WORDCOUNT_CASED if case_sensitive else WORDCOUNT, min_len=min_len)
     return top_words(word_counts(corpus, text=text, profile=profile, stop=stop), k)
 
 
@@ -57,6 +66,11 @@ def top_document_frequency(
     return top_terms(document_frequency(records, text=text, doc=doc, profile=DF, stop=stop, stem=stem), k)
 
 
+def top_terms_from_counts(spark: SparkSession, paths: str | Sequence[str], k: int = 100) -> DataFrame:
+    """``rank, term, df`` of the ``k`` largest records of ``term<TAB>count`` files."""
+    return top_terms(read_counts(spark, paths), k)
+
+
 def tf_idf_scores(
     documents: DataFrame,
     df_table: DataFrame,
@@ -66,19 +80,21 @@ def tf_idf_scores(
     stop: Words | None = None,
     stem: bool = True,
     row_is_document: bool = False,
+    profile: TokenProfile = TF,
+    n_docs: float = COLLECTION_SIZE,
 ) -> DataFrame:
-    """``doc, term, score`` for the terms of the DF table."""
+    """``doc, term, score`` for the terms of the DF table; ``n_docs`` is the size of the collection in the formula."""
     tf = term_frequency(
         documents,
         doc=doc,
         text=text,
-        profile=TF,
+        profile=profile,
         stop=stop,
         stem=stem,
         row_is_document=row_is_document,
         df_table=df_table,
     )
-    return scores(tf, doc=doc)
+    return scores(tf, doc=doc, n_docs=n_docs)
 
 
 def merged(parts: Sequence[DataFrame]) -> DataFrame:

@@ -22,7 +22,7 @@ from lexmill.plans import pipelines as P
 from lexmill.plans.defaults import STOP_WORDS
 from lexmill.sources.corpus import lines_of, read_documents, read_lines, read_table
 from lexmill.sources.sinks import scratch_path, write_top_tsv, write_tsv
-from lexmill.sources.wordlists import read_counts, read_df_table, read_stop_words, read_vocabulary
+from lexmill.sources.wordlists import as_local_df_table, read_counts, read_df_table, read_stop_words, read_vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,7 +126,11 @@ def _frequent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cooc_pairs_large_vocabulary_d1(spark: SparkSession, sf: str) -> DataFrame:
-    return P.pair_cooccurrence(lines(spark, sf), _frequent(spark, sf), 1, strategy="filter_last")
+    return P.pair_cooccurrence(lines(spark, sf), _frequent(spark, sf), 1, strategy="marked")
+
+
+def cooc_pairs_large_vocabulary_d4(spark: SparkSession, sf: str) -> DataFrame:
+    return P.pair_cooccurrence(lines(spark, sf), _frequent(spark, sf), 4)
 
 
 def cooc_pairs_large_vocabulary_band_d1(spark: SparkSession, sf: str) -> DataFrame:
@@ -275,15 +279,35 @@ def tfidf_conversations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tfidf_merged_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines of documents and of conversations counted in two runs, merged by id, then scored."""
-    top = df_top100(spark, sf)
+    """Even and odd lines of the documents counted in two runs, merged by id, then scored with one DF table."""
+    top, _ = as_local_df_table(df_top100(spark, sf))
+    by_line = numbered_lines(spark, sf)
     runs = [
-        frequency.term_frequency(documents(spark, sf), stop=STOP_WORDS, row_is_document=True, df_table=top),
-        frequency.term_frequency(
-            conversations(spark, sf).withColumnRenamed("conv_id", "doc_id"), stop=STOP_WORDS, df_table=top
-        ),
+        frequency.term_frequency(by_line.where(f"line_no % 2 = {k}"), text="line", stop=STOP_WORDS, df_table=top)
+        for k in (0, 1)
     ]
-    return frequency.scores(frequency.merge_counts(P.merged(runs)))
+    return frequency.scores(frequency.merge_counts(P.merged([run.drop("df") for run in runs])), top)
+
+
+def _long_stop_list(spark: SparkSession, sf: str) -> DataFrame:
+    """All words of pages: more than are looked up as literals."""
+    return counts.word_counts(pages(spark, sf), text="html").select("word")
+
+
+def term_freq_long_stop_list(spark: SparkSession, sf: str) -> DataFrame:
+    return frequency.term_frequency(documents(spark, sf), stop=_long_stop_list(spark, sf), row_is_document=True)
+
+
+def doc_freq_long_stop_list(spark: SparkSession, sf: str) -> DataFrame:
+    return frequency.document_frequency(texts(spark, sf), stop=_long_stop_list(spark, sf))
+
+
+def tfidf_small_collection(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores with the true size of the collection in place of the constant."""
+    docs = documents(spark, sf)
+    return P.tf_idf_scores(
+        docs, df_top100(spark, sf), stop=STOP_WORDS, stem=False, row_is_document=True, n_docs=docs.count()
+    )
 
 
 def tfidf_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -343,7 +367,8 @@ def _messy_df_file(spark: SparkSession, sf: str) -> str:
         F.concat(term, tab, df, tab, df),
         F.concat(term, tab, F.lit("x")),
         F.concat(term, tab, df, F.lit(".0")),
-        F.concat(term, tab, F.lit("99999999999")),
+        F.concat(term, tab, F.lit("99999999999999999999")),
+        F.concat(term, F.lit("+"), tab, (F.col("df") + 3_000_000_000).cast("string")),
         F.lit(" "),
         F.concat(F.lit("  "), term, F.lit(" "), tab, F.lit(" +"), df, F.lit(" ")),
     )
@@ -359,6 +384,48 @@ def count_table_read(spark: SparkSession, sf: str) -> DataFrame:
     return read_counts(spark, _messy_df_file(spark, sf))
 
 
+def top100_from_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Document frequencies written to files, read back, and ranked."""
+    path = scratch_path(spark, "counts")
+    write_tsv(doc_freq_line(spark, sf), path, "term", "df")
+    return P.top_terms_from_counts(spark, path)
+
+
+def _document_files(spark: SparkSession, sf: str) -> str:
+    """Documents as text files, one folder per source and language."""
+    path = scratch_path(spark, "corpus")
+    corpus = read_table(spark, f"{sf}/documents.parquet", ["source", "lang", "text"])
+    by_file = lines_of(corpus, keep=["source", "lang"]).select("source", "lang", F.col("line").alias("value"))
+    # One file for each folder.
+    by_file.repartition("source", "lang").write.partitionBy("source", "lang").text(path)
+    return path
+
+
+def src_docs_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Files read as documents by base name: all lines are there, and no name has a folder in it."""
+    files = read_documents(spark, _document_files(spark, sf))
+    plain = F.col("doc_id").rlike("^[^/=]+$")
+    return files.where(plain).agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
+
+
+def src_docs_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole files as documents: lines and characters by source and language."""
+    files = read_documents(spark, _document_files(spark, sf), full_path=True, whole=True)
+    folder = [F.regexp_extract("doc_id", f"{c}=([^/]*)/", 1).alias(c) for c in ("source", "lang")]
+    n_lines = F.size(F.split("text", "\n")) - 1
+    return files.groupBy(*folder).agg(
+        F.sum(n_lines).cast("bigint").alias("n_lines"), F.sum(F.length("text") - n_lines).alias("n_chars")
+    )
+
+
+def tfidf_of_files(spark: SparkSession, sf: str) -> DataFrame:
+    """TF-IDF whose documents are files, by source and language."""
+    files = read_documents(spark, _document_files(spark, sf), full_path=True)
+    folder = F.regexp_extract("doc_id", "(source=[^/]*/lang=[^/]*)/", 1)
+    docs = files.select(folder.alias("doc_id"), "line")
+    return P.tf_idf_scores(docs, df_top100(spark, sf), text="line", stop=STOP_WORDS, stem=False)
+
+
 def sink_tsv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "counts")
     write_tsv(word_counts(spark, sf), path, "word", "n")
@@ -426,9 +493,9 @@ QUERIES: dict[str, Query] = {
     "cooc_pairs_d4": _pairs(4),
     "cooc_pairs_band_d2": cooc_pairs_band_d2,
     "cooc_pairs_line_preagg_d2": _pairs(2, preagg="line"),
-    "cooc_pairs_part_preagg_d2": _pairs(2, preagg="task"),
     "cooc_pairs_pages_d2": cooc_pairs_pages_d2,
     "cooc_pairs_large_vocabulary_d1": cooc_pairs_large_vocabulary_d1,
+    "cooc_pairs_large_vocabulary_d4": cooc_pairs_large_vocabulary_d4,
     "cooc_pairs_large_vocabulary_band_d1": cooc_pairs_large_vocabulary_band_d1,
     "cooc_stripes_d1": _stripes(1),
     "cooc_stripes_d2": _stripes(2),
@@ -462,6 +529,13 @@ QUERIES: dict[str, Query] = {
     "tfidf_doc_unit": tfidf_doc_unit,
     "tfidf_conversations": tfidf_conversations,
     "tfidf_merged_runs": tfidf_merged_runs,
+    "term_freq_long_stop_list": term_freq_long_stop_list,
+    "doc_freq_long_stop_list": doc_freq_long_stop_list,
+    "tfidf_small_collection": tfidf_small_collection,
+    "tfidf_of_files": tfidf_of_files,
+    "top100_from_counts": top100_from_counts,
+    "src_docs_by_name": src_docs_by_name,
+    "src_docs_whole": src_docs_whole,
     "tfidf_text": tfidf_text,
     "tfidf_from_files": tfidf_from_files,
     "src_lines": src_lines,

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def session(master: str | None = None, *, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
+def session(master: str | None = None, *, shuffle_partitions: int | None = None, split_bytes: int | str = "128m", **settings: str) -> SparkSession:
     """Get or create a session.
 
-    Input splits are 128 MB and small files are packed into them. AQE coalesces
+    Input splits are ``split_bytes`` and small files are packed into them. AQE coalesces
     shuffle partitions and splits skewed ones. ``settings`` are Spark settings
     with ``__`` for the dots.
     """
@@ -17,7 +17,7 @@ def session(master: str | None = None, *, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.files.maxPartitionBytes", "128m")
+        .config("spark.sql.files.maxPartitionBytes", str(split_bytes))
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:

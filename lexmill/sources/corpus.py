@@ -18,19 +18,24 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row per line of the text files, as ``line``.
 
     Small files share partitions and large ones are split, both at
-    ``spark.sql.files.maxPartitionBytes``.
+    ``spark.sql.files.maxPartitionBytes``, which ``session(split_bytes=)`` sets.
     """
     return spark.read.text(paths).select(F.col("value").alias("line"))
 
 
 def read_documents(
-    spark: SparkSession, paths: str | Sequence[str], *, full_path: bool = False, whole: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    full_path: bool = False,
+    whole: bool = False,
 ) -> DataFrame:
     """Text files as documents: ``doc_id`` and one row per ``line``.
 
     The id is the file's base name, so files of the same name in two folders
     are one document; ``full_path=True`` keeps them apart. ``whole=True``
-    returns one row per file instead, with its content in ``text``.
+    returns one row per file instead, with its content in ``text``: a file must
+    then fit a row, which can have 2 GB.
     """
     doc_id = F.col("_metadata.file_path" if full_path else "_metadata.file_name").alias("doc_id")
     content = F.col("value").alias("text" if whole else "line")
@@ -43,15 +48,17 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFr
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan that has no more partitions than the cluster has cores.
+    """Repartition a scan that would leave more than half of the cores without work.
 
-    Tokenizing is CPU work, and a corpus in one row group would run in one
-    task. A scan large enough to fill the cluster is returned as it is.
+    Tokenizing is CPU work, and a corpus in one row group, which no split size
+    divides, would run in one task. Anything larger is returned as it is, and so
+    is what has been shuffled before; no job runs here.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     have = df.rdd.getNumPartitions()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    want = min(cores, have * PIECES_PER_SPLIT)
-    return df.repartition(want) if have <= want else df
+    return df.repartition(min(cores, have * PIECES_PER_SPLIT)) if 2 * have < cores else df
 
 
 def lines_of(df: DataFrame, *, text: str = "text", keep: Sequence[str] = (), numbered: bool = False) -> DataFrame:

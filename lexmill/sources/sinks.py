@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -16,19 +18,40 @@ def write_tsv(df: DataFrame, path: str, *columns: str | Column, mode: str = "err
     df.select(line.alias("value")).write.mode(mode).text(path)
 
 
-def write_top_tsv(df: DataFrame, path: str, *columns: str | Column, mode: str = "errorifexists") -> None:
-    """As ``write_tsv`` into a single file. Only for results that a limit has already made small."""
-    write_tsv(df.coalesce(1), path, *columns, mode=mode)
+def write_top_tsv(df: DataFrame, path: str, *columns: str | Column, mode: str = "errorifexists", k: int = 10_000) -> None:
+    """As ``write_tsv`` into a single file, in order. More than ``k`` rows raise: they belong in many files.
+
+    At most ``k`` + 1 rows pass through the driver, and what computes them keeps its tasks.
+    """
+    rows = df.take(k + 1)
+    if len(rows) > k:
+        raise ValueError(f"more than {k} rows for a single file")
+    write_tsv(df.sparkSession.createDataFrame(rows, df.schema).coalesce(1), path, *columns, mode=mode)
+
+
+_own_folders: dict[str, str] = {}
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the cluster's shared folder (``spark.checkpoint.dir``).
+def scratch_path(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh path under ``root``, by default the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only a local session without that setting gets a temporary folder.
+    Only a local session may do without either. It then gets a folder of its
+    own for the application, which is removed when Python ends.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="lexmill-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if context.applicationId not in _own_folders:
+            own = _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="lexmill-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+        root = _own_folders[context.applicationId]
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
+    """Write ``df`` to a fresh table in the scratch folder and read it back: what follows does not compute it again."""
+    path = scratch_path(df.sparkSession, name, root)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

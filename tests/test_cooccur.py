@@ -8,13 +8,14 @@ from hypothesis import strategies as st
 from lexmill.functions.formats import stripe_text
 from lexmill.functions.text import PAIRS
 from lexmill.operators.cooccur import merge_pairs, merge_stripes, pairs, stripes
+from lexmill.sources import wordlists
 from pyspark.sql import functions as F
 
-STRATEGIES = ["nested", "filter_last", "band_join"]
+STRATEGIES = ["nested", "marked", "band_join"]
 
 
 def lines(spark, *texts):
-    return spark.createDataFrame([(t,) for t in texts], "line string")
+    return spark.createDataFrame(list(enumerate(texts)), "id int, line string")
 
 
 def as_dict(df):
@@ -24,7 +25,7 @@ def as_dict(df):
 @pytest.mark.parametrize("strategy", STRATEGIES)
 @pytest.mark.parametrize("preagg", ["task", "line"])
 def test_words_outside_the_vocabulary_take_up_a_position(spark, strategy, preagg):
-    options = {"strategy": strategy, "preagg": preagg}
+    options = {"strategy": strategy, "preagg": preagg, "key": ["id"]}
     assert as_dict(pairs(lines(spark, "a x b"), ["a", "b"], 1, **options)) == {}
     assert as_dict(pairs(lines(spark, "a x b"), ["a", "b"], 2, **options)) == {("a", "b"): 1, ("b", "a"): 1}
     assert as_dict(pairs(lines(spark, "a a a"), ["a"], 1, **options)) == {("a", "a"): 4}
@@ -33,7 +34,7 @@ def test_words_outside_the_vocabulary_take_up_a_position(spark, strategy, preagg
 @pytest.mark.parametrize("strategy", STRATEGIES)
 def test_edges(spark, strategy):
     df = lines(spark, "", "a", "--a b", "b", "... ", "aéb")
-    assert as_dict(pairs(df, ["a", "b"], 5, strategy=strategy)) == {("a", "b"): 2, ("b", "a"): 2}
+    assert as_dict(pairs(df, ["a", "b"], 5, strategy=strategy, key=["id"])) == {("a", "b"): 2, ("b", "a"): 2}
 
 
 @pytest.mark.parametrize("strategy", STRATEGIES)
@@ -46,9 +47,9 @@ def test_equals_brute_force_on_long_skewed_lines(spark, strategy):
     vocabulary = {"hot", "a", "b", "c"}
     for d in (1, 2, 3, 7):
         expected = window_pairs(texts, vocabulary, d)
-        assert as_dict(pairs(lines(spark, *texts), sorted(vocabulary), d, strategy=strategy)) == expected
+        assert as_dict(pairs(lines(spark, *texts), sorted(vocabulary), d, strategy=strategy, key=["id"])) == expected
     vocabulary = spark.createDataFrame([(w,) for w in vocabulary], "word string")
-    assert as_dict(pairs(lines(spark, *texts), vocabulary, 2, strategy=strategy)) == window_pairs(
+    assert as_dict(pairs(lines(spark, *texts), vocabulary, 2, strategy=strategy, key=["id"])) == window_pairs(
         texts, {"hot", "a", "b", "c"}, 2
     )
 
@@ -90,9 +91,9 @@ def test_stripes_use_their_own_tokenizer(spark):
 def test_keep_empty_returns_lonely_words(spark, strategy):
     df = lines(spark, "a b", "alone x", "alone")
     vocabulary = ["a", "b", "alone", "absent"]
-    found = stripes(df, vocabulary, 1, strategy=strategy, keep_empty=True)
+    found = stripes(df, vocabulary, 1, strategy=strategy, key=["id"], keep_empty=True)
     assert {r.w: r.stripe for r in found.collect()} == {"a": {"b": 1}, "b": {"a": 1}, "alone": {}}
-    found = stripes(df, vocabulary, 1, strategy=strategy)
+    found = stripes(df, vocabulary, 1, strategy=strategy, key=["id"])
     assert {r.w for r in found.collect()} == {"a", "b"}
 
 
@@ -101,9 +102,9 @@ def test_empty_vocabulary(spark):
     empty = spark.createDataFrame([], "word string")
     for vocabulary, strategy in (([], "auto"), (empty, "auto"), (empty, "band_join")):
         with pytest.raises(ValueError):
-            stripes(df, vocabulary, 1, strategy=strategy)
-        assert stripes(df, vocabulary, 1, strategy=strategy, require_vocabulary=False).count() == 0
-        assert pairs(df, vocabulary, 1, strategy=strategy).count() == 0
+            stripes(df, vocabulary, 1, strategy=strategy, key=["id"])
+        assert stripes(df, vocabulary, 1, strategy=strategy, key=["id"], require_vocabulary=False).count() == 0
+        assert pairs(df, vocabulary, 1, strategy=strategy, key=["id"]).count() == 0
 
 
 def test_long_vocabulary_needs_no_literals(spark):
@@ -111,8 +112,49 @@ def test_long_vocabulary_needs_no_literals(spark):
     extra = spark.createDataFrame([("a",), ("b",)], "word string")
     df = lines(spark, "a b zz a")
     assert as_dict(pairs(df, words.unionByName(extra), 3)) == {("a", "b"): 2, ("b", "a"): 2, ("a", "a"): 2}
+    assert as_dict(pairs(df, words.unionByName(extra), 3, strategy="nested")) == as_dict(pairs(df, ["a", "b"], 3))
     with pytest.raises(ValueError):
-        pairs(df, words, 1, strategy="nested")
+        pairs(df, words, 1, strategy="band_join")
+
+
+@pytest.mark.parametrize("preagg", ["task", "line"])
+def test_results_do_not_depend_on_the_length_of_the_vocabulary(spark, monkeypatch, preagg):
+    df = lines(spark, "a b a", "a b a", "don't x a", "lonely", None, "")
+    vocabulary = spark.createDataFrame([("a",), ("b",), ("lonely",), ("don't",), (None,)], "word string")
+
+    def everything():
+        return [
+            sorted(map(repr, f.collect()))
+            for d in (1, 4)
+            for f in (
+                pairs(df, vocabulary, d, preagg=preagg),
+                stripes(df, vocabulary, d, preagg=preagg),
+                stripes(df, vocabulary, d, preagg=preagg, keep_empty=True),
+            )
+        ]
+
+    short = everything()
+    monkeypatch.setattr(wordlists, "LITERAL_WORDS", 0)
+    assert everything() == short
+
+
+def test_long_vocabularies_are_joined_before_pairs_are_made(spark):
+    df = lines(spark, "a b zz a")
+    vocabulary = spark.range(20_000).selectExpr("'w' || id AS word")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pairs(df, vocabulary, 2)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    order = [i for i, line in enumerate(plan.splitlines()) if "Aggregate [lo" in line or "Join LeftSemi" in line]
+    assert len(order) == 2 and "Aggregate [lo" in plan.splitlines()[order[0]]
+
+
+def test_a_word_with_many_neighbours_in_parts(spark):
+    many = spark.range(50_000).selectExpr("'hot n' || id AS line")
+    found = stripes(many, many.selectExpr("substring(line, 5) AS word").union(spark.sql("SELECT 'hot'")), 1, parts=16)
+    hot = found.where("w = 'hot'").collect()
+    assert len(hot) == 16 and sum(len(r.stripe) for r in hot) == 50_000 and max(len(r.stripe) for r in hot) < 5_000
 
 
 def test_bad_arguments(spark):

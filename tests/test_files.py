@@ -51,12 +51,12 @@ def test_vocabulary_formats(spark, text_file):
 
 def test_tolerant_df_table(spark, text_file):
     path = text_file(
-        "df.tsv", "a\t1", "", "b", "c\t1\t2", "d\tx", "e\t1.0", "f\t99999999999", " g \t +5 ", "h\t-3", "a\t7", "i\t"
+        "df.tsv", "a\t1", "", "b", "c\t1\t2", "d\tx", "e\t1.0", "f\t99999999999999999999", "big\t3000000000", " g \t +5 ", "h\t-3", "a\t7", "i\t"
     )
     rows = sorted(map(tuple, wordlists.read_counts(spark, path).collect()))
-    assert rows == [("a", 1), ("a", 7), ("g", 5), ("h", -3)]
+    assert rows == [("a", 1), ("a", 7), ("big", 3_000_000_000), ("g", 5), ("h", -3)]
     rows = sorted(map(tuple, wordlists.read_df_table(spark, path).collect()))
-    assert rows == [("a", 7), ("g", 5), ("h", -3)]
+    assert rows == [("a", 7), ("big", 3_000_000_000), ("g", 5), ("h", -3)]
 
 
 def test_last_duplicate_wins_across_splits(spark, text_file):
@@ -101,11 +101,31 @@ def test_scratch_folder_follows_the_session(spark):
     assert sinks.scratch_path(spark, "x") != sinks.scratch_path(spark, "x")
 
 
-def test_spread_only_when_cores_would_idle(spark, sf_dir):
-    few = spark.range(100, numPartitions=1)
-    assert corpus.spread(few).rdd.getNumPartitions() == 4
-    many = spark.range(100, numPartitions=9)
-    assert corpus.spread(many).rdd.getNumPartitions() == 9
+@pytest.mark.parametrize(("have", "after"), [(1, 4), (2, 2), (4, 4), (8, 8)])
+def test_spread_only_when_most_cores_would_idle(spark, have, after):
+    assert corpus.spread(spark.range(100, numPartitions=have)).rdd.getNumPartitions() == after
+
+
+def test_spread_runs_no_job_and_leaves_shuffled_data(spark):
+    shuffled = spark.range(100, numPartitions=3).groupBy((F.col("id") % 3).alias("k")).count()
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    assert corpus.spread(shuffled) is shuffled
+    assert len(tracker.getJobIdsForGroup()) == before
+
+
+def test_large_counts_survive_files(spark, tmp_path):
+    counts = spark.createDataFrame([("the", 3_000_000_000), ("cat", 5)], "term string, df bigint")
+    path = str(tmp_path / "counts")
+    sinks.write_tsv(counts, path, "term", "df")
+    for read in (wordlists.read_counts, wordlists.read_df_table):
+        assert sorted(map(tuple, read(spark, path).collect())) == [("cat", 5), ("the", 3_000_000_000)]
+    assert list(map(tuple, pipelines.top_terms_from_counts(spark, path, 1).collect())) == [(1, "the", 3_000_000_000)]
+
+
+def test_single_file_sink_refuses_many_rows(spark, tmp_path):
+    with pytest.raises(ValueError):
+        sinks.write_top_tsv(spark.range(11), str(tmp_path / "many"), "id", k=10)
 
 
 def test_literals_are_bounded(spark):

@@ -1,4 +1,5 @@
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +9,8 @@ from lexmill.functions.text import TF
 from lexmill.operators import frequency
 from lexmill.operators.stems import stem_vocabulary
 from lexmill.plans import pipelines
+from lexmill.sources import wordlists
 from lexmill.sources.corpus import lines_of
-from lexmill.sources.wordlists import word_frame
 
 
 @pytest.fixture
@@ -50,15 +51,60 @@ def test_stemmed_terms_are_distinct_after_stemming(spark, docs):
         assert df_of(frequency.document_frequency(docs, doc=doc, stop=["the"], stems=stems)) == expected
 
 
-def test_stop_lists_too_long_for_literals_are_joined(spark, docs, monkeypatch):
-    stop = word_frame(spark, ["the", "run"])
-    for stem in (False, True):
-        short = df_of(frequency.document_frequency(docs, stop=stop, stem=stem))
-        short_tf = sorted(map(tuple, frequency.term_frequency(docs, stop=stop, stem=stem).collect()))
-        monkeypatch.setattr(frequency, "as_literals", lambda words: None)
-        assert df_of(frequency.document_frequency(docs, stop=stop, stem=stem)) == short
-        assert sorted(map(tuple, frequency.term_frequency(docs, stop=stop, stem=stem).collect())) == short_tf
-        monkeypatch.undo()
+@pytest.mark.parametrize("stem", [False, True])
+@pytest.mark.parametrize("row", [False, True])
+@pytest.mark.parametrize("min_stem_len", [1, 3])
+def test_results_do_not_depend_on_the_length_of_lists(spark, docs, monkeypatch, stem, row, min_stem_len):
+    """Everything with lists as literals and as joined tables: repeated ids, null words, another profile."""
+    again = docs.unionByName(spark.createDataFrame([(1, "cat cat dogs"), (2, None)], docs.schema))
+    stop = spark.createDataFrame([("the",), ("run",), (None,)], "word string")
+    table = spark.createDataFrame([("cat", 4), ("dog", 1), ("cats", 2), ("dogs", 2), ("ran", 0), (None, 3)], "term string, df bigint")
+    profile = replace(TF, min_stem_len=min_stem_len)
+
+    def everything():
+        options = {"stop": stop, "stem": stem}
+        tf = {"row_is_document": row, "profile": profile} | options
+        found = [
+            frequency.document_frequency(again, **options),
+            frequency.document_frequency(again, doc="doc_id", **options),
+            frequency.term_frequency(again, **tf),
+            frequency.term_frequency(again, df_table=table, **tf),
+            frequency.scores(frequency.term_frequency(again, **tf), table),
+            frequency.row_stripes(again, profile=profile, **options),
+            frequency.row_stripes(again, profile=profile, df_table=table, **options),
+        ]
+        return [sorted(repr(sorted(r.asDict(True).items())) for r in f.collect()) for f in found]
+
+    short = everything()
+    assert all(short)
+    monkeypatch.setattr(wordlists, "LITERAL_WORDS", 0)
+    assert everything() == short
+
+
+def test_stems_can_be_joined(docs):
+    want = sorted(map(tuple, frequency.term_frequency(docs, stop=["the"], stem=True).collect()))
+    stems = stem_vocabulary(docs, profile=TF)
+    for row in (False, True):
+        found = frequency.term_frequency(docs, stop=["the"], stems=stems, row_is_document=row)
+        assert sorted(map(tuple, found.collect())) == want
+
+
+def test_only_distinct_words_of_a_row_are_stemmed(docs):
+    """The stemmer reads the words of the counted cells, not the tokens."""
+    plan = frequency.term_frequency(docs, stem=True, row_is_document=True)._jdf.queryExecution().optimizedPlan().toString()
+    stemmed = [line for line in plan.splitlines() if "zip_with" in line]
+    assert len(stemmed) == 1 and "_cells" in stemmed[0] and "split(" not in stemmed[0]
+
+
+def test_merged_runs_of_different_tables(spark):
+    runs = spark.createDataFrame([(1, "a", 2, 5), (1, "a", 3, 7)], "doc_id bigint, term string, tf bigint, df bigint")
+    assert list(map(tuple, frequency.merge_counts(runs).collect())) == [(1, "a", 5)]
+
+
+def test_stripes_of_long_documents_in_parts(spark):
+    tf = spark.range(10_000).selectExpr("1L AS doc_id", "'t' || id AS term", "1L AS tf")
+    found = frequency.tf_stripes(tf, parts=8).collect()
+    assert len(found) == 8 and max(len(r.stripe) for r in found) < 2_000 and sum(len(r.stripe) for r in found) == 10_000
 
 
 def test_term_frequency_by_row_and_by_line(docs):
@@ -107,9 +153,9 @@ def test_tf_stripes_round_trip(docs):
 
 
 def test_malformed_stripe_cells_are_dropped(spark):
-    df = spark.createDataFrame([("a:1,b,c:x,d:2:3, e : 4 ",)], "s string")
+    df = spark.createDataFrame([("a:1,b,c:x,d:2:3, e : 4 ,\tf:5:,the:3000000000,g:99999999999999999999",)], "s string")
     rows = df.select(F.inline(formats.tf_stripe_entries(F.col("s")))).collect()
-    assert list(map(tuple, rows)) == [("a", 1), ("e", 4)]
+    assert list(map(tuple, rows)) == [("a", 1), ("e", 4), ("f", 5), ("the", 3_000_000_000)]
 
 
 def test_chained_pipeline_with_restricted_terms(docs):

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from lexmill.plans.oracles import ORACLES
+from lexmill.plans.registry import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -22,7 +24,8 @@ def sql(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -30,7 +33,7 @@ def test_entry(spark):
     assert rows.columns == ["word", "n"] and rows.count() == 50
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, sf_dir, sql, name):
     found = contract.queries()[name](spark, sf_dir)
     columns = sorted(found.columns)
