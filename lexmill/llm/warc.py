@@ -36,7 +36,39 @@ def _field(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}: "), F.regexp_replace(value, "[\\r\\n]+", " "), F.lit(EOL))
 
 
-def page_headers(pages: DataFrame, *, date: str = DATE) -> DataFrame:
+def page_marks(pages: DataFrame) -> DataFrame:
+    """``page_id, k, url, digest, n, h`` of every page: all but the payload, stored for the steps below."""
+    body = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+    marks = pages.select(
+        "page_id",
+        doc_key("page_id").alias("k"),
+        "url",
+        digest_of(body).alias("digest"),
+        F.octet_length(body).alias("n"),
+        F.xxhash64(body).alias("h"),
+    )
+    return stored(marks, "marks")
+
+
+def shared_digests(marks: DataFrame) -> DataFrame:
+    """``digest, first, origin`` of payloads that several pages have: the page with the smallest id, by key and by id.
+
+    Payloads that share a digest and differ in length or in a second hash fail.
+    """
+    second = F.struct("n", "h")
+    found = marks.groupBy("digest").agg(
+        F.min_by(F.struct("k", "page_id"), "k").alias("first"),
+        F.min(second).alias("low"),
+        F.max(second).alias("high"),
+        F.count("*").alias("c"),
+    )
+    clash = F.raise_error(F.lit("two payloads share a digest")).cast("bigint")
+    first = F.when(F.col("low") == F.col("high"), F.col("first.k")).otherwise(clash)
+    shared = found.where("c > 1").select("digest", first.alias("first"), F.col("first.page_id").alias("origin"))
+    return stored(shared, "shared")
+
+
+def page_headers(marks: DataFrame, shared: DataFrame, *, date: str = DATE) -> DataFrame:
     """``header, digest``: the exact header of each page's record, and the digest of its payload.
 
     The header is that of the record and of the HTTP response in it, both with
@@ -44,17 +76,9 @@ def page_headers(pages: DataFrame, *, date: str = DATE) -> DataFrame:
     MIN_REVISIT_BYTES bytes, the one with the smallest page id is a response and
     the others revisit it; rows that repeat that id are responses, too.
     """
-    body = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    marks = pages.select(
-        "page_id", doc_key("page_id").alias("k"), "url", digest_of(body).alias("digest"), F.octet_length(body).alias("n")
-    )
-    marks = stored(marks, "marks")
-    large = marks.where(F.col("n") >= MIN_REVISIT_BYTES)
-    firsts = large.groupBy("digest").agg(F.min_by(F.struct("k", "page_id"), "k").alias("first"), F.count("*").alias("c"))
-    firsts = stored(firsts.where("c > 1").select("digest", "first.k", "first.page_id"), "firsts")
-    firsts = firsts.select("digest", F.col("k").alias("first"), F.col("page_id").alias("origin"))
     # A payload that many pages share is a skewed key, which adaptive execution splits: both sides are scans.
-    rows = marks.join(firsts, "digest", "left").select("*", F.coalesce(F.col("first") != F.col("k"), F.lit(False)).alias("again"))
+    again = (F.col("n") >= MIN_REVISIT_BYTES) & F.coalesce(F.col("first") != F.col("k"), F.lit(False))
+    rows = marks.join(shared, "digest", "left").select("*", again.alias("again"))
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}"),
         _field("Content-Length", F.col("n").cast("string")),
@@ -77,26 +101,51 @@ def page_headers(pages: DataFrame, *, date: str = DATE) -> DataFrame:
     return rows.select(F.encode(F.concat(*lines, http), "UTF-8").alias("header"), "digest")
 
 
-def page_payloads(pages: DataFrame) -> DataFrame:
-    return pages.select(F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
+def page_payloads(pages: DataFrame, marks: DataFrame, shared: DataFrame) -> DataFrame:
+    """``digest, payload`` of each distinct payload, from the page with the smallest id that has it.
+
+    The pages that do not give theirs are known by id, so payloads need not
+    meet to be told apart: if those ids are few enough to be broadcast by
+    Spark's own rule, no payload is shuffled here. Ids that several rows have
+    tell no rows apart; their payloads meet by digest.
+    """
+    body = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+    rows = pages.select(doc_key("page_id").alias("k"), body.alias("payload"))
+    many = stored(marks.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select("k"), "many")
+    later = marks.join(shared, "digest").where("k != first").select("k")
+    skipped = stored(later.unionByName(many).distinct(), "skipped")
+    direct = rows.join(skipped, "k", "left_anti").select(digest_of(F.col("payload")).alias("digest"), "payload")
+    owned = marks.join(many, "k", "left_semi").join(shared, "digest", "left").where("coalesce(first, k) = k")
+    owned = owned.select("k", "digest").distinct()
+    again = rows.join(many, "k", "left_semi").select("k", digest_of(F.col("payload")).alias("digest"), "payload")
+    return direct.unionByName(distinct_payloads(again.join(owned, ["k", "digest"], "left_semi").select("payload")))
 
 
-def write_archive(headers: DataFrame, payloads: DataFrame, path: str) -> None:
-    """Two tables under ``path``: ``headers`` (``header, digest``) and ``payloads`` (``digest, payload``).
+def distinct_payloads(payloads: DataFrame) -> DataFrame:
+    """``digest, payload``, each payload once: copies meet in a partial aggregation before the shuffle.
 
-    Each payload is written once. Copies meet in a partial aggregation before
-    the shuffle. Payloads that share a digest and differ in length or in a
-    second hash fail the write.
+    Payloads that share a digest and differ in length or in a second hash fail.
     """
-    headers.select("header", "digest").write.option("compression", "zstd").parquet(f"{path}/headers")
     second = F.struct(F.octet_length("payload"), F.xxhash64("payload"))
     hashed = payloads.select("payload", digest_of(F.col("payload")).alias("digest"), second.alias("second"))
     once = hashed.groupBy("digest").agg(
         F.first("payload").alias("payload"), F.min("second").alias("low"), F.max("second").alias("high")
     )
     clash = F.raise_error(F.lit("two payloads share a digest")).cast("binary")
-    checked = once.select("digest", F.when(F.col("low") == F.col("high"), F.col("payload")).otherwise(clash).alias("payload"))
-    checked.write.option("compression", "zstd").parquet(f"{path}/payloads")
+    return once.select("digest", F.when(F.col("low") == F.col("high"), F.col("payload")).otherwise(clash).alias("payload"))
+
+
+def write_archive(headers: DataFrame, payloads: DataFrame, path: str) -> None:
+    """Two tables under ``path``: ``headers`` (``header, digest``) and ``payloads`` (``digest, payload``, each once)."""
+    headers.select("header", "digest").write.option("compression", "zstd").parquet(f"{path}/headers")
+    payloads.select("digest", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
+
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """An archive of ``pages`` (``page_id, url, html``)."""
+    marks = page_marks(pages)
+    shared = shared_digests(marks)
+    write_archive(page_headers(marks, shared), page_payloads(pages, marks, shared), path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -161,7 +210,7 @@ def archived_pages(pages: DataFrame) -> DataFrame:
     columns are ignored.
     """
     path = fresh_path(pages.sparkSession, "warc")
-    write_archive(page_headers(pages), page_payloads(pages), path)
+    write_pages(pages, path)
     return page_records(read_archive(pages.sparkSession, path))
 
 

@@ -9,6 +9,10 @@ ODD = [
     (10, "u", "x" * 200),
     (11, "u", "x" * 200),
     (11, "u", "x" * 200),
+    (11, "u", "only here, under an id that other rows have" * 9),
+    (9, "u", "first of its payload, twice" * 9),
+    (9, "u", "first of its payload, twice" * 9),
+    (23, "u", "first of its payload, twice" * 9),
     (None, "a\r\nWARC-Type: fake", "y" * 150),
     (12, None, "y" * 150),
     (13, "z", None),
@@ -27,7 +31,7 @@ ODD = [
 def pages(spark, sf_dir):
     odd = spark.createDataFrame(ODD, "page_id bigint, url string, html string")
     shifted = spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr("page_id + 100 AS page_id", "url", "html")
-    return shifted.unionByName(odd).selectExpr("*", "'x' AS digest", "1 AS header", "2 AS payload", "3 AS first")
+    return shifted.unionByName(odd).selectExpr("*", "'x' AS digest", "1 AS header", "2 AS payload", "3 AS first", "4 AS k", "5 AS n")
 
 
 def test_all_pages(pages):
@@ -37,7 +41,7 @@ def test_all_pages(pages):
 
 def test_archive_stores_payloads_once_and_gives_exact_records(spark, pages, tmp_path):
     path = str(tmp_path / "archive")
-    W.write_archive(W.page_headers(pages), W.page_payloads(pages), path)
+    W.write_pages(pages, path)
     bodies = {(r.html or "").encode() for r in pages.collect()}
     assert sorted(bytes(r.payload) for r in spark.read.parquet(f"{path}/payloads").collect()) == sorted(bodies)
     archive = W.read_archive(spark, path)
@@ -49,13 +53,14 @@ def test_archive_stores_payloads_once_and_gives_exact_records(spark, pages, tmp_
         assert sorted(sha(bytes(r.header) + bytes(r.payload) + W.RECORD_END) for r in read.collect()) == want
     # And files into an archive and out again.
     again = str(tmp_path / "again")
-    W.write_archive(read.select("header", W.digest_of(read["payload"]).alias("digest")), read.select("payload"), again)
+    headers = read.select("header", W.digest_of(read["payload"]).alias("digest"))
+    W.write_archive(headers, W.distinct_payloads(read), again)
     assert sorted(r.record_sha256 for r in W.page_records(W.read_archive(spark, again)).collect()) == want
 
 
 def test_a_damaged_payload_is_found(spark, pages, tmp_path):
     path = str(tmp_path / "archive")
-    W.write_archive(W.page_headers(pages), W.page_payloads(pages), path)
+    W.write_pages(pages, path)
     payloads = spark.read.parquet(f"{path}/payloads")
     for name, rows in (
         ("wrong", payloads.selectExpr("digest", "concat(payload, cast('x' AS binary)) AS payload")),
