@@ -1,14 +1,90 @@
 """The same queries as SQL over the parquet tables, for checking with another engine.
 
-The SQL works on exploded tokens with joins and GROUP BY; it shares the fixed
-values of the tokenizers and stemming rules with the library, not its plans.
+The SQL works on exploded tokens with joins and GROUP BY. It shares neither
+plans nor values with the library: separators, token filters, stemming rules and
+stop words are written out here a second time.
 """
 
 from __future__ import annotations
 
-from lexmill.functions import porter as R
-from lexmill.functions import text as T
-from lexmill.plans.defaults import STOP_WORDS
+from types import SimpleNamespace as Values
+
+# The tokenizers.
+T = Values(
+    WORDCOUNT=Values(separator="[^a-zA-Z]+", lowercase=True, min_len=2, keep=None, drop=None),
+    WORDCOUNT_CASED=Values(separator="[^a-zA-Z]+", lowercase=False, min_len=2, keep=None, drop=None),
+    PAIRS=Values(separator="[^a-zA-Z]+", lowercase=True, min_len=1, keep=None, drop=None),
+    STRIPES=Values(separator="[^\\w']+", lowercase=True, min_len=1, keep=None, drop=None),
+    DF=Values(separator="\\W+", lowercase=True, min_len=1, keep="^[a-zA-Z]+$", drop=None),
+    TF=Values(separator="[^a-z0-9]+", lowercase=True, min_len=2, keep=None, drop="^[0-9]+$", min_stem_len=2),
+    LINE_END="\\r\\n|\\r|\\n",
+)
+# The published rules of Porter's stemmer; Y stands for y as a consonant.
+R = Values(
+    VOWEL="[aeiouy]",
+    MEASURE_OVER_0="^[^aeiouy]*[aeiouy]+[^aeiouy]",
+    MEASURE_OVER_1="^[^aeiouy]*[aeiouy]+[^aeiouy]+[aeiouy]+[^aeiouy]",
+    SHORT_END="[^aeiouy][aeiouy][^aeiouywxY]$",
+    CONSONANT_Y="(^|[aeiou])y",
+    STEP_2=[
+        ("ational", "ate"),
+        ("tional", "tion"),
+        ("enci", "ence"),
+        ("anci", "ance"),
+        ("izer", "ize"),
+        ("bli", "ble"),
+        ("alli", "al"),
+        ("entli", "ent"),
+        ("eli", "e"),
+        ("ousli", "ous"),
+        ("ization", "ize"),
+        ("ation", "ate"),
+        ("ator", "ate"),
+        ("alism", "al"),
+        ("iveness", "ive"),
+        ("fulness", "ful"),
+        ("ousness", "ous"),
+        ("aliti", "al"),
+        ("iviti", "ive"),
+        ("biliti", "ble"),
+        ("logi", "log"),
+    ],
+    STEP_3=[
+        ("icate", "ic"),
+        ("ative", ""),
+        ("alize", "al"),
+        ("iciti", "ic"),
+        ("ical", "ic"),
+        ("ful", ""),
+        ("ness", ""),
+    ],
+    STEP_4=[
+        "al",
+        "ance",
+        "ence",
+        "er",
+        "ic",
+        "able",
+        "ible",
+        "ant",
+        "ement",
+        "ment",
+        "ent",
+        "ion",
+        "ou",
+        "ism",
+        "ate",
+        "iti",
+        "ous",
+        "ive",
+        "ize",
+    ],
+)
+STOP_WORDS = [
+    "and", "are", "as", "at", "auf", "avec", "by", "das", "de", "den", "der", "des", "die", "du",
+    "ein", "en", "es", "et", "for", "he", "in", "is", "ist", "it", "la", "le", "les", "mit", "of",
+    "on", "or", "que", "qui", "that", "the", "this", "to", "un", "und", "une", "was", "with",
+]
 
 TOP50 = "ORDER BY n DESC, word LIMIT 50"
 TOP100 = "ORDER BY df DESC, term LIMIT 100"
@@ -22,12 +98,12 @@ def in_stop(word: str) -> str:
     return f"{word} IN ({', '.join(map(q, STOP_WORDS))})"
 
 
-def split(text: str, profile: T.TokenProfile) -> str:
+def split(text: str, profile: Values) -> str:
     text = f"lower({text})" if profile.lowercase else text
     return f"regexp_split_to_array({text}, {q(profile.separator)})"
 
 
-def ok(word: str, profile: T.TokenProfile, stop: bool = True) -> str:
+def ok(word: str, profile: Values, stop: bool = True) -> str:
     tests = [f"length({word}) >= {profile.min_len}"]
     if profile.keep:
         tests.append(f"regexp_matches({word}, {q(profile.keep)})")
@@ -38,7 +114,7 @@ def ok(word: str, profile: T.TokenProfile, stop: bool = True) -> str:
     return " AND ".join(tests)
 
 
-def tokens(source: str, profile: T.TokenProfile, keep: str = "", text: str = "text", stop: bool = True) -> str:
+def tokens(source: str, profile: Values, keep: str = "", text: str = "text", stop: bool = True) -> str:
     """``keep, word``: one row per token."""
     cols = f"{keep}, " if keep else ""
     return (
@@ -47,7 +123,7 @@ def tokens(source: str, profile: T.TokenProfile, keep: str = "", text: str = "te
     )
 
 
-def counts(source: str, profile: T.TokenProfile = T.WORDCOUNT, text: str = "text", stop: bool = True) -> str:
+def counts(source: str, profile: Values = T.WORDCOUNT, text: str = "text", stop: bool = True) -> str:
     return f"SELECT word, count(*) AS n FROM ({tokens(source, profile, '', text, stop)}) GROUP BY word"
 
 
@@ -78,7 +154,7 @@ MIXED = (
 )
 
 
-def pair_ctes(distance: int, profile: T.TokenProfile, vocabulary: str = VOCABULARY, lines: str = LINES) -> str:
+def pair_ctes(distance: int, profile: Values, vocabulary: str = VOCABULARY, lines: str = LINES) -> str:
     offsets = ", ".join(f"({k}), ({-k})" for k in range(1, distance + 1))
     return f"""
         vocabulary AS MATERIALIZED ({vocabulary}),
@@ -189,7 +265,7 @@ def stem_ctes(words: str) -> str:
     return ", ".join(ctes)
 
 
-def stems(profile: T.TokenProfile) -> str:
+def stems(profile: Values) -> str:
     return f"WITH {stem_ctes(tokens('documents', profile, stop=False))} SELECT term, stem FROM stems"
 
 
@@ -241,7 +317,7 @@ MERGED = " UNION ALL ".join(
 )
 
 
-def token_stats(profile: T.TokenProfile) -> str:
+def token_stats(profile: Values) -> str:
     return f"""SELECT d.doc_id, count(t.word) AS n_tokens, count(DISTINCT t.word) AS n_distinct
         FROM documents d LEFT JOIN ({tokens('documents', profile, 'doc_id', stop=False)}) t USING (doc_id)
         GROUP BY d.doc_id"""
