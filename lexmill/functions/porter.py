@@ -154,6 +154,26 @@ STEPS = [
 ]
 
 
+def may_stem_to(word: Column, stems: Sequence[str]) -> Column:
+    """False for words that have none of the stems, from their first letters: most words need not be stemmed.
+
+    Every step drops an ending or puts one in its place that differs in its last
+    letter at most: ``i`` for ``y``, an added ``e``, or what is left of ``ble``
+    for ``biliti``. So a word starts with its stem, or with all of it but an
+    ``i``, ``e`` or ``l`` at the end.
+    """
+    beginnings: dict[int, set[str]] = {}
+    for stem in stems:
+        start = stem[:-1] if stem[-1:] in ("i", "e", "l") else stem
+        beginnings.setdefault(len(start), set()).add(start)
+    if 0 in beginnings:
+        return F.lit(True)
+    found = F.lit(False)
+    for length, starts in sorted(beginnings.items()):
+        found = found | F.substring(word, 1, length).isin(*sorted(starts))
+    return found
+
+
 def porter_array(words: str) -> Column:
     """Stem every element of an array column, given by name, of lowercase words."""
     stems = f"`{words}`"

@@ -14,13 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import PAIRS, STRIPES, TokenProfile, explode_runs, raw_tokens
+from lexmill.sources.sinks import stored
 from lexmill.sources.wordlists import as_literals, word_frame
 
 STRATEGIES = ("auto", "nested", "marked", "band_join")
 
-# A word that is a large part of all tokens meets a joined vocabulary in this many pieces.
-SALTS = 16
-
 
 def pairs(
     lines: DataFrame,
@@ -124,8 +122,11 @@ def _count(
     words = as_literals(vocabulary) if strategy in ("auto", "nested") else None
     if words is not None:
         words = [word for word in words if word]
-    if words is None and not isinstance(vocabulary, DataFrame):
-        vocabulary = word_frame(lines.sparkSession, vocabulary)
+    if words is None:
+        if not isinstance(vocabulary, DataFrame):
+            vocabulary = word_frame(lines.sparkSession, vocabulary)
+        # Computed once, and of known size.
+        vocabulary = stored(vocabulary.select("word").where("word IS NOT NULL").distinct(), "vocabulary")
     if required and (vocabulary.isEmpty() if words is None else not words):
         raise ValueError("the vocabulary is empty")
     if words is not None:
@@ -182,14 +183,12 @@ def _marked(
     body = F.col(text)
     line = [F.xxhash64(body).alias("k1"), F.xxhash64(F.lit("line"), body).alias("k2")]
     tokens = lines.select(*line, F.posexplode(raw_tokens(body, profile)).alias("pos", "w")).where("w != ''")
-    salt = F.pmod(F.xxhash64("k1", "pos"), F.lit(SALTS)).cast("int")
-    known = vocabulary.select(F.col("word").alias("w")).where("w IS NOT NULL").distinct()
-    known = known.select("w", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    kept = tokens.withColumn("salt", salt).join(known, ["w", "salt"], "left_semi")
-    placed = kept.groupBy("k1", "k2", "pos", "w").agg(F.count("*").alias("m"))
-    rows = placed.groupBy("k1", "k2").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "w"))).alias("kept"), F.max("m").alias("m")
-    )
+    # Spark broadcasts the vocabulary if its size allows. Else a hot word is a skewed key, which adaptive execution
+    # splits: both sides are shuffled for the join alone.
+    kept = tokens.join(vocabulary.select(F.col("word").alias("w")), "w", "left_semi")
+    # A set, so that a line that occurs often is no longer than the line.
+    rows = kept.groupBy("k1", "k2").agg(F.collect_set(F.struct("pos", "w")).alias("kept"), F.count("*").alias("n"))
+    rows = rows.select(F.sort_array("kept").alias("kept"), F.expr("n div size(kept)").alias("m"))
 
     def ahead(p: Column, i: Column) -> Column:
         near = F.filter(F.slice("kept", i + 2, F.lit(distance)), lambda q: q["pos"] - p["pos"] <= distance)
@@ -223,8 +222,7 @@ def _band_join(
     if not key:
         raise ValueError("the band join needs columns that identify a line")
     tokens = lines.select(*key, F.posexplode(raw_tokens(F.col(text), profile)).alias("pos", "w")).where("w != ''")
-    known = vocabulary.select(F.col("word").alias("w")).where("w IS NOT NULL").distinct()
-    kept = tokens.join(known, "w", "left_semi")
+    kept = tokens.join(vocabulary.select(F.col("word").alias("w")), "w", "left_semi")
     bucket = F.expr(f"pos div {int(distance)}")
     left = kept.select(*key, bucket.alias("bucket"), F.col("pos").alias("p"), F.col("w").alias("a"))
     right = kept.select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.formats import COLLECTION_SIZE, tf_idf
-from lexmill.functions.porter import porter_array
+from lexmill.functions.porter import may_stem_to, porter_array
 from lexmill.functions.text import DF, TF, TokenProfile, add_runs, explode_tokens, run_counts, token_array
 from lexmill.operators.counts import without_stop_words
 from lexmill.operators.stems import attach_stems, stems_of
@@ -157,6 +157,8 @@ def _row_cells(
     if not stem:
         rows = df.select(*keep, tokens.alias("_terms"))
         return run_counts(rows, F.filter("_terms", wanted), name="term", count="tf", keep=keep)
+    if terms is not None:
+        tokens = F.filter(tokens, lambda w: may_stem_to(w, terms))
     rows, cells = run_counts(df, tokens, name="term", count="tf", keep=keep)
     rows = rows.select(*keep, cells.alias("_cells"))
     rows = rows.select(*keep, "_cells", F.transform("_cells", lambda c: c["term"]).alias("_words"))

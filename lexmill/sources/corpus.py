@@ -48,17 +48,22 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFr
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan that would leave more than half of the cores without work.
+    """Repartition a scan of at most one split's bytes that has fewer partitions than there are cores.
 
-    Tokenizing is CPU work, and a corpus in one row group, which no split size
-    divides, would run in one task. Anything larger is returned as it is, and so
-    is what has been shuffled before; no job runs here.
+    Tokenizing is CPU work, and so small a corpus may be a single row group,
+    which no split size divides: one task would do it all. Anything larger is
+    returned as it is, however many cores there are, and so is what has been
+    shuffled before. Size and partitions come from the plan; no job runs here.
     """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    plan = df._jdf.queryExecution()
+    if "Exchange" in plan.executedPlan().toString():
+        return df
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    if int(str(plan.optimizedPlan().stats().sizeInBytes())) > conf.filesMaxPartitionBytes():
         return df
     have = df.rdd.getNumPartitions()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(min(cores, have * PIECES_PER_SPLIT)) if 2 * have < cores else df
+    return df.repartition(min(cores, have * PIECES_PER_SPLIT)) if have < cores else df
 
 
 def lines_of(df: DataFrame, *, text: str = "text", keep: Sequence[str] = (), numbered: bool = False) -> DataFrame:

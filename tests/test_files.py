@@ -101,9 +101,17 @@ def test_scratch_folder_follows_the_session(spark):
     assert sinks.scratch_path(spark, "x") != sinks.scratch_path(spark, "x")
 
 
-@pytest.mark.parametrize(("have", "after"), [(1, 4), (2, 2), (4, 4), (8, 8)])
-def test_spread_only_when_most_cores_would_idle(spark, have, after):
-    assert corpus.spread(spark.range(100, numPartitions=have)).rdd.getNumPartitions() == after
+@pytest.mark.parametrize(("have", "after"), [(1, 4), (2, 4), (4, 4), (8, 8)])
+def test_small_scans_are_spread_over_idle_cores(spark, have, after):
+    found = corpus.spread(spark.range(100, numPartitions=have))
+    assert found.rdd.getNumPartitions() == after
+    assert ("Exchange" in found._jdf.queryExecution().executedPlan().toString()) == (have < 4)
+
+
+def test_large_scans_are_never_spread(spark):
+    """More than a split of bytes, on fewer partitions than cores."""
+    large = spark.range(1 << 30, numPartitions=2)
+    assert corpus.spread(large) is large
 
 
 def test_spread_runs_no_job_and_leaves_shuffled_data(spark):

@@ -3,6 +3,8 @@ import random
 
 from brute import porter as brute_porter
 
+from pyspark.sql import functions as F
+
 from lexmill.functions import porter as P
 from lexmill.functions.text import DF
 from lexmill.operators.stems import attach_stems, stem_vocabulary
@@ -64,3 +66,20 @@ def test_attach_stems_needs_only_a_part_of_the_vocabulary(spark):
     part = spark.createDataFrame([("cats", "cat")], "term string, stem string")
     rows = attach_stems(tokens, part, "term").collect()
     assert sorted(map(tuple, rows)) == [(1, "cat"), (1, "dog"), (2, "cat")]
+
+
+def test_first_letters_rule_out_no_stem(spark):
+    """Every word passes the look at its first letters for its own stem: corpus words, and all endings on short roots."""
+    endings = (
+        "ational tional enci anci izer bli alli entli eli ousli ization ation ator alism iveness fulness ousness aliti "
+        "iviti biliti logi icate ative alize iciti ical ful ness al ance ence er ic able ible ant ement ment ent ion ou "
+        "ism ate iti ous ive ize e y s es ed ing ly ity ency ancy ability ably ies ied eed ying tional"
+    ).split()
+    roots = "b ab on th fil hop sens poss relat trad agre cry tan run fall fizz lik ol pa pos op".split()
+    words = [r + a + b for r in roots for a in ["", *endings] for b in ["", "s", "ed", "ing", "ness", "ly", "ity", "y"]]
+    for word in words:
+        stem = brute_porter(word)
+        assert word.startswith(stem[:-1] if stem[-1:] in ("i", "e", "l") else stem), (word, stem)
+    df = spark.createDataFrame([(w,) for w in ("ability", "ponies", "filing", "cats", "dog")], "w string")
+    kept = df.where(P.may_stem_to(F.col("w"), ["abl", "poni", "file", "cat"]))
+    assert sorted(r.w for r in kept.collect()) == ["ability", "cats", "filing", "ponies"]
