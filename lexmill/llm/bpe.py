@@ -15,8 +15,11 @@ from __future__ import annotations
 
 import base64
 import codecs
+import gc
 import hashlib
+import threading
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from struct import pack
 
@@ -30,12 +33,14 @@ from pyspark.sql import functions as F
 from lexmill.llm.common import packed, ship_package, unpacked
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-# What a worker keeps, which bounds its memory. States beyond the first are made for one use, and when many had
-# to be, the text has changed and all start afresh.
+# What a worker keeps, which bounds its memory to some 300 MB. States beyond the first are made for one use, and when
+# many had to be, the text has changed and all start afresh.
 MAX_STATES = 150_000
 MAX_UNKEPT = 3_000_000
-MAX_PAIRS = 1_000_000
+MAX_PAIRS = 300_000
 MAX_PIECES = 250_000
+# Spark keeps idle Python workers; after so long without a batch they give the memory back.
+IDLE_SECONDS = 3.0
 # Pieces above this length are not kept.
 LONG_PIECE = 64
 # Texts above this length are cut into pieces one by one instead of into a list.
@@ -218,8 +223,10 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return pack("<I", whole)
-        if self.unkept > MAX_UNKEPT or len(self.follows) > MAX_PAIRS:
+        if self.unkept > MAX_UNKEPT:
             self._reset()
+        if len(self.follows) > MAX_PAIRS:
+            self.follows.clear()
         state, out = self.start, []
         for byte in piece:
             state, emitted = state.moves.get(byte) or self._step(state, byte)
@@ -282,10 +289,33 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
+def _codec(path: str) -> Codec:
     return Codec(path)
 
 
+def _release() -> None:
+    """Forget the codecs. A batch that runs just now keeps its own until it ends."""
+    _codec.cache_clear()
+    gc.collect()
+
+
+_timers: list[threading.Timer] = []
+
+
+@contextmanager
+def codec(path: str) -> Iterator[Codec]:
+    """The worker's codec for a batch. It is kept for the next one, unless that is long in coming."""
+    while _timers:
+        _timers.pop().cancel()
+    try:
+        yield _codec(path)
+    finally:
+        timer = threading.Timer(IDLE_SECONDS, _release)
+        timer.daemon = True
+        timer.start()
+        _timers.append(timer)
+
+
 def encoded(docs: DataFrame, *, text: str = "text", ranks: str | None = None) -> DataFrame:
     """``docs`` with ``ids``, the token ids of the whole text as an array of integers.
 
@@ -299,7 +329,9 @@ def encoded(docs: DataFrame, *, text: str = "text", ranks: str | None = None) ->
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([np.frombuffer(codec(path).encode(body), "<u4").astype("int32") for body in batch])
+            with codec(path) as own:
+                found = [np.frombuffer(own.encode(body), "<u4").astype("int32") for body in batch]
+            yield pd.Series(found)
 
     rows = packed(docs, encode(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("ids"))
     return rows.select(*unpacked(rows, docs.columns, {"ids": F.col("ids")}))
@@ -316,7 +348,9 @@ def decoded(tokens: DataFrame, *, ids: str = "ids", out: str = "text", ranks: st
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series(["".join(codec(path).decode(np.asarray(row, "<u4").tobytes())) for row in batch])
+            with codec(path) as own:
+                found = ["".join(own.decode(np.asarray(row, "<u4").tobytes())) for row in batch]
+            yield pd.Series(found)
 
     rows = packed(tokens, decode(F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>"))).alias("body"))
     return rows.select(*unpacked(rows, tokens.columns, {out: F.col("body")}))
@@ -340,12 +374,13 @@ def round_trip(docs: DataFrame, *, text: str = "text", ranks: str | None = None)
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for body in batch:
-                ids = codec(path).encode(body)
-                decoded = hashlib.sha256()
-                for part in codec(path).decode(ids, "strict"):
-                    decoded.update(part.encode())
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded.hexdigest()))
+            with codec(path) as own:
+                for body in batch:
+                    ids = own.encode(body)
+                    decoded = hashlib.sha256()
+                    for part in own.decode(ids, "strict"):
+                        decoded.update(part.encode())
+                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded.hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = packed(docs, digests(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("digests"))

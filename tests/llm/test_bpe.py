@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from brute import sha
+from definitions import sha
 
 from lexmill.llm import bpe as B
 
@@ -83,3 +84,15 @@ def test_a_piece_without_end(library):
     text = "ab" * 200_000
     assert len(B.Codec(PATH).encode(text)) // 4 > 0
     assert B.Codec(PATH).encode(text[:2000]) == packed(library.encode_ordinary(text[:2000]))
+
+
+def test_idle_workers_forget(monkeypatch):
+    monkeypatch.setattr(B, "IDLE_SECONDS", 0.05)
+    with B.codec(PATH) as first:
+        pass
+    with B.codec(PATH) as second:
+        time.sleep(0.2)
+        assert second is first
+    time.sleep(0.3)
+    with B.codec(PATH) as third:
+        assert third is not first

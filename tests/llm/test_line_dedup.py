@@ -1,7 +1,7 @@
 from __future__ import annotations
 
-from brute import line_dedup as expected
-from brute import sha
+from definitions import line_dedup as expected
+from definitions import sha
 
 from lexmill.llm.line_dedup import line_dedup, line_dedup_report
 

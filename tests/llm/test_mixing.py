@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
-from brute import WORD, targets
+from definitions import WORD, targets
 
 from lexmill.llm import mixing as M
 

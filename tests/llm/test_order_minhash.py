@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from brute import likeness, order_minhash, sha
+from definitions import likeness, order_minhash, sha
 
 from lexmill.llm import order_minhash as O
 

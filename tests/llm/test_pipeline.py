@@ -5,7 +5,7 @@ from collections import Counter
 import public_tokenizers
 import pytest
 import tiktoken
-from brute import WORD, line_dedup, quality_base, quality_llr, sha, simhash_rows
+from definitions import WORD, line_dedup, quality_base, quality_llr, sha, simhash_rows
 
 import corpus_pipeline as P
 from lexmill.llm import bpe

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from brute import quality_base, quality_llr
+from definitions import quality_base, quality_llr
 
 from lexmill.llm import quality as Q
 

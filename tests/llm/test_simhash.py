@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from brute import near_components, signed, simhash, simhash_rows
+from definitions import near_components, signed, simhash, simhash_rows
 
 from lexmill.llm import simhash as S
 

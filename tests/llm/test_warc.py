@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from brute import sha, warc
+from definitions import sha, warc
 
 from lexmill.llm import warc as W
 
