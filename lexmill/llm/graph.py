@@ -25,6 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
         lower = labels.join(seen, labels["node"] == seen["a"]).select(
             "node", F.col("label").alias("old"), F.least("label", "m").alias("label")
         )
+        # The label of a large component is a skewed key, which adaptive execution splits if both sides are scans.
+        lower = stored(lower, "lower")
         jump = lower.select(F.col("node").alias("label"), F.col("label").alias("further"))
         labels = stored(
             lower.join(jump, "label", "left").select(
