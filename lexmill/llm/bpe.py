@@ -40,7 +40,7 @@ MAX_UNKEPT = 3_000_000
 MAX_PAIRS = 300_000
 MAX_PIECES = 250_000
 # Spark keeps idle Python workers; after so long without a batch they give the memory back.
-IDLE_SECONDS = 3.0
+IDLE_SECONDS = 10.0
 # Pieces above this length are not kept.
 LONG_PIECE = 64
 # Texts above this length are cut into pieces one by one instead of into a list.
