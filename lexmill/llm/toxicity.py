@@ -38,20 +38,23 @@ LITERAL = -12.0
 REPEATED = -0.3
 DOUBLED = -8.0
 SPACED = -0.5
-# Spans longer than this are left as they are; decoded spans that a worker keeps.
-MAX_SPAN = 64
+# Decoded spans that a worker keeps, and their longest; longer ones are decoded each time.
 MAX_KEPT = 100_000
+KEPT_SPAN = 64
 # Labelled documents that the words are learned from, at most: those with the smallest hashed ids.
 LABELLED_SAMPLE = 50_000
 # Learned words at most, documents that a word must be in, and evidence beyond what chance gives among all words.
 MAX_WORDS = 2_000
 MIN_DOCS = 3
 EVIDENCE = 6.0
+# Letters of a learned word that is found anywhere in a run of lone letters, at least.
+RUN_WORD = 4
 
 _SIGN = r"0-9@$!|+€*"
 # Places where a span looks disguised: signs inside or before letters, digits behind them, a letter three times.
 _DISGUISED = re.compile(rf"[a-z][{_SIGN}._~-]+[a-z]|(?<!\S)[{_SIGN}][a-z]{{2}}|[a-z][0-9]+(?!\S)|([a-z])\1\1")
 _LONE_LETTERS = re.compile(rf"(?<!\S)[a-z{_SIGN}](?:[ \t][a-z{_SIGN}]){{2,}}(?!\S)")
+_BLANK = re.compile(r"\s")
 _WORD = re.compile(r"[^\W\d_]+")
 _EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in LEET) + "!*+|"
 
@@ -136,52 +139,68 @@ class Channel:
         known = self.kept.get(span)
         if known is not None:
             return known
-        best: dict[tuple[int, int], tuple[float, str]] = {(_GAP, _GAP): (0.0, "")}
+        # Readings are chains of pieces from the last one back: long spans share them instead of copying text.
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(_GAP, _GAP): (0.0, None)}
         for at in range(len(span)):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for text, cost in self._edges(span, at):
                 symbol = None if not text else _GAP if text == " " else ord(text) - 96 if text in _LETTERS else _OTHER
                 for (a, b), (score, read) in best.items():
                     if symbol is None or (symbol == _GAP and b == _GAP):
                         state, total, longer = (a, b), score + cost, read
                     else:
-                        state, total, longer = (b, symbol), score + cost + self.log[a][b][symbol], read + text
+                        state, total, longer = (b, symbol), score + cost + self.log[a][b][symbol], (read, text)
                     if state not in after or total > after[state][0]:
                         after[state] = (total, longer)
             best = after
-        _, found = max(
-            (score + (self.log[a][b][_GAP] if b != _GAP else 0.0), read) for (a, b), (score, read) in best.items()
-        )
-        if len(self.kept) >= MAX_KEPT:
-            self.kept.clear()
-        self.kept[span] = found
+        ends = [(score + (self.log[a][b][_GAP] if b != _GAP else 0.0), read) for (a, b), (score, read) in best.items()]
+        most = max(score for score, _ in ends)
+        found = max(self._spelled(read) for score, read in ends if score == most)
+        if len(span) <= KEPT_SPAN:
+            if len(self.kept) >= MAX_KEPT:
+                self.kept.clear()
+            self.kept[span] = found
         return found
 
-    def restore(self, text: str) -> str:
-        """The text in lower case with its disguised spans restored."""
+    @staticmethod
+    def _spelled(read: tuple | None) -> str:
+        pieces = []
+        while read is not None:
+            read, piece = read
+            pieces.append(piece)
+        return "".join(reversed(pieces))
+
+    def restore(self, text: str, runs: list[str] | None = None) -> str:
+        """The text in lower case with its disguised spans restored. ``runs`` gets the letters of each run of lone ones."""
         text = text.lower()
         parts, at = [], 0
-        for start, end in self._spans(text):
+        for start, end, lone in self._spans(text):
             if start < at:
                 continue
             span = text[start:end].strip(_EDGES)
-            parts += [text[at:start], f" {self.decode(span)} " if span else text[start:end]]
+            found = f" {self.decode(span)} " if span else text[start:end]
+            if lone and runs is not None:
+                runs.append("".join(found.split()))
+            parts += [text[at:start], found]
             at = end
         parts.append(text[at:])
         return "".join(parts)
 
     @staticmethod
-    def _spans(text: str) -> list[tuple[int, int]]:
-        spans = [match.span() for match in _LONE_LETTERS.finditer(text) if match.end() - match.start() <= MAX_SPAN]
+    def _spans(text: str) -> list[tuple[int, int, bool]]:
+        spans = [(*match.span(), True) for match in _LONE_LETTERS.finditer(text)]
+        end = 0
         for match in _DISGUISED.finditer(text):
-            start, end = match.span()
-            while start > 0 and not text[start - 1].isspace() and end - start <= MAX_SPAN:
+            # A match grows to all that stands between blanks, once.
+            if match.start() < end:
+                continue
+            start = match.start()
+            while start > end and not text[start - 1].isspace():
                 start -= 1
-            while end < len(text) and not text[end].isspace() and end - start <= MAX_SPAN:
-                end += 1
-            if end - start <= MAX_SPAN:
-                spans.append((start, end))
-        return sorted(set(spans))
+            blank = _BLANK.search(text, match.end())
+            end = blank.start() if blank else len(text)
+            spans.append((start, end, False))
+        return sorted(spans)
 
 
 def fit_channel(docs: DataFrame, *, text: str = "text") -> Channel:
@@ -279,7 +298,10 @@ def learn_words(docs: DataFrame, labels: DataFrame, channel: Channel) -> tuple[f
 
 
 def score_text(text: str, channel: Channel, bias: float, weights: dict[str, float]) -> float:
-    found = weights.keys() & set(_WORD.findall(channel.restore(text)))
+    runs: list[str] = []
+    found = weights.keys() & set(_WORD.findall(channel.restore(text, runs)))
+    # Equal blanks between all letters of a sentence do not tell where a word ends.
+    found |= {w for w in weights if len(w) >= RUN_WORD and any(w in run for run in runs)}
     return 1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, bias + sum(weights[w] for w in sorted(found))))))
 
 

@@ -48,6 +48,20 @@ def test_plain_text_stays(channel, text):
     assert channel.restore(text) == text
 
 
+def test_long_disguises(channel):
+    """No span is too long: lone letters of whole sentences, and words amid other signs without a blank."""
+    sentence = "you are a stupid idiot and a pathetic loser and a worthless clown"
+    lone = " ".join(sentence.replace(" ", ""))
+    weights = {w: 1.0 for w in ("stupid", "idiot", "pathetic", "worthless", "clown", "trash")}
+    for text in (f"well, {lone} said they", "y o u a r e a s t u p i d i d i o t a n d a p a t h e t i c w o r t h l e s s c l o w n"):
+        assert len(text) > 64 and X.score_text(text, channel, 0.0, weights) == pytest.approx(1 / (1 + np.exp(-5)))
+    url = "https://example.org/" + "/".join(f"part{i}x" for i in range(20)) + "/an-1d10t/of-the-day"
+    assert len(url) > 64 and "idiot" in channel.restore(url).split()
+    assert channel.restore("st" + "u" * 5000 + "pid").split() == ["stupid"]
+    longest = channel.restore("-".join(["1d10t"] * 4000))
+    assert longest.split().count("idiot") > 3900 and all(len(span) <= X.KEPT_SPAN for span in channel.kept)
+
+
 def test_trigrams_of_all_documents(corpus):
     texts = [(r.text or "").encode() for r in corpus.collect()]
     want = X.count_trigrams(texts)
