@@ -35,6 +35,8 @@ SUBSTITUTED = -1.0
 MASKED = -1.5
 UNMASKED = -7.0
 LITERAL = -12.0
+# Log-odds that these signs are punctuation where a span starts or ends.
+MARKS = {"!": 1.5, "|": 1.5, "+": 0.0, "*": 3.0}
 REPEATED = -0.3
 DOUBLED = -8.0
 SPACED = -0.5
@@ -50,13 +52,19 @@ EVIDENCE = 6.0
 # Letters of a learned word that is found anywhere in a run of lone letters, at least.
 RUN_WORD = 4
 
+_LETTER = r"[^\W\d_]"
 _SIGN = r"0-9@$!|+€*"
-# Places where a span looks disguised: signs inside or before letters, digits behind them, a letter three times.
-_DISGUISED = re.compile(rf"[a-z][{_SIGN}._~-]+[a-z]|(?<!\S)[{_SIGN}][a-z]{{2}}|[a-z][0-9]+(?!\S)|([a-z])\1\1")
-_LONE_LETTERS = re.compile(rf"(?<!\S)[a-z{_SIGN}](?:[ \t][a-z{_SIGN}]){{2,}}(?!\S)")
+# Places where a span looks disguised: a letter beside a sign, separators inside, a letter three times.
+_DISGUISED = re.compile(
+    rf"{_LETTER}[{_SIGN}]|[{_SIGN}]{_LETTER}|{_LETTER}[{_SIGN}._~-]+{_LETTER}|{_LETTER}'{_LETTER}'{_LETTER}|({_LETTER})\1\1"
+)
+# Three or more letters or signs on their own, whatever blanks, line ends and separators are between them.
+_LONE = rf"(?:{_LETTER}|[{_SIGN}])"
+_LONE_LETTERS = re.compile(rf"(?<![\w@$€])(?<!\w[._~'-]){_LONE}(?:[\s._~'-]++{_LONE}(?![!*+|]*[\w@$€])){{2,}}+")
 _BLANK = re.compile(r"\s")
 _WORD = re.compile(r"[^\W\d_]+")
-_EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in LEET) + "!*+|"
+_EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in LEET)
+_OUTER = _EDGES + "".join(MARKS) + " \t\n\r\x0b\x0c"
 
 
 def _symbol_of_byte() -> np.ndarray:
@@ -112,7 +120,9 @@ class Channel:
         two = three.sum(axis=0) + 20.0 * one
         two /= two.sum(axis=1, keepdims=True)
         three = three + 20.0 * two
-        self.log = np.log(three / three.sum(axis=2, keepdims=True)).tolist()
+        log = np.log(three / three.sum(axis=2, keepdims=True))
+        self.log = log.tolist()
+        self.masked = log[:, :, 1 : 1 + len(_LETTERS)]
         self.kept: dict[str, str] = {}
 
     @staticmethod
@@ -130,7 +140,7 @@ class Channel:
             return [(letter, MASKED) for letter in _LETTERS] + [("", UNMASKED)]
         if c in LEET:
             return [(letter, SUBSTITUTED) for letter in LEET[c]] + [(" ", LITERAL), *left_out]
-        if c in SEPARATORS:
+        if c in SEPARATORS or c.isspace():
             return [("", SPACED), (" ", SPACED)]
         return [(c, 0.0), *left_out] if c.isalpha() else [(" ", 0.0)]
 
@@ -141,9 +151,16 @@ class Channel:
             return known
         # Readings are chains of pieces from the last one back: long spans share them instead of copying text.
         best: dict[tuple[int, int], tuple[float, tuple | None]] = {(_GAP, _GAP): (0.0, None)}
+        head, tail = len(span) - len(span.lstrip(_OUTER)), len(span.rstrip(_OUTER))
         for at in range(len(span)):
+            edges = self._edges(span, at)
+            if span[at] in MARKS and not head <= at < tail:
+                edges.append((" ", MARKS[span[at]]))
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for text, cost in self._edges(span, at):
+            if span[at] == "*" and len(best) > len(_LETTERS):
+                after = self._any_letter(best)
+                edges = edges[len(_LETTERS) :]
+            for text, cost in edges:
                 symbol = None if not text else _GAP if text == " " else ord(text) - 96 if text in _LETTERS else _OTHER
                 for (a, b), (score, read) in best.items():
                     if symbol is None or (symbol == _GAP and b == _GAP):
@@ -162,6 +179,19 @@ class Channel:
             self.kept[span] = found
         return found
 
+    def _any_letter(self, best: dict) -> dict:
+        """The step for an asterisk that hides a letter, from all states at once."""
+        scores = np.full((SYMBOLS, SYMBOLS), -np.inf)
+        for (a, b), (score, _) in best.items():
+            scores[a, b] = score
+        totals = (scores + MASKED)[:, :, None] + self.masked
+        came, most = totals.argmax(axis=0).tolist(), totals.max(axis=0).tolist()
+        return {
+            (b, i + 1): (most[b][i], (best[came[b][i], b][1], letter))
+            for b in sorted({b for _, b in best})
+            for i, letter in enumerate(_LETTERS)
+        }
+
     @staticmethod
     def _spelled(read: tuple | None) -> str:
         pieces = []
@@ -178,7 +208,7 @@ class Channel:
             if start < at:
                 continue
             span = text[start:end].strip(_EDGES)
-            found = f" {self.decode(span)} " if span else text[start:end]
+            found = f" {self.decode(span)} " if span.strip(_OUTER) else text[start:end]
             if lone and runs is not None:
                 runs.append("".join(found.split()))
             parts += [text[at:start], found]
@@ -188,19 +218,25 @@ class Channel:
 
     @staticmethod
     def _spans(text: str) -> list[tuple[int, int, bool]]:
-        spans = [(*match.span(), True) for match in _LONE_LETTERS.finditer(text)]
-        end = 0
-        for match in _DISGUISED.finditer(text):
-            # A match grows to all that stands between blanks, once.
-            if match.start() < end:
-                continue
-            start = match.start()
-            while start > end and not text[start - 1].isspace():
-                start -= 1
-            blank = _BLANK.search(text, match.end())
-            end = blank.start() if blank else len(text)
-            spans.append((start, end, False))
-        return sorted(spans)
+        spans, at = [], 0
+        for run in (*_LONE_LETTERS.finditer(text), None):
+            stop = run.start() if run else len(text)
+            for match in _DISGUISED.finditer(text, at, stop):
+                # A match grows to all that stands between blanks, once.
+                if match.start() < at:
+                    continue
+                start = match.start()
+                while start > at and not text[start - 1].isspace():
+                    start -= 1
+                blank = _BLANK.search(text, match.end(), stop)
+                at = blank.start() if blank else stop
+                spans.append((start, at, False))
+            if run:
+                at = run.end()
+                # Digits with points between them are a number.
+                if any(map(str.isalpha, run[0])) or not any(c in "._~'-" for c in run[0]):
+                    spans.append((*run.span(), True))
+        return spans
 
 
 def fit_channel(docs: DataFrame, *, text: str = "text") -> Channel:

@@ -62,6 +62,38 @@ def test_long_disguises(channel):
     assert longest.split().count("idiot") > 3900 and all(len(span) <= X.KEPT_SPAN for span in channel.kept)
 
 
+@pytest.mark.parametrize(
+    ("text", "word"),
+    [
+        ("idio7, they", "idiot"),
+        ("(5tupid)", "stupid"),
+        ("@$$hole", "asshole"),
+        ("($cum)", "scum"),
+        ('"5cum"', "scum"),
+        ("“1d10t”", "idiot"),
+        ("idio+", "idiot"),
+        ("s  t  u  p  i  d", "stupid"),
+        ("s\nt\nu\r\np\n\ni\nd", "stupid"),
+        ("(i d i o t)", "idiot"),
+        ("i d i o t.", "idiot"),
+        ("s - t - u - p - i - d", "stupid"),
+        ("s't'u'p'i'd", "stupid"),
+        ("trash*** and **clown**", "trash"),
+        ("trash*** and **clown**", "clown"),
+        ("stupid!", "stupid"),
+    ],
+)
+def test_disguises_at_edges(channel, text, word):
+    assert word in channel.restore(text).split()
+
+
+def test_runs_of_other_letters(channel):
+    assert "".join(channel.restore("e s t ú p i d o").split()) == "estúpido"
+    assert channel.restore("est\xfap1do").split() == ["estúpido"]
+    assert len(X._DISGUISED.findall("a$$")) == 1
+    assert channel.restore("a" + "*" * 3000 + "b")
+
+
 def test_trigrams_of_all_documents(corpus):
     texts = [(r.text or "").encode() for r in corpus.collect()]
     want = X.count_trigrams(texts)
