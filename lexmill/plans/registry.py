@@ -391,13 +391,25 @@ def top100_from_counts(spark: SparkSession, sf: str) -> DataFrame:
     return P.top_terms_from_counts(spark, path)
 
 
+#: Bytes of text, about, in one of the files that documents are written to.
+FILE_BYTES = 64 << 20
+
+
 def _document_files(spark: SparkSession, sf: str) -> str:
-    """Documents as text files, one folder per source and language."""
+    """Documents as text files of bounded size, folders by source and language, as many in each as its bytes ask for."""
     path = scratch_path(spark, "corpus")
-    corpus = read_table(spark, f"{sf}/documents.parquet", ["source", "lang", "text"])
-    by_file = lines_of(corpus, keep=["source", "lang"]).select("source", "lang", F.col("line").alias("value"))
-    # One file for each folder.
-    by_file.repartition("source", "lang").write.partitionBy("source", "lang").text(path)
+    corpus = read_table(spark, f"{sf}/documents.parquet", ["doc_id", "source", "lang", "text"])
+    folder = ["source", "lang"]
+    n_files = F.ceil(F.sum(F.octet_length("text")) / F.lit(FILE_BYTES)).alias("n_files")
+    counted = corpus.groupBy(*[F.col(c).alias(f"of_{c}") for c in folder]).agg(n_files)
+    # Only folders of several files: at most one row per FILE_BYTES of the corpus.
+    several = F.broadcast(counted.where("n_files > 1"))
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in folder]
+    piece = F.pmod(F.xxhash64("doc_id", "text"), F.coalesce("n_files", F.lit(1))).alias("piece")
+    dealt = corpus.join(several, same, "left").select(*folder, "text", piece)
+    by_file = lines_of(dealt, keep=[*folder, "piece"]).select(*folder, "piece", F.col("line").alias("value"))
+    # One file for each piece.
+    by_file.repartition(*folder, "piece").write.partitionBy(*folder, "piece").text(path)
     return path
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from lexmill.plans import pipelines
+from lexmill.plans import pipelines, registry
 from lexmill.sources import corpus, sinks, wordlists
 
 
@@ -164,3 +164,19 @@ def test_chained_run_over_files(spark, text_file, tmp_path):
     whole = corpus.read_documents(spark, corpus_dir, whole=True)
     again = pipelines.tf_idf_scores(whole, wordlists.read_df_table(spark, table), stop=stop, row_is_document=True)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found.collect()))
+
+
+def test_document_files_are_bounded(spark, tmp_path, monkeypatch):
+    """A folder with nearly all of the text is dealt over files of bounded size, without a change of the results."""
+    line = "some words of a line, some more"
+    rows = [(i, f"{line} {i}\nsecond", "en", "web") for i in range(2000)] + [(1, "one", "de", "web"), (None, None, None, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    queries = (registry.src_docs_whole, registry.src_docs_by_name)
+    want = [sorted(map(tuple, q(spark, str(tmp_path)).collect())) for q in queries]
+    assert ("web", "en", 4000, sum(len(f"{line} {i}second") for i in range(2000))) in want[0]
+    monkeypatch.setattr(registry, "FILE_BYTES", 10_000)
+    path = registry._document_files(spark, str(tmp_path))
+    whole = corpus.read_documents(spark, path, full_path=True, whole=True).select("doc_id", F.length("text").alias("n")).collect()
+    in_hot = [r.n for r in whole if "source=web/lang=en/" in r.doc_id]
+    assert len(in_hot) >= 8 and max(in_hot) < 20_000
+    assert [sorted(map(tuple, q(spark, str(tmp_path)).collect())) for q in queries] == want
