@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexmill.llm.bpe import round_trip
+from lexmill.llm.fill_middle import FILL_MIDDLE_SQL, fill_middle_report
 from lexmill.llm.html_layout import extracted
 from lexmill.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_report
+from lexmill.llm.merkle import MERKLE_SQL, manifest_report
 from lexmill.llm.mixing import MIX_SQL, mix_report
 from lexmill.llm.order_minhash import fingerprints
+from lexmill.llm.piece import piece_report
 from lexmill.llm.quality import quality_report
 from lexmill.llm.simhash import near_duplicates
 from lexmill.llm.token_counts import token_counts
@@ -63,6 +66,18 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_report(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle_report(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_layout": op1_html_layout,
     "op2_warc_archive": op2_warc_archive,
@@ -74,9 +89,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_line_dedup": op9_line_dedup,
     "op10_order_minhash": op10_order_minhash,
+    "op11_piece_chunks": op11_piece_chunks,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
     "op8_curriculum_mix": MIX_SQL,
     "op9_line_dedup": LINE_DEDUP_SQL,
+    "op12_fill_middle": FILL_MIDDLE_SQL,
+    "op13_merkle_manifest": MERKLE_SQL,
 }

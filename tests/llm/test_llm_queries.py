@@ -19,6 +19,9 @@ COLUMNS = {
     8: "doc_id size source_size target taken",
     9: "doc_id n_lines n_dropped kept_sha256",
     10: "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+    11: "doc_id n_tokens ids_sha256 decoded_sha256",
+    12: "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    13: "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
 
