@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import count
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,10 @@ MARKER = "▁"
 # Code points, about, that are cut into chunks at a time, whether of one text or of many.
 PART = 1 << 21
 # Chunks in each of the two generations of a worker's table; longer chunks are segmented each time they come.
-MAX_CHUNKS = 1 << 18
+MAX_CHUNKS = 1 << 17
 LONG_CHUNK = 64
+# Ids, about, that are decoded to texts before these leave the worker.
+DECODED_IDS = 1 << 20
 
 
 class _Codes(dict):
@@ -67,32 +70,35 @@ class ChunkEncoder:
             raise ValueError("this model changes white space, or has pieces with line ends")
         self.chunk = re.compile(" +[^ \n]*|\n[^ \n]*")
         self.start = re.compile("(?<! ) |\n")
-        self.marker_id = np.array([self.model.piece_to_id(MARKER)], np.int32)
-        self.known: dict[str, np.ndarray] = {}
-        self.older: dict[str, np.ndarray] = {}
+        self.marker_id = pack("<i", self.model.piece_to_id(MARKER))
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _segmented(self, chunks: list[str]) -> list[np.ndarray]:
-        """Ids of each chunk alone. The model puts a marker before what it encodes: in place of the chunk's first one."""
+    def _segmented(self, chunks: list[str]) -> list[bytes]:
+        """Packed ids of each chunk alone. The model puts a marker before what it encodes: in place of the chunk's first one."""
         found = self.model.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
         out = []
         for chunk, ids in zip(chunks, found, strict=True):
-            own = np.array(ids, np.int32)
             # Nothing is put before nothing, and what is put before a line end is no part of it.
-            out.append(self.marker_id if chunk == " " else own[1:] if chunk[0] == "\n" else own)
+            own = ids[1:] if chunk[0] == "\n" else ids
+            out.append(self.marker_id if chunk == " " else pack(f"<{len(own)}i", *own))
         return out
 
-    def _table(self, chunks: Iterable[str]) -> list[np.ndarray]:
-        """Ids of distinct chunks, in order; those not met before are segmented."""
-        known, older = self.known, self.older
-        found = {c: ids for c in chunks if (ids := known.get(c, older.get(c))) is not None}
-        missing = [c for c in chunks if c not in found]
-        if missing:
-            found.update(zip(missing, self._segmented(missing), strict=True))
-        if len(known) + len(found) > MAX_CHUNKS:
-            self.older, self.known = known, {}
-        kept = {c: ids for c, ids in found.items() if len(c) <= LONG_CHUNK}
-        self.known.update(kept if len(kept) <= MAX_CHUNKS else list(kept.items())[:MAX_CHUNKS])
-        return [found[c] for c in chunks]
+    def _table(self, chunks: list[str]) -> list[bytes]:
+        """Packed ids of distinct chunks, in order; those not met before are segmented."""
+        found = list(map(self.known.get, chunks))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        missing = []
+        for i in new:
+            found[i] = self.older.get(chunks[i])
+            if found[i] is None:
+                missing.append(i)
+        for i, ids in zip(missing, self._segmented([chunks[i] for i in missing]), strict=True):
+            found[i] = ids
+        if len(self.known) + len(new) > MAX_CHUNKS:
+            self.older, self.known = self.known, {}
+        self.known.update((chunks[i], found[i]) for i in new[:MAX_CHUNKS] if len(chunks[i]) <= LONG_CHUNK)
+        return found
 
     def _parts(self, text: str) -> Iterator[str]:
         """A text with its first marker, cut where chunks begin into parts of about PART code points."""
@@ -104,8 +110,9 @@ class ChunkEncoder:
         yield text[start:]
 
     def encode(self, texts: Iterable[str]) -> Iterator[tuple[np.ndarray, list[int]]]:
-        """Ids, and how many of them belong to each text from the last one of the step before on."""
+        """Ids of whole texts end to end, and their number in each text, for some texts after the other."""
         codes, places, owners, size = _Codes(), [], [], 0
+        begun, n_begun = [], 0
         for text in texts:
             owners.append(0)
             for part in self._parts(text) if text else ():
@@ -113,24 +120,48 @@ class ChunkEncoder:
                 places.append(np.fromiter(map(codes.__getitem__, found), np.int64, len(found)))
                 owners[-1] += len(found)
                 size += len(part)
-                if size >= PART:
-                    yield self._gathered(codes, places, owners)
-                    codes, places, owners, size = _Codes(), [], [0], 0
-        yield self._gathered(codes, places, owners)
+                if size < PART:
+                    continue
+                ids, numbers = self._gathered(codes, places, owners)
+                # The last text may go on: its ids wait for the rest.
+                done = len(ids) - numbers[-1]
+                numbers[0] += n_begun
+                if len(numbers) > 1:
+                    yield np.concatenate([*begun, ids[:done]]), numbers[:-1]
+                    begun = []
+                begun.append(ids[done:] if len(numbers) > 1 else ids)
+                n_begun = numbers[-1]
+                codes, places, owners, size = _Codes(), [], [0], 0
+        ids, numbers = self._gathered(codes, places, owners)
+        if numbers:
+            numbers[0] += n_begun
+            yield np.concatenate([*begun, ids]), numbers
 
     def _gathered(self, codes: dict[str, int], places: list[np.ndarray], owners: list[int]) -> tuple[np.ndarray, list[int]]:
         """The ids of all positions, from the table's ids end to end, and their number in each text."""
         if not places:
             return np.zeros(0, np.int32), [0] * len(owners)
         table = self._table(list(codes))
-        lengths = np.array([len(ids) for ids in table], np.int64)
+        lengths = np.fromiter(map(len, table), np.int64, len(table)) // 4
         starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
         at = np.concatenate(places)
         long = lengths[at]
         ends = np.cumsum(long)
         index = np.repeat(starts[at] - (ends - long), long) + np.arange(ends[-1])
         upto = np.concatenate(([0], ends))[np.cumsum(owners)]
-        return np.concatenate(table)[index], np.diff(upto, prepend=0).tolist()
+        return np.frombuffer(b"".join(table), np.int32)[index], np.diff(upto, prepend=0).tolist()
+
+    def decode(self, rows: Iterable[np.ndarray]) -> Iterator[list[str]]:
+        """The texts of arrays of ids, for some arrays after the other."""
+        some, size = [], 0
+        for row in rows:
+            some.append(row.tolist())
+            size += len(row)
+            if size >= DECODED_IDS:
+                yield self.model.decode(some)
+                some, size = [], 0
+        if some:
+            yield self.model.decode(some)
 
 
 @lru_cache(maxsize=2)
@@ -155,16 +186,9 @@ def encoded(docs: DataFrame, *, text: str = "text", model: str | None = None) ->
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts, sizes = [], []
             for ids, numbers in _encoder(path).encode(value.as_py() for value in batch):
-                # The first text of a step is the last one of the step before.
-                if sizes:
-                    sizes[-1] += numbers[0]
-                    numbers = numbers[1:]
-                sizes += numbers
-                parts.append(ids)
-            offsets = np.concatenate(([0], np.cumsum(np.array(sizes[: len(batch)], np.int64))))
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts), pa.int32()))
+                offsets = pa.array(np.concatenate(([0], np.cumsum(numbers))), pa.int32())
+                yield pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
 
     rows = packed(docs, encode(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("ids"))
     return rows.select(*unpacked(rows, docs.columns, {"ids": F.col("ids")}))
@@ -182,8 +206,9 @@ def decoded(tokens: DataFrame, *, ids: str = "ids", out: str = "text", model: st
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            own = _encoder(path).model
-            yield pa.array([own.decode(row.values.drop_null().to_pylist()) for row in batch], pa.string())
+            rows = (row.values.drop_null().to_numpy(zero_copy_only=False) for row in batch)
+            for texts in _encoder(path).decode(rows):
+                yield pa.array(texts, pa.string())
 
     rows = packed(tokens, decode(F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>"))).alias("body"))
     return rows.select(*unpacked(rows, tokens.columns, {out: F.col("body")}))

@@ -14,16 +14,12 @@ MODEL = sentencepiece.SentencePieceProcessor(model_file=PATH)
 
 
 def encoded(encoder: P.ChunkEncoder, texts: list[str]) -> list[list[int]]:
-    """Ids by text from the encoder's steps, each of which goes on with the text the last one ended with."""
-    ids, sizes = [], []
-    for part, numbers in encoder.encode(texts):
-        if sizes:
-            sizes[-1] += numbers[0]
-            numbers = numbers[1:]
-        sizes += numbers
-        ids += part.tolist()
-    starts = [sum(sizes[:k]) for k in range(len(sizes) + 1)]
-    return [ids[a:b] for a, b in zip(starts, starts[1:], strict=False)]
+    found = []
+    for ids, numbers in encoder.encode(texts):
+        starts = [sum(numbers[:k]) for k in range(len(numbers) + 1)]
+        assert starts[-1] == len(ids)
+        found += [ids[a:b].tolist() for a, b in zip(starts, starts[1:], strict=False)]
+    return found
 
 
 def test_all_documents(spark, docs, rows, sf_dir):
