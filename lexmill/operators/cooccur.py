@@ -8,16 +8,20 @@ aggregation; that halves the rows to count and to shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.lookup import bloom_filter
 from lexmill.functions.text import PAIRS, STRIPES, TokenProfile, explode_runs, raw_tokens
+from lexmill.operators.membership import membership
 from lexmill.sources.sinks import stored
 from lexmill.sources.wordlists import as_literals, word_frame
 
 STRATEGIES = ("auto", "nested", "marked", "band_join")
+# Where tokens are joined with a vocabulary, those of one word are dealt over so many keys.
+SALTS = 16
 
 
 def pairs(
@@ -37,9 +41,11 @@ def pairs(
     row; of the corpus only partial counts are shuffled), ``"marked"`` (positions
     of vocabulary words are found by a join, lines are put together again from
     those, and pairs are made inside them), ``"band_join"`` (tokens are joined by
-    line and position, for cross-checks) or ``"auto"``: nested if the vocabulary
-    is short enough for literals, else marked. A vocabulary too long for that
-    takes the marked way under ``"nested"``, too, with the same result.
+    line and position, for cross-checks) or ``"auto"``, which is nested as far
+    as that goes: a vocabulary short enough becomes literals, and a longer one
+    a filter with exceptions (``membership``), for which the corpus is reduced to
+    its distinct words first. A vocabulary too long even for that takes the
+    marked way, also under ``"nested"``, with the same result.
     ``preagg`` is ``"task"`` (Spark's partial aggregation) or ``"line"`` (counts
     inside each line before that). ``key`` names columns that identify a line;
     the band join needs them.
@@ -130,9 +136,15 @@ def _count(
     if required and (vocabulary.isEmpty() if words is None else not words):
         raise ValueError("the vocabulary is empty")
     if words is not None:
-        return _nested(lines, words, distance, text, profile, preagg, seen)
+        wanted = (lambda w: w.isin(*words)) if words else (lambda w: F.lit(False))
+        return _nested(lines, wanted, distance, text, profile, preagg, seen)
     if strategy == "band_join":
         return _band_join(lines, vocabulary, distance, text, profile, preagg, key, seen)
+    if strategy != "marked":
+        tokens = lines.select(F.explode(raw_tokens(F.col(text), profile)).alias("word")).where("word != ''")
+        wanted = membership(tokens.distinct(), vocabulary.where("word != ''"))
+        if wanted is not None:
+            return _nested(lines, lambda w: (w != "") & wanted(w), distance, text, profile, preagg, seen)
     return _marked(lines, vocabulary, distance, text, profile, preagg, seen)
 
 
@@ -145,15 +157,17 @@ def _alone(word: Column) -> Column:
 
 
 def _nested(
-    lines: DataFrame, words: list[str], distance: int, text: str, profile: TokenProfile, preagg: str, seen: bool
+    lines: DataFrame,
+    wanted: Callable[[Column], Column],
+    distance: int,
+    text: str,
+    profile: TokenProfile,
+    preagg: str,
+    seen: bool,
 ) -> DataFrame:
-    """Pairs of the given words, from array expressions inside the row."""
+    """Pairs of the words that are wanted, from array expressions inside the row."""
     tokens = lines.select(raw_tokens(F.col(text), profile).alias("tokens"))
     known = F.col("tokens")
-
-    def wanted(w: Column) -> Column:
-        return w.isin(*words) if words else F.lit(False)
-
     kept = F.array_remove(F.transform(known, lambda w, i: F.when(wanted(w), i).otherwise(-1)), -1)
 
     # Any two kept positions within the distance have fewer than `distance` kept
@@ -183,9 +197,11 @@ def _marked(
     body = F.col(text)
     line = [F.xxhash64(body).alias("k1"), F.xxhash64(F.lit("line"), body).alias("k2")]
     tokens = lines.select(*line, F.posexplode(raw_tokens(body, profile)).alias("pos", "w")).where("w != ''")
-    # Spark broadcasts the vocabulary if its size allows. Else a hot word is a skewed key, which adaptive execution
-    # splits: both sides are shuffled for the join alone.
-    kept = tokens.join(vocabulary.select(F.col("word").alias("w")), "w", "left_semi")
+    # Only tokens that a filter lets through are joined, and those of a hot word with one of many copies of it.
+    likely = tokens.where(bloom_filter(vocabulary, vocabulary.count())(F.col("w")))
+    salted = likely.withColumn("salt", F.pmod(F.xxhash64("k1", "pos"), F.lit(SALTS)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    kept = salted.join(vocabulary.select(F.col("word").alias("w"), salts), ["w", "salt"], "left_semi")
     # A set, so that a line that occurs often is no longer than the line.
     rows = kept.groupBy("k1", "k2").agg(F.collect_set(F.struct("pos", "w")).alias("kept"), F.count("*").alias("n"))
     rows = rows.select(F.sort_array("kept").alias("kept"), F.expr("n div size(kept)").alias("m"))

@@ -4,15 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from lexmill.functions.formats import COLLECTION_SIZE, tf_idf
-from lexmill.functions.porter import may_stem_to, porter_array
-from lexmill.functions.text import DF, TF, TokenProfile, add_runs, explode_tokens, run_counts, token_array
+from lexmill.functions.lookup import bloom_filter, word_map
+from lexmill.functions.porter import porter_array
+from lexmill.functions.text import (
+    DF,
+    TF,
+    TokenProfile,
+    add_runs,
+    explode_tokens,
+    raw_tokens,
+    run_counts,
+    token_array,
+    token_ok,
+)
 from lexmill.operators.counts import without_stop_words
 from lexmill.operators.stems import attach_stems, stems_of
-from lexmill.sources.wordlists import as_literals, as_local_df_table
+from lexmill.sources import wordlists
+from lexmill.sources.sinks import stored
+from lexmill.sources.wordlists import as_literals, small_rows
 
 
 def document_frequency(
@@ -35,28 +48,37 @@ def document_frequency(
     word once, but has to shuffle (document, term) keys.
     """
     literals = as_literals(stop)
-    inline = stem and stems is None
-    if doc is None and literals is not None and stems is None:
-        terms = _row_terms(df, text, [], profile, literals, inline)
+    if literals is None and not stem and stems is None:
+        # Counts by term are far fewer than terms: the long list is joined with those.
+        return without_stop_words(_counted(_row_terms(df, text, doc, profile, [], False), doc), stop, "term")
+    if literals is not None and stems is None:
+        return _counted(_row_terms(df, text, doc, profile, literals, stem), doc)
+    if doc is None:
+        df, doc = df.withColumn("_row", F.monotonically_increasing_id()), "_row"
+    # The terms of a row are distinct before they are joined.
+    terms = _row_terms(df, text, doc, profile, literals or [], False)
+    if literals is None:
+        terms = without_stop_words(terms, stop, "term")
+    if stems is not None:
+        terms = attach_stems(terms, stems, "term")
+        if profile.min_stem_len > 1:
+            terms = terms.where(F.length("term") >= profile.min_stem_len)
     else:
-        if doc is None:
-            df, doc = df.withColumn("_row", F.monotonically_increasing_id()), "_row"
-        if literals is not None:
-            terms = _row_terms(df, text, [doc], profile, literals, inline)
-        else:
-            terms = _token_terms(df, text, doc, profile, stop, inline)
-        if stems is not None:
-            terms = attach_stems(terms, stems, "term")
-            if profile.min_stem_len > 1:
-                terms = terms.where(F.length("term") >= profile.min_stem_len)
-        terms = terms.distinct()
-    return terms.groupBy("term").agg(F.count("*").alias("df"))
+        words = terms.select(doc, F.array("term").alias("_words"))
+        terms = words.select(doc, stems_of("_words", profile.min_stem_len).alias("term"))
+    return _counted(terms, doc)
+
+
+def _counted(terms: DataFrame, doc: str | None) -> DataFrame:
+    """``term, df`` from one row per term of a document, or from terms of rows that ``doc`` puts together."""
+    return (terms.distinct() if doc else terms).groupBy("term").agg(F.count("*").alias("df"))
 
 
 def _row_terms(
-    df: DataFrame, text: str, keep: list[str], profile: TokenProfile, stop: Sequence[str], stem: bool
+    df: DataFrame, text: str, doc: str | None, profile: TokenProfile, stop: Sequence[str], stem: bool
 ) -> DataFrame:
-    """``keep, term`` with the terms of each row once."""
+    """``doc, term`` with the terms of each row once."""
+    keep = [doc] if doc else []
     terms = token_array(F.col(text), profile, stop, distinct=True)
     if not stem:
         return df.select(*keep, F.explode(terms).alias("term"))
@@ -64,17 +86,6 @@ def _row_terms(
     return df.select(*keep, terms.alias("_terms")).select(*keep, F.explode(F.array_distinct(stemmed)).alias("term"))
 
 
-def _token_terms(
-    df: DataFrame, text: str, doc: str, profile: TokenProfile, stop: DataFrame | Sequence[str], stem: bool
-) -> DataFrame:
-    """``doc, term`` with one row per token, for stop lists that have to be joined."""
-    rows = without_stop_words(explode_tokens(df, profile, text=text, keep=[doc], out="term"), stop, "term")
-    if stem:
-        words = rows.select(doc, F.array("term").alias("_words"))
-        rows = words.select(doc, stems_of("_words", profile.min_stem_len).alias("term"))
-    return rows
-
-
 def term_frequency(
     df: DataFrame,
     *,
@@ -94,17 +105,21 @@ def term_frequency(
     stems the distinct terms of a row inside it; ``stems`` joins a table from
     ``stem_vocabulary`` instead. How long the stop list is decides only whether
     it is looked up in the row or joined.
+
+    A DF table, with one row per term, turns this around: the words that count
+    for its terms are found first, stemmed once each, and looked up in the row.
     """
-    literals, terms = as_literals(stop), None
     if df_table is not None:
-        df_table, terms = as_local_df_table(df_table)
+        near, far = split_table(_table_words(df, text, profile, stop, stem, stems, df_table))
+        return _table_frequency(df, doc, text, profile, near, far, row_is_document)
+    literals = as_literals(stop)
     inline = stem and stems is None and literals is not None
     keep = [doc]
     if row_is_document and (literals is None or stems is not None):
         # Counts of a row are joined and grouped again below, by row.
         df, keep = df.withColumn("_row", F.monotonically_increasing_id()), ["_row", doc]
-    wanted = terms if (inline or not stem) and stems is None and literals is not None else None
-    counted = _row_counts(df, keep, text, profile, literals or [], inline, wanted)
+    rows, cells = row_cells(df, keep, text, profile, literals or [], inline)
+    counted = rows.select(*keep, F.inline(cells))
     if literals is None:
         counted = without_stop_words(counted, stop, "term")
     if stems is not None:
@@ -113,58 +128,126 @@ def term_frequency(
         words = counted.select(*keep, "tf", F.array("term").alias("_words"))
         counted = words.select(*keep, stems_of("_words").alias("term"), "tf")
     counted = counted.where(F.length("term") >= profile.min_stem_len)
-    if df_table is not None:
-        counted = counted.join(df_table.select("term"), "term", "left_semi")
     if not row_is_document or len(keep) > 1:
         counted = counted.groupBy(*keep, "term").agg(F.sum("tf").alias("tf"))
-    if df_table is not None:
-        counted = counted.join(df_table, "term")
-    return counted.select(doc, "term", "tf", *(["df"] if df_table is not None else []))
+    return counted.select(doc, "term", "tf")
 
 
-def _row_counts(
+def _table_words(
     df: DataFrame,
-    keep: list[str],
     text: str,
     profile: TokenProfile,
-    stop: list[str],
+    stop: DataFrame | Sequence[str] | None,
     stem: bool,
-    terms: list[str] | None,
+    stems: DataFrame | None,
+    df_table: DataFrame,
 ) -> DataFrame:
-    """``keep, term, tf``: one row per distinct term of a row."""
-    rows, cells = _row_cells(df, keep, text, profile, stop, stem, terms)
-    return rows.select(*keep, F.inline(cells))
+    """``word, term, df``: the words that count for a term of a DF table, without stop words.
+
+    With stems, one pass reduces the corpus to its vocabulary, each word of it
+    is stemmed once, and those whose stem is in the table stay. Stop words go
+    from this list, never from tokens.
+    """
+    table = df_table.where("term IS NOT NULL AND df != 0").groupBy("term")
+    table = table.agg(F.max("df").cast("bigint").alias("df")).where(F.length("term") >= profile.min_stem_len)
+    if stem or stems is not None:
+        words = explode_tokens(df, profile, text=text, out="word").distinct()
+        if stems is not None:
+            known = attach_stems(words.select("word", F.col("word").alias("term")), stems, "term")
+        else:
+            known = words.select("word", F.array("word").alias("_words")).select("word", stems_of("_words").alias("term"))
+        found = known.join(table, "term")
+    else:
+        found = table.withColumn("word", F.col("term")).where(token_ok(F.col("word"), profile))
+    literals = as_literals(stop)
+    if literals is None:
+        found = without_stop_words(found, stop, "word")
+    elif literals:
+        found = found.where(~F.col("word").isin(*literals))
+    return found.select("word", "term", "df")
+
+
+def split_table(words: DataFrame, limit: int | None = None) -> tuple[list[Row], DataFrame | None]:
+    """The words of the most frequent terms, at most ``limit``, and a stored table of all others if there are any.
+
+    All words of one term fall on the same side.
+    """
+    limit = wordlists.LITERAL_WORDS if limit is None else limit
+    rows = small_rows(words, limit)
+    if rows is not None:
+        return rows, None
+    words = stored(words, "words")
+    rows = words.orderBy(F.desc("df"), "term", "word").limit(limit + 1).collect()
+    last = rows[-1]
+    far = words.where((F.col("df") < last["df"]) | ((F.col("df") == last["df"]) & (F.col("term") >= last["term"])))
+    return [row for row in rows if row["term"] != last["term"]], far
+
+
+def _table_cells(
+    df: DataFrame, keep: Sequence[str], text: str, profile: TokenProfile, near: Sequence[Row]
+) -> tuple[DataFrame, Column]:
+    """Rows, and the array expression over them with ``term, tf, df`` of the terms whose words are ``near``."""
+    term_of = word_map({row["word"]: row["term"] for row in near})
+    df_of = word_map({row["term"]: row["df"] for row in near}, "bigint")
+    terms = F.filter(F.transform(raw_tokens(F.col(text), profile), term_of), lambda t: t.isNotNull())
+    rows, cells = run_counts(df, terms, name="term", count="tf", keep=keep)
+    return rows, F.transform(cells, lambda c: F.struct(c["term"].alias("term"), c["tf"].alias("tf"), df_of(c["term"]).alias("df")))
 
 
-def _row_cells(
+def _table_frequency(
     df: DataFrame,
-    keep: list[str],
+    doc: str,
     text: str,
     profile: TokenProfile,
-    stop: list[str],
-    stem: bool,
-    terms: list[str] | None,
+    near: Sequence[Row],
+    far: DataFrame | None,
+    row_is_document: bool,
+) -> DataFrame:
+    """``doc, term, tf, df``: frequent terms from inside the row, the others by one join of the words a filter lets through.
+
+    No term of the join is frequent, so none of its keys is hot.
+    """
+    keep, stemmed = [doc], any(row["word"] != row["term"] for row in near)
+    rows, cells = _table_cells(df, keep, text, profile, near)
+    counted = rows.select(*keep, F.inline(cells))
+    if far is not None:
+        stemmed = stemmed or not far.where("word != term").isEmpty()
+        again, by = df, keep
+        if row_is_document and stemmed:
+            again, by = df.withColumn("_row", F.monotonically_increasing_id()), ["_row", doc]
+        near_term = word_map({row["word"]: 1 for row in near}, "int")
+        other = F.filter(raw_tokens(F.col(text), profile), lambda w: near_term(w).isNull() & token_ok(w, profile))
+        rows, cells = run_counts(again, other, name="word", count="tf", keep=by)
+        may_hold = bloom_filter(far, far.count())
+        # The filter is in the generator: outside it would be pushed below, and the array be computed twice.
+        likely = rows.select(*by, F.inline(F.filter(cells, lambda c: may_hold(c["word"]))))
+        joined = likely.join(far, "word").select(*by, "term", "tf", "df")
+        if row_is_document and stemmed:
+            joined = joined.groupBy(*by, "term", "df").agg(F.sum("tf").alias("tf"))
+        counted = counted.unionByName(joined.select(doc, "term", "tf", "df"))
+    if not row_is_document:
+        counted = counted.groupBy(doc, "term", "df").agg(F.sum("tf").alias("tf"))
+    return counted.select(doc, "term", "tf", "df")
+
+
+def row_cells(
+    df: DataFrame, keep: Sequence[str], text: str, profile: TokenProfile, stop: Sequence[str], stem: bool
 ) -> tuple[DataFrame, Column]:
     """Rows, and the array expression over them that holds each row's distinct terms as ``term, tf``."""
 
-    def wanted(term: Column) -> Column:
-        ok = F.length(term) >= profile.min_stem_len
-        if terms is None:
-            return ok
-        return ok & term.isin(*terms) if terms else F.lit(False)
+    def long_enough(term: Column) -> Column:
+        return F.length(term) >= profile.min_stem_len
 
     tokens = token_array(F.col(text), profile, stop)
     if not stem:
         rows = df.select(*keep, tokens.alias("_terms"))
-        return run_counts(rows, F.filter("_terms", wanted), name="term", count="tf", keep=keep)
-    if terms is not None:
-        tokens = F.filter(tokens, lambda w: may_stem_to(w, terms))
+        return run_counts(rows, F.filter("_terms", long_enough), name="term", count="tf", keep=keep)
     rows, cells = run_counts(df, tokens, name="term", count="tf", keep=keep)
     rows = rows.select(*keep, cells.alias("_cells"))
     rows = rows.select(*keep, "_cells", F.transform("_cells", lambda c: c["term"]).alias("_words"))
     # Each distinct word of the row is stemmed once; words of one stem add up.
     stemmed = F.zip_with(porter_array("_words"), "_cells", lambda s, c: F.struct(s.alias("term"), c["tf"].alias("tf")))
-    return add_runs(rows, F.filter(stemmed, lambda c: wanted(c["term"])), name="term", count="tf", keep=keep)
+    return add_runs(rows, F.filter(stemmed, lambda c: long_enough(c["term"])), name="term", count="tf", keep=keep)
 
 
 def merge_counts(counted: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -202,14 +285,21 @@ def row_stripes(
     With a short stop list and DF table the map is built inside the row and
     nothing is shuffled; longer ones are joined, and the row is put together again.
     """
-    literals, terms = as_literals(stop), None
+    far, literals = None, [] if df_table is not None else as_literals(stop)
     if df_table is not None:
-        df_table, terms = as_local_df_table(df_table)
-    if literals is None or (df_table is not None and terms is None):
+        near, far = split_table(_table_words(df, text, profile, stop, stem, None, df_table))
+    if literals is None or far is not None:
         rows = df.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(doc).alias("id")).alias("_key"), text)
-        tf = term_frequency(rows, doc="_key", text=text, profile=profile, stop=stop, stem=stem, df_table=df_table)
+        if far is not None:
+            tf = _table_frequency(rows, "_key", text, profile, near, far, False)
+        else:
+            tf = term_frequency(rows, doc="_key", text=text, profile=profile, stop=stop, stem=stem)
         return tf_stripes(tf, "_key").select(F.col("_key.id").alias(doc), "stripe")
-    rows, cells = _row_cells(df, [doc], text, profile, literals, stem, terms)
+    if df_table is not None:
+        rows, cells = _table_cells(df, [doc], text, profile, near)
+        cells = F.transform(cells, lambda c: F.struct(c["term"].alias("term"), c["tf"].alias("tf")))
+    else:
+        rows, cells = row_cells(df, [doc], text, profile, literals, stem)
     filled = rows.select(doc, cells.alias("_cells"))
     # A generator drops the empty rows, because a filter would be pushed down and compute the array twice.
     found = F.when(F.size("_cells") > 0, F.array(F.map_from_entries("_cells")))

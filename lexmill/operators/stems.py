@@ -2,17 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.porter import porter, porter_array
 from lexmill.functions.text import DF, TokenProfile, explode_tokens
 
+DICTIONARY = "term string, stem string"
+
 
 def stem_vocabulary(df: DataFrame, *, text: str = "text", profile: TokenProfile = DF) -> DataFrame:
     """``term, stem`` for each distinct token: the corpus is reduced to its vocabulary before stemming."""
-    vocabulary = explode_tokens(df, profile, text=text, out="term").distinct()
-    return vocabulary.select("term", F.array("term").alias("_words")).select("term", stems_of("_words").alias("stem"))
+    return stem_words(explode_tokens(df, profile, text=text, out="term").distinct())
+
+
+def stem_words(words: DataFrame) -> DataFrame:
+    """``term, stem`` of distinct words in the column ``term``."""
+    return words.select("term", F.array("term").alias("_words")).select("term", stems_of("_words").alias("stem"))
+
+
+def read_stems(spark: SparkSession, path: str) -> DataFrame:
+    """The stem dictionary at ``path``, ``term, stem``; an empty one if there is none yet."""
+    try:
+        return spark.read.schema(DICTIONARY).parquet(path).dropDuplicates(["term"])
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], DICTIONARY)
+
+
+def update_stems(words: DataFrame, path: str) -> DataFrame:
+    """The stem dictionary at ``path`` after the words of the column ``term`` that it lacks were stemmed and appended.
+
+    So a corpus that grows has only its new words stemmed. Repeating an update
+    appends nothing, and words that two updates append at once count once when read.
+    """
+    spark = words.sparkSession
+    known = read_stems(spark, path).select("term")
+    unseen = words.select("term").where("term IS NOT NULL").distinct().join(known, "term", "left_anti")
+    stem_words(unseen).write.mode("append").parquet(path)
+    return read_stems(spark, path)
 
 
 def stems_of(words: str, min_len: int = 1) -> Column:

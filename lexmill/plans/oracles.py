@@ -293,9 +293,9 @@ def stemmed_tf(source: str, doc: str) -> str:
         WHERE length(stem) >= {T.TF.min_stem_len} GROUP BY {doc}, stem"""
 
 
-def scored(tf_sql: str, df_sql: str, doc: str) -> str:
+def scored(tf_sql: str, df_sql: str, doc: str, top: str = TOP100) -> str:
     return f"""SELECT t.{doc}, t.term, round(t.tf * ln(10000.0 / d.df + 1), 6) AS score
-        FROM ({tf_sql}) t JOIN (SELECT * FROM ({df_sql}) {TOP100}) d ON t.term = d.term"""
+        FROM ({tf_sql}) t JOIN (SELECT * FROM ({df_sql}) {top}) d ON t.term = d.term"""
 
 
 TF_DOC = tf("documents", "doc_id")
@@ -309,6 +309,12 @@ SCORED_TF = f"SELECT t.* FROM ({TF_DOC}) t JOIN (SELECT * FROM ({DF_LINE}) {TOP1
 TF_STRIPES = (
     f"SELECT doc_id, string_agg(term || ':' || tf, ',' ORDER BY term) AS stripe FROM ({SCORED_TF}) GROUP BY doc_id"
 )
+TF_STEMMED = stemmed_tf("documents", "doc_id")
+DF_OF_TF = "SELECT term, count(*) AS df FROM ({}) GROUP BY term"
+STEMS_OF_TWO = (
+    f"WITH {stem_ctes(tokens('documents', T.DF, stop=False) + ' UNION ALL ' + tokens('conversations', T.DF, stop=False))} "
+    "SELECT term, stem FROM stems"
+)
 TFIDF = scored(TF_DOC, DF_LINE, "doc_id")
 LARGE = "SELECT term || '+' AS term, df + 3000000000 AS df FROM t"
 MERGED = " UNION ALL ".join(
@@ -345,6 +351,8 @@ ORACLES: dict[str, str] = {
     "cooc_pairs_large_vocabulary_d4": pairs(4, vocabulary=FREQUENT),
     "cooc_pairs_large_vocabulary_band_d1": pairs(1, vocabulary=FREQUENT),
     **{f"cooc_stripes_d{d}": stripes(d) for d in (1, 2, 3, 4)},
+    "cooc_stripes_in_parts_d1": stripes(1),
+    "cooc_pairs_of_files_d2": pairs(2),
     "cooc_stripes_line_preagg_d2": stripes(2),
     "cooc_stripes_keep_empty_d1": stripes_keep_empty(1),
     "doc_freq_line": DF_LINE,
@@ -354,6 +362,7 @@ ORACLES: dict[str, str] = {
     "doc_freq_doc_stemmed": stemmed_df("documents", "doc_id"),
     "doc_freq_vocab_stems": stemmed_df("documents", "doc_id"),
     "vocab_stems": stems(T.DF),
+    "vocab_stems_grown": STEMS_OF_TWO,
     "vocab_stems_alnum": stems(T.TF),
     "df_top100": f"SELECT row_number() OVER (ORDER BY df DESC, term) AS rank, term, df FROM ({DF_LINE}) {TOP100}",
     "df_top100_stemmed": f"SELECT row_number() OVER (ORDER BY df DESC, term) AS rank, term, df "
@@ -369,6 +378,13 @@ ORACLES: dict[str, str] = {
     "tf_stripe_decode": SCORED_TF,
     "tfidf": TFIDF,
     "tfidf_stemmed": scored(stemmed_tf("documents", "doc_id"), DF_LINE_STEMMED, "doc_id"),
+    "tfidf_long_df_table": scored(TF_DOC, DF_LINE, "doc_id", top=""),
+    "tfidf_long_df_table_stemmed": scored(TF_STEMMED, DF_LINE_STEMMED, "doc_id", top=""),
+    "index_tfidf": scored(TF_DOC, DF_OF_TF.format(TF_DOC), "doc_id"),
+    "index_tfidf_stemmed": scored(TF_STEMMED, DF_OF_TF.format(TF_STEMMED), "doc_id"),
+    "index_tfidf_all_terms": scored(TF_DOC, DF_OF_TF.format(TF_DOC), "doc_id", top=""),
+    "index_tf_stripes": "SELECT doc_id, string_agg(term || ':' || tf, ',' ORDER BY term) AS stripe "
+    f"FROM ({TF_DOC}) GROUP BY doc_id",
     "tfidf_doc_unit": scored(TF_DOC, DF_DOC, "doc_id"),
     "tfidf_conversations": scored(
         stemmed_tf("conversations", "conv_id"), stemmed_df("conversations", "conv_id"), "conv_id"
@@ -388,6 +404,10 @@ ORACLES: dict[str, str] = {
     "src_lines": f"SELECT line, count(*) AS n FROM {LINES} GROUP BY line",
     "src_docs": "SELECT lang, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars "
     f"FROM {lines('documents', 'lang')} GROUP BY lang",
+    "src_numbered_lines": "SELECT row_number() OVER (ORDER BY doc_id, line_no) - 1 AS line_no, line FROM " + LINES,
+    "sink_sorted_roundtrip": "SELECT row_number() OVER (ORDER BY pair) - 1 AS line_no, pair || chr(9) || n AS line "
+    f"FROM (SELECT w || ',' || u AS pair, n FROM ({pairs(1)}))",
+    "word_counts_resumed": counts("documents"),
     "sink_tsv_roundtrip": counts("documents"),
     "sink_pairs_roundtrip": f"SELECT w || ',' || u AS pair, n FROM ({pairs(1)})",
     "cooc_pairs_merged_d2": pairs(2, lines=ALL_LINES),

@@ -16,12 +16,13 @@ from lexmill.functions.formats import (
     tf_stripe_text,
 )
 from lexmill.operators import counts, frequency
+from lexmill.operators import index as I
 from lexmill.operators.cooccur import merge_pairs, merge_stripes
-from lexmill.operators.stems import stem_vocabulary
+from lexmill.operators.stems import stem_vocabulary, stem_words, update_stems
 from lexmill.plans import pipelines as P
 from lexmill.plans.defaults import STOP_WORDS
-from lexmill.sources.corpus import lines_of, read_documents, read_lines, read_table
-from lexmill.sources.sinks import scratch_path, write_top_tsv, write_tsv
+from lexmill.sources.corpus import lines_of, read_documents, read_lines, read_numbered_lines, read_table
+from lexmill.sources.sinks import read_runs, scratch_path, write_run, write_sorted_tsv, write_top_tsv, write_tsv
 from lexmill.sources.wordlists import as_local_df_table, read_counts, read_df_table, read_stop_words, read_vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,6 +153,13 @@ def cooc_stripes_keep_empty_d1(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("w", stripe_text(F.col("stripe")).alias("stripe"))
 
 
+def cooc_stripes_in_parts_d1(spark: SparkSession, sf: str) -> DataFrame:
+    """Stripes split over three rows per word, put together again."""
+    found = P.stripe_cooccurrence(lines(spark, sf), vocabulary(spark, sf), 1, parts=3)
+    whole = merge_stripes([found.where(f"part = {k}").select("w", "stripe") for k in range(3)])
+    return whole.select("w", stripe_text(F.col("stripe")).alias("stripe"))
+
+
 def _corpora(spark: SparkSession, sf: str) -> list[DataFrame]:
     """Documents, conversations and pages as lines."""
     return [
@@ -197,16 +205,23 @@ def doc_freq_doc_stemmed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_freq_vocab_stems(spark: SparkSession, sf: str) -> DataFrame:
-    """As ``doc_freq_doc_stemmed``, with each distinct token stemmed once and joined back."""
-    return frequency.document_frequency(
-        documents(spark, sf), doc="doc_id", stop=STOP_WORDS, stems=stem_vocabulary(texts(spark, sf))
-    )
+    """As ``doc_freq_doc_stemmed``, from an index: the text is read once, and each distinct token stemmed once."""
+    index = I.forward_index(documents(spark, sf), profile=T.DF, stop=STOP_WORDS)
+    return I.index_document_frequency(I.stemmed_index(index, stem_words(I.index_words(index))))
 
 
 def vocab_stems(spark: SparkSession, sf: str) -> DataFrame:
     return stem_vocabulary(texts(spark, sf))
 
 
+def vocab_stems_grown(spark: SparkSession, sf: str) -> DataFrame:
+    """A stem dictionary of conversations, grown by the new words of documents."""
+    path = scratch_path(spark, "stems")
+    for corpus in (conversations(spark, sf), texts(spark, sf)):
+        found = update_stems(T.explode_tokens(corpus, T.DF, out="term"), path)
+    return found
+
+
 def vocab_stems_alnum(spark: SparkSession, sf: str) -> DataFrame:
     return stem_vocabulary(texts(spark, sf), profile=T.TF)
 
@@ -267,6 +282,42 @@ def tfidf_stemmed(spark: SparkSession, sf: str) -> DataFrame:
     return P.tf_idf_scores(documents(spark, sf), df_top100_stemmed(spark, sf), stop=STOP_WORDS, row_is_document=True)
 
 
+def tfidf_long_df_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores for every term of the whole DF table."""
+    return P.tf_idf_scores(
+        documents(spark, sf), doc_freq_line(spark, sf), stop=STOP_WORDS, stem=False, row_is_document=True
+    )
+
+
+def tfidf_long_df_table_stemmed(spark: SparkSession, sf: str) -> DataFrame:
+    return P.tf_idf_scores(documents(spark, sf), doc_freq_stemmed(spark, sf), stop=STOP_WORDS, row_is_document=True)
+
+
+def _index(spark: SparkSession, sf: str, stem: bool = False) -> DataFrame:
+    index = I.forward_index(documents(spark, sf), stop=STOP_WORDS)
+    return I.stemmed_index(index, stem_words(I.index_words(index)), min_stem_len=T.TF.min_stem_len) if stem else index
+
+
+def _index_tfidf(stem: bool) -> Query:
+    """The chained run from one pass over the text: an index, its top terms, and scores."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        index = _index(spark, sf, stem)
+        return I.index_scores(index, counts.top_terms(I.index_document_frequency(index)))
+
+    return run
+
+
+def index_tfidf_all_terms(spark: SparkSession, sf: str) -> DataFrame:
+    index = _index(spark, sf)
+    return I.index_scores(index, I.index_document_frequency(index))
+
+
+def index_tf_stripes(spark: SparkSession, sf: str) -> DataFrame:
+    found = I.index_stripes(_index(spark, sf))
+    return found.select("doc_id", tf_stripe_text(F.col("stripe")).alias("stripe"))
+
+
 def tfidf_doc_unit(spark: SparkSession, sf: str) -> DataFrame:
     top = P.top_document_frequency(texts(spark, sf), stop=STOP_WORDS, stem=False)
     return P.tf_idf_scores(documents(spark, sf), top, stop=STOP_WORDS, stem=False, row_is_document=True)
@@ -438,6 +489,41 @@ def tfidf_of_files(spark: SparkSession, sf: str) -> DataFrame:
     return P.tf_idf_scores(docs, df_top100(spark, sf), text="line", stop=STOP_WORDS, stem=False)
 
 
+def _line_files(spark: SparkSession, sf: str) -> str:
+    """All lines, in the order of documents and places, in several files."""
+    path = scratch_path(spark, "ordered")
+    write_sorted_tsv(numbered_lines(spark, sf), path, "line", key=["doc_id", "line_no"], files=4)
+    return path
+
+
+def src_numbered_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return read_numbered_lines(spark, _line_files(spark, sf), across=True).select("line_no", "line")
+
+
+def cooc_pairs_of_files_d2(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs by the band join, with lines of files known by file and number."""
+    numbered = read_numbered_lines(spark, _line_files(spark, sf))
+    return P.pair_cooccurrence(numbered, vocabulary(spark, sf), 2, strategy="band_join", key=["file", "line_no"])
+
+
+def sink_sorted_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs written in order, read back file by file."""
+    path = scratch_path(spark, "pairs")
+    pair = pair_key(F.col("w"), F.col("u"))
+    write_sorted_tsv(_pairs(1)(spark, sf), path, pair, "n", key=[pair])
+    return read_numbered_lines(spark, path, across=True).select("line_no", "line")
+
+
+def word_counts_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs over parts of the corpus, one of them twice; the second time replaces the first."""
+    path = scratch_path(spark, "runs")
+    corpus = documents(spark, sf)
+    for part in (0, 1, 2, 1):
+        counted = counts.word_counts(corpus.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == part), stop=STOP_WORDS)
+        write_run(counted, path, f"part{part}")
+    return P.merged_word_counts([read_runs(spark, path, counted.schema)])
+
+
 def sink_tsv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "counts")
     write_tsv(word_counts(spark, sf), path, "word", "n")
@@ -492,6 +578,7 @@ QUERIES: dict[str, Query] = {
     "word_counts": word_counts,
     "word_counts_all": word_counts_all,
     "word_counts_merged": word_counts_merged,
+    "word_counts_resumed": word_counts_resumed,
     "tokens_alpha": _token_stats(T.WORDCOUNT),
     "tokens_word_apos": _token_stats(T.STRIPES),
     "tokens_nonword": _token_stats(T.DF),
@@ -506,6 +593,7 @@ QUERIES: dict[str, Query] = {
     "cooc_pairs_band_d2": cooc_pairs_band_d2,
     "cooc_pairs_line_preagg_d2": _pairs(2, preagg="line"),
     "cooc_pairs_pages_d2": cooc_pairs_pages_d2,
+    "cooc_pairs_of_files_d2": cooc_pairs_of_files_d2,
     "cooc_pairs_large_vocabulary_d1": cooc_pairs_large_vocabulary_d1,
     "cooc_pairs_large_vocabulary_d4": cooc_pairs_large_vocabulary_d4,
     "cooc_pairs_large_vocabulary_band_d1": cooc_pairs_large_vocabulary_band_d1,
@@ -515,6 +603,7 @@ QUERIES: dict[str, Query] = {
     "cooc_stripes_d4": _stripes(4),
     "cooc_stripes_line_preagg_d2": _stripes(2, preagg="line"),
     "cooc_stripes_keep_empty_d1": cooc_stripes_keep_empty_d1,
+    "cooc_stripes_in_parts_d1": cooc_stripes_in_parts_d1,
     "cooc_pairs_merged_d2": cooc_pairs_merged_d2,
     "cooc_stripes_merged_d2": cooc_stripes_merged_d2,
     "doc_freq_line": doc_freq_line,
@@ -525,6 +614,7 @@ QUERIES: dict[str, Query] = {
     "doc_freq_vocab_stems": doc_freq_vocab_stems,
     "vocab_stems": vocab_stems,
     "vocab_stems_alnum": vocab_stems_alnum,
+    "vocab_stems_grown": vocab_stems_grown,
     "df_top100": df_top100,
     "df_top100_stemmed": df_top100_stemmed,
     "df_vocab_size": df_vocab_size,
@@ -538,10 +628,16 @@ QUERIES: dict[str, Query] = {
     "tf_stripe_decode": tf_stripe_decode,
     "tfidf": tfidf,
     "tfidf_stemmed": tfidf_stemmed,
+    "tfidf_long_df_table": tfidf_long_df_table,
+    "tfidf_long_df_table_stemmed": tfidf_long_df_table_stemmed,
     "tfidf_doc_unit": tfidf_doc_unit,
     "tfidf_conversations": tfidf_conversations,
     "tfidf_merged_runs": tfidf_merged_runs,
     "term_freq_long_stop_list": term_freq_long_stop_list,
+    "index_tfidf_all_terms": index_tfidf_all_terms,
+    "index_tf_stripes": index_tf_stripes,
+    "index_tfidf": _index_tfidf(False),
+    "index_tfidf_stemmed": _index_tfidf(True),
     "doc_freq_long_stop_list": doc_freq_long_stop_list,
     "tfidf_small_collection": tfidf_small_collection,
     "tfidf_of_files": tfidf_of_files,
@@ -552,8 +648,10 @@ QUERIES: dict[str, Query] = {
     "tfidf_from_files": tfidf_from_files,
     "src_lines": src_lines,
     "src_docs": src_docs,
+    "src_numbered_lines": src_numbered_lines,
     "sink_tsv_roundtrip": sink_tsv_roundtrip,
     "sink_pairs_roundtrip": sink_pairs_roundtrip,
+    "sink_sorted_roundtrip": sink_sorted_roundtrip,
     "sink_top100_roundtrip": sink_top100_roundtrip,
     "sink_stripes_roundtrip": sink_stripes_roundtrip,
     "sink_tfidf_roundtrip": sink_tfidf_roundtrip,

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import split_lines
+from lexmill.sources.sinks import stored
 
 # One scan partition covers at most one 128 MB split, so this many pieces are
 # enough to keep every core busy on a corpus that is a single small file.
@@ -23,6 +24,42 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(paths).select(F.col("value").alias("line"))
 
 
+def read_numbered_lines(
+    spark: SparkSession, paths: str | Sequence[str], *, full_path: bool = True, across: bool = False
+) -> DataFrame:
+    """``file, line_no, line`` of text files, lines numbered from 0 in each file, or with ``across`` over all files.
+
+    Large files are read in splits, and a split does not know how many lines
+    stand before it. So lines are counted by split first, the counts summed up
+    by file, and each line's place in its split added. That reads the files
+    twice and shuffles no text as long as the counts, one row per split, are
+    small enough for Spark to broadcast. ``across`` goes on from file to file in the order of their paths.
+    """
+    placed = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_name").alias("name"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        F.col("value").alias("line"),
+    )
+    counted = placed.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    # Stored, so that its size is known; the same session reads the files in the same splits again.
+    counted = stored(counted, "splits")
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counted.select("path", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    if across:
+        # One row per file.
+        files = counted.groupBy("path").agg(F.sum("n").alias("n"))
+        earlier = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+        files = files.select("path", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+        starts = starts.join(files, "path").select("path", "block", "first", (F.col("start") + F.col("offset")).alias("start"))
+    found = placed.join(stored(starts, "starts"), ["path", "block"], "left")
+    moved = F.raise_error(F.lit("the files changed, or are split in another way than a moment before"))
+    place = F.when(F.col("start").isNull() | (F.col("id") < F.col("first")), moved.cast("bigint"))
+    number = place.otherwise(F.col("start") + F.col("id") - F.col("first"))
+    return found.select(F.col("path" if full_path else "name").alias("file"), number.alias("line_no"), "line")
+
+
 def read_documents(
     spark: SparkSession,
     paths: str | Sequence[str],

@@ -6,9 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def write_tsv(df: DataFrame, path: str, *columns: str | Column, mode: str = "errorifexists") -> None:
@@ -29,6 +31,45 @@ def write_top_tsv(df: DataFrame, path: str, *columns: str | Column, mode: str =
     write_tsv(df.sparkSession.createDataFrame(rows, df.schema).coalesce(1), path, *columns, mode=mode)
 
 
+def write_sorted_tsv(
+    df: DataFrame,
+    path: str,
+    *columns: str | Column,
+    key: Sequence[str | Column],
+    files: int | None = None,
+    mode: str = "errorifexists",
+) -> None:
+    """As ``write_tsv`` in the order of ``key``, within files and, by their names, across them.
+
+    Rows are dealt by ranges of sampled bounds, so no task gets more than its
+    share but for rows of one key. ``files`` bounds the number of files, by
+    default ``spark.sql.shuffle.partitions``.
+    """
+    order = [F.col(c) if isinstance(c, str) else c for c in key]
+    dealt = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    write_tsv(dealt.sortWithinPartitions(*order), path, *columns, mode=mode)
+
+
+RUN = "run"
+
+
+def write_run(df: DataFrame, path: str, run: str) -> None:
+    """The partial result of one run, say over some of the input's splits, as part ``run`` of the table at ``path``.
+
+    A run that is repeated replaces its part and leaves those of the others, so
+    what is merged from the table counts no split twice.
+    """
+    tagged = df.withColumn(RUN, F.lit(run))
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN).parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of all runs written to ``path`` so far, as one table of the given schema."""
+    # Without a schema Spark would guess the type of the runs' names.
+    tagged = spark.read.schema(StructType([*schema.fields, StructField(RUN, StringType())])).parquet(path)
+    return tagged.drop(RUN)
+
+
 _own_folders: dict[str, str] = {}
 
 

@@ -143,13 +143,32 @@ def test_long_vocabularies_are_joined_before_pairs_are_made(spark):
     vocabulary = spark.range(20_000).selectExpr("'w' || id AS word")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = pairs(df, vocabulary, 2)._jdf.queryExecution().optimizedPlan().toString()
+        plan = pairs(df, vocabulary, 2, strategy="marked")._jdf.queryExecution().optimizedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     order = [i for i, line in enumerate(plan.splitlines()) if "Aggregate [lo" in line or "Join LeftSemi" in line]
     assert len(order) == 2 and "Aggregate [lo" in plan.splitlines()[order[0]]
 
 
+def test_no_token_is_shuffled_for_a_long_vocabulary(spark, monkeypatch):
+    """With broadcasts off and words beyond literals: one shuffle, of counted pairs."""
+    monkeypatch.setattr(wordlists, "LITERAL_WORDS", 20)
+    texts = [f"the w{i} the w{i + 1} x{i}" for i in range(300)]
+    vocabulary = spark.range(20_000).selectExpr("if(id = 0, 'the', 'w' || id) AS word")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pairs(lines(spark, *texts), vocabulary, 2)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "partial_count" in plan and "Join" not in plan
+        known = {"the", *(f"w{i}" for i in range(1, 20_000))}
+        assert as_dict(found) == window_pairs(texts, known, 2)
+        joined = pairs(lines(spark, *texts), vocabulary, 2, strategy="marked")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "salt" in plan and as_dict(joined) == window_pairs(texts, known, 2)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_word_with_many_neighbours_in_parts(spark):
     many = spark.range(50_000).selectExpr("'hot n' || id AS line")
     found = stripes(many, many.selectExpr("substring(line, 5) AS word").union(spark.sql("SELECT 'hot'")), 1, parts=16)

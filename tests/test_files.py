@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lexmill.plans import pipelines, registry
+from lexmill.session import session
 from lexmill.sources import corpus, sinks, wordlists
 
 
@@ -180,3 +181,53 @@ def test_document_files_are_bounded(spark, tmp_path, monkeypatch):
     in_hot = [r.n for r in whole if "source=web/lang=en/" in r.doc_id]
     assert len(in_hot) >= 8 and max(in_hot) < 20_000
     assert [sorted(map(tuple, q(spark, str(tmp_path)).collect())) for q in queries] == want
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Splits of 2 KB, and no packing of files beyond that."""
+    settings = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "100"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_split_size(spark, text_file, small_splits):
+    """The setting that ``session(split_bytes=)`` makes decides on the partitions of a scan."""
+    path = text_file("long.txt", *["some words"] * 1000)
+    assert corpus.read_lines(spark, path).rdd.getNumPartitions() >= 5
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert corpus.read_lines(spark, path).rdd.getNumPartitions() == 1
+        assert session(split_bytes="3000").conf.get("spark.sql.files.maxPartitionBytes") == "3000"
+        assert corpus.read_lines(spark, path).rdd.getNumPartitions() == 4
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_lines_are_numbered_across_splits_and_files(spark, text_file, tmp_path, small_splits):
+    lengths = {"b.txt": 700, "a.txt": 3, "c.txt": 400, "d.txt": 0}
+    for name, n in lengths.items():
+        text_file(f"in/{name}", *[f"{name} {i} {'x' * (i % 40)}" for i in range(n)], "")
+    folder = str(tmp_path / "in")
+    found = corpus.read_numbered_lines(spark, folder, full_path=False).collect()
+    assert sorted((r.file, r.line_no) for r in found) == sorted((f, i) for f, n in lengths.items() for i in range(n))
+    assert all(r.line.split()[:2] == [r.file, str(r.line_no)] for r in found)
+    assert corpus.read_numbered_lines(spark, folder).rdd.getNumPartitions() > 5
+    whole = sorted(corpus.read_numbered_lines(spark, folder, across=True).collect(), key=lambda r: r.line_no)
+    assert [r.line_no for r in whole] == list(range(1103))
+    assert [r.line.split()[0] for r in whole] == ["a.txt"] * 3 + ["b.txt"] * 700 + ["c.txt"] * 400
+
+
+def test_sorted_sink(spark, tmp_path):
+    df = spark.range(1000).selectExpr("cast(id * 7919 % 1000 AS string) AS word", "id AS n")
+    sinks.write_sorted_tsv(df, str(tmp_path / "out"), "word", "n", key=["word"], files=5)
+    files = sorted((tmp_path / "out").glob("part-*"))
+    lines = [line.split("\t")[0] for f in files for line in f.read_text().splitlines()]
+    assert 1 < len(files) <= 5 and lines == sorted(map(str, range(1000)))
+    with pytest.raises(AnalysisException):
+        sinks.write_sorted_tsv(df, str(tmp_path / "out"), key=["word"])
