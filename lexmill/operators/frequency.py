@@ -22,7 +22,7 @@ from lexmill.functions.text import (
     token_ok,
 )
 from lexmill.operators.counts import without_stop_words
-from lexmill.operators.stems import attach_stems, stems_of
+from lexmill.operators.stems import attach_stems, frequent_stems, stems_of
 from lexmill.sources import wordlists
 from lexmill.sources.sinks import stored
 from lexmill.sources.wordlists import as_literals, small_rows
@@ -82,8 +82,16 @@ def _row_terms(
     terms = token_array(F.col(text), profile, stop, distinct=True)
     if not stem:
         return df.select(*keep, F.explode(terms).alias("term"))
-    stemmed = F.filter(porter_array("_terms"), lambda s: F.length(s) >= profile.min_stem_len)
-    return df.select(*keep, terms.alias("_terms")).select(*keep, F.explode(F.array_distinct(stemmed)).alias("term"))
+    stem_of = frequent_stems(df, text, profile)
+    rows = df.select(*keep, terms.alias("_terms"))
+    rows = rows.select(
+        *keep,
+        F.transform("_terms", stem_of).alias("_stems"),
+        F.filter("_terms", lambda w: stem_of(w).isNull()).alias("_words"),
+    )
+    known = F.filter("_stems", lambda s: s.isNotNull())
+    stemmed = F.filter(F.concat(known, porter_array("_words")), lambda s: F.length(s) >= profile.min_stem_len)
+    return rows.select(*keep, F.explode(F.array_distinct(stemmed)).alias("term"))
 
 
 def term_frequency(
@@ -243,10 +251,17 @@ def row_cells(
         rows = df.select(*keep, tokens.alias("_terms"))
         return run_counts(rows, F.filter("_terms", long_enough), name="term", count="tf", keep=keep)
     rows, cells = run_counts(df, tokens, name="term", count="tf", keep=keep)
-    rows = rows.select(*keep, cells.alias("_cells"))
-    rows = rows.select(*keep, "_cells", F.transform("_cells", lambda c: c["term"]).alias("_words"))
+    stem_of = frequent_stems(df, text, profile)
+    rows = rows.select(*keep, cells.alias("_all"))
+    rows = rows.select(
+        *keep,
+        F.transform("_all", lambda c: F.struct(stem_of(c["term"]).alias("term"), c["tf"].alias("tf"))).alias("_known"),
+        F.filter("_all", lambda c: stem_of(c["term"]).isNull()).alias("_cells"),
+    )
+    rows = rows.select(*keep, "_known", "_cells", F.transform("_cells", lambda c: c["term"]).alias("_words"))
     # Each distinct word of the row is stemmed once; words of one stem add up.
-    stemmed = F.zip_with(porter_array("_words"), "_cells", lambda s, c: F.struct(s.alias("term"), c["tf"].alias("tf")))
+    others = F.zip_with(porter_array("_words"), "_cells", lambda s, c: F.struct(s.alias("term"), c["tf"].alias("tf")))
+    stemmed = F.concat(F.filter("_known", lambda c: c["term"].isNotNull()), others)
     return add_runs(rows, F.filter(stemmed, lambda c: long_enough(c["term"])), name="term", count="tf", keep=keep)
 
 

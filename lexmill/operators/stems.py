@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.functions.lookup import word_map
 from lexmill.functions.porter import porter, porter_array
 from lexmill.functions.text import DF, TokenProfile, explode_tokens
+from lexmill.sources import wordlists
 
 DICTIONARY = "term string, stem string"
+# Rows that are looked through for frequent words.
+SAMPLE_ROWS = 2_000
 
 
 def stem_vocabulary(df: DataFrame, *, text: str = "text", profile: TokenProfile = DF) -> DataFrame:
@@ -22,6 +28,17 @@ def stem_words(words: DataFrame) -> DataFrame:
     return words.select("term", F.array("term").alias("_words")).select("term", stems_of("_words").alias("stem"))
 
 
+def frequent_stems(df: DataFrame, text: str, profile: TokenProfile) -> Callable[[Column], Column]:
+    """Stems of words that are frequent in some rows of ``df``, to be looked up in the row; null for all others.
+
+    Which rows these are decides on speed only: words without a stem here are stemmed where they stand.
+    At most LITERAL_WORDS words reach the driver.
+    """
+    counted = explode_tokens(df.limit(SAMPLE_ROWS), profile, text=text, out="term").groupBy("term").agg(F.count("*").alias("n"))
+    words = counted.where("n > 1").orderBy(F.desc("n"), "term").limit(wordlists.LITERAL_WORDS)
+    return word_map({row["term"]: row["stem"] for row in stem_words(words.select("term")).collect()})
+
+
 def read_stems(spark: SparkSession, path: str) -> DataFrame:
     """The stem dictionary at ``path``, ``term, stem``; an empty one if there is none yet."""
     try:
