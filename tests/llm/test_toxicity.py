@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import itertools
+import math
+import random
+import time
 import zlib
 
 import numpy as np
@@ -87,6 +91,63 @@ def test_disguises_at_edges(channel, text, word):
     assert word in channel.restore(text).split()
 
 
+def best_readings(channel: X.Channel, span: str) -> set[str]:
+    """The most likely readings by trying all of them."""
+    inner = range(len(span) - len(span.lstrip(X._OUTER)), len(span.rstrip(X._OUTER)))
+    options = [channel._edges(span, at) if at in inner else channel._outer_edges(span, at) for at in range(len(span))]
+    scores: dict[str, float] = {}
+    for pieces in itertools.product(*options):
+        a, b, score, reading = 0, 0, 0.0, ""
+        for text, cost in pieces:
+            score += cost
+            symbol = X._symbol(text)
+            if symbol is None or (symbol == 0 and b == 0):
+                continue
+            score += channel.log[a][b][symbol]
+            a, b, reading = b, symbol, reading + text
+        score += channel.log[a][b][0] if b else 0.0
+        scores[reading] = max(scores.get(reading, -math.inf), score)
+    most = max(scores.values())
+    return {reading for reading, score in scores.items() if score > most - 1e-9}
+
+
+def test_decoding_equals_trying_all_readings(channel):
+    draw = random.Random(3)
+    spans = ["".join(draw.choices("abeiost10$!|+.- \n'é", k=draw.randint(1, 6))) for _ in range(250)]
+    spans += ["".join(draw.choices("it!*", k=3)) + draw.choice(["", "!", "*", "!!", "$$"]) for _ in range(40)]
+    spans += ["id*t", "*at", "**it", "it**", "it*!", "!!it", "+i+", "|it|!!", "aaaat", "it!?!", "***", "!it***"]
+    for span in spans:
+        if span.count("*") < 4:
+            for _ in range(2):
+                assert channel.decode(span) in best_readings(channel, span), span
+                channel.kept.clear()
+
+
+def test_signs_at_the_end_are_looked_up(channel):
+    own = X.Channel(channel.counts)
+    words = [a + b for a in "abcdefgh" for b in ("it", "an", "eel")]
+    for word in words:
+        assert own.decode(word + "***") == channel.decode(word + "***")
+        assert own.decode("**" + word).split() == channel.decode("**" + word).split()
+    assert len(own.tails) == 2 and len(own.begun) <= len(words)
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [("an idi*t here", 1), ("$$idiot$$", 1), ("id\u200bi\u200cot", 1), ("i/d/i/o/t", 1), ("i, d, i, o, t", 1), ("i:d:i:o:t", 1),
+     ("*****", 0), ("i****", 0), ("idi*ts", 0), ("and/or", 0), ("a, b, c", 0)],
+)
+def test_other_readings_of_known_words(channel, text, found):
+    assert X.score_text(text, channel, -1.0, {"idiot": 2.0}) == pytest.approx(1 / (1 + np.exp(1.0 - 2.0 * found)))
+
+
+def test_lines_of_asterisks_hide_nothing(channel):
+    start = time.process_time()
+    assert channel.restore("a" + "*" * 1_000_000 + "b") == "a b"
+    assert channel.restore("word" + "!*" * 20_000).split() == ["word"]
+    assert time.process_time() - start < 30
+
+
 def test_runs_of_other_letters(channel):
     assert "".join(channel.restore("e s t ú p i d o").split()) == "estúpido"
     assert channel.restore("est\xfap1do").split() == ["estúpido"]
