@@ -24,7 +24,7 @@ RAW = frozenset("script style xmp iframe noembed noframes noscript".split())
 ESCAPABLE_RAW = frozenset("textarea title".split())
 INVISIBLE = frozenset(
     "head title meta link base script style template noscript noembed noframes iframe object embed audio video canvas"
-    " svg math datalist map area param source track".split()
+    " datalist area param source track defs desc metadata symbol annotation annotation-xml".split()
 )
 IN_HEAD = frozenset("base link meta title style script noscript template".split())
 # Blocks with an empty line before and after, and blocks that only start a line.
@@ -66,11 +66,17 @@ _MARKUP = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
-_HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
+_HIDING = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\b", re.IGNORECASE)
 BULLETS = "-*+"
 COLUMN_GAP = "  "
 MAX_SPAN = 1000
-# Beyond these, columns are not aligned and lists not indented further: layout must not multiply the input.
+# Cells of earlier rows that reach into a row, at most; further ones stand in their first row only.
+MAX_REACHING = 100
+# Layout must not multiply the input. Blanks that align the cells of a table are at most so many times its text and
+# cells, and those of all tables so many times the page; columns are aligned up to a width that keeps to that.
+PADDING = 8
+CELL = 16
 MAX_WIDTH = 400
 MAX_INDENT = 80
 
@@ -225,6 +231,14 @@ def is_hidden(node: Node, parent: Node | None) -> bool:
     return _HIDING.search(node.get("style") or "") is not None
 
 
+def is_shown(node: Node, inherited: bool) -> bool:
+    """Whether text of the element shows, which a parent's ``visibility`` decides unless it has its own."""
+    if not node.attributes:
+        return inherited
+    own = _VISIBILITY.findall(node.get("style") or "")
+    return own[-1].lower() == "visible" if own else inherited
+
+
 class Flow:
     """Lines of text under construction: collapses white space, and puts off line ends and empty lines until more comes."""
 
@@ -282,37 +296,82 @@ class Flow:
         return self.lines
 
 
-def _grid(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Table rows as lines: cells of a column start at the same place, wide cells span columns."""
+#: A cell: its lines, and the columns and rows that it spans.
+Cell = tuple[list[str], int, int]
+
+
+def _placed(rows: list[list[Cell]]) -> list[list[tuple[int, list[str], int]]]:
+    """Each row's cells with the columns in which they start: beside cells of earlier rows that reach into it."""
+    reaching: list[tuple[int, int, int]] = []
+    out = []
+    for y, row in enumerate(rows):
+        reaching = [(start, end, until) for start, end, until in reaching if until > y]
+        taken = sorted((start, end) for start, end, _ in reaching)
+        at, k, placed = 0, 0, []
+        for lines, columns, down in row:
+            while k < len(taken) and taken[k][0] < at + columns:
+                at, k = max(at, taken[k][1]), k + 1
+            placed.append((at, lines, columns))
+            if down > 1 and len(reaching) < MAX_REACHING:
+                reaching.append((at, at + columns, y + down))
+            at += columns
+        out.append(placed)
+    return out
+
+
+def _grid(rows: list[list[Cell]], room: list[int]) -> list[str]:
+    """Table rows as lines: cells of a column start at the same place, wide cells span columns.
+
+    ``room`` holds the number of blanks that the page may still spend on that.
+    """
+    placed = _placed(rows)
     widths: dict[int, int] = {}
+    texts = n_cells = 0
 
     def wide(lines: list[str]) -> int:
-        return min(MAX_WIDTH, max(map(len, lines), default=0))
+        return max(map(len, lines), default=0)
 
-    for row in rows:
-        at = 0
-        for lines, span in row:
+    for row in placed:
+        for at, lines, span in row:
             if span == 1:
                 widths[at] = max(widths.get(at, 0), wide(lines))
-            at += span
-    for row in rows:
-        at = 0
-        for lines, span in row:
+            texts += sum(map(len, lines))
+            n_cells += 1
+    for row in placed:
+        for at, lines, span in row:
             if span > 1:
-                need = wide(lines)
-                have = sum(widths.get(at + k, 0) for k in range(span)) + len(COLUMN_GAP) * (span - 1)
+                need = wide(lines) - len(COLUMN_GAP) * (span - 1)
+                have = sum(widths.get(at + k, 0) for k in range(span))
                 widths[at + span - 1] = widths.get(at + span - 1, 0) + max(0, need - have)
-            at += span
+    columns = max((at + span for row in placed for at, _, span in row), default=0)
+    heights = [max((len(lines) for _, lines, _ in row), default=0) for row in placed]
+    # Nothing is padded behind a row's last cell.
+    before = sum(len(line) for row in placed for _, lines, _ in row[:-1] for line in lines)
+    reach = [max((at for at, _, _ in row), default=0) for row in placed]
+    limit = min(room[0], PADDING * (texts + CELL * n_cells))
+    most = min(MAX_WIDTH, max(widths.values(), default=0))
+    while True:
+        # Where the columns start, if none is wider than that.
+        starts = [0]
+        for c in range(columns):
+            starts.append(starts[-1] + min(most, widths.get(c, 0)) + len(COLUMN_GAP))
+        cost = sum(starts[r] * h for r, h in zip(reach, heights, strict=True)) - before
+        if cost <= limit or not most:
+            break
+        most //= 2
+    aligned = cost <= limit
+    room[0] -= max(0, cost) if aligned else 0
     out = []
-    for row in rows:
-        height = max((len(lines) for lines, _ in row), default=0)
+    for row, height in zip(placed, heights, strict=True):
         for k in range(height):
-            at, cells = 0, []
-            for lines, span in row:
-                width = sum(widths.get(at + j, 0) for j in range(span)) + len(COLUMN_GAP) * (span - 1)
-                cells.append((lines[k] if k < len(lines) else "").ljust(width))
-                at += span
-            out.append(COLUMN_GAP.join(cells).rstrip(" "))
+            line = ""
+            for at, lines, _ in row:
+                if aligned:
+                    line = line.ljust(starts[at])
+                if line and not line.endswith(COLUMN_GAP):
+                    line = line.rstrip(" ") + COLUMN_GAP
+                line += lines[k] if k < len(lines) else ""
+            out.append(line.rstrip(" "))
     return out
 
 
@@ -325,17 +384,23 @@ class _List:
         self.bullet = BULLETS[depth % len(BULLETS)]
 
 
-def render(root: Node) -> str:
-    """The visible text of a tree. Elements are entered and left with a stack of their own, so any depth will do."""
+def render(root: Node, size: int) -> str:
+    """The visible text of the tree of a page of ``size`` characters.
+
+    Elements are entered and left with a stack of their own, so any depth will do.
+    """
+    room = [PADDING * size]
     flows = [Flow()]
     lists: list[_List] = []
-    tables: list[list[list[tuple[list[str], int]]]] = []
+    tables: list[list[list[Cell]]] = []
     verbatim = 0
-    stack: list[tuple[Node | str, Node | None, bool]] = [(root, None, False)]
+    stack: list[tuple[Node | str, Node | None, bool, bool]] = [(root, None, False, True)]
     while stack:
-        node, parent, leaving = stack.pop()
+        node, parent, leaving, shown = stack.pop()
         flow = flows[-1]
         if isinstance(node, str):
+            if not shown:
+                continue
             if parent is not None and parent.tag in ("table", "tr", *ROW_GROUPS) and not node.strip():
                 continue
             if parent is not None and parent.tag == "details" and parent.get("open") is None:
@@ -356,6 +421,7 @@ def render(root: Node) -> str:
         if not leaving:
             if is_hidden(node, parent):
                 continue
+            shown = is_shown(node, shown)
             if tag == "br":
                 flow.break_line()
                 continue
@@ -370,7 +436,7 @@ def render(root: Node) -> str:
             elif tag in SPACED or tag in PLAIN:
                 flow.line_end(margin)
             if tag == "hr":
-                flow.verbatim(["---"])
+                flow.verbatim(["---"] if shown else [])
                 flow.line_end(1)
                 continue
             if tag in LISTS:
@@ -385,7 +451,7 @@ def render(root: Node) -> str:
                     marker = f"{here.bullet if here else BULLETS[0]} "
                 deeper = " " * len(marker) if len(flow.indent[-1]) < MAX_INDENT else ""
                 flow.indent.append(flow.indent[-1] + deeper)
-                flow.marker = marker
+                flow.marker = marker if shown else ""
             elif tag in ("blockquote", "dd"):
                 flow.indent.append(flow.indent[-1] + ("    " if len(flow.indent[-1]) < MAX_INDENT else ""))
             elif tag == "table":
@@ -394,17 +460,18 @@ def render(root: Node) -> str:
                 verbatim += 1
                 if node.children and isinstance(node.children[0], str):
                     node.children[0] = node.children[0].removeprefix("\n")
-            stack.append((node, parent, True))
-            stack += [(child, node, False) for child in reversed(node.children)]
+            stack.append((node, parent, True, shown))
+            stack += [(child, node, False, shown) for child in reversed(node.children)]
             continue
         if cell:
             done = flows.pop().done()
-            tables[-1][-1].append((done, min(MAX_SPAN, max(1, node.number("colspan", 1)))))
+            spans = [max(1, node.number(name, 1)) for name in ("colspan", "rowspan")]
+            tables[-1][-1].append((done, min(MAX_SPAN, spans[0]), spans[1]))
         elif tag == "table" and tables:
             rows = tables.pop()
             # A caption, or what stands between the rows, is in the flow by now and comes first.
             flow.line_end()
-            flow.verbatim(_grid(rows))
+            flow.verbatim(_grid(rows, room))
             flow.line_end(1)
         elif tag in KEEPS_BLANKS:
             verbatim -= 1
@@ -413,7 +480,7 @@ def render(root: Node) -> str:
             flow.line_end(margin)
         elif tag in LISTS:
             lists.pop()
-            flow.line_end(margin)
+            flow.line_end(0 if lists else 1)
         elif tag in ("li", "blockquote", "dd"):
             flow.line_end(margin)
             flow.indent.pop()
@@ -424,7 +491,7 @@ def render(root: Node) -> str:
 
 
 def visible_text(source: str) -> str:
-    return render(build_tree(source))
+    return render(build_tree(source), len(source))
 
 
 @F.pandas_udf(StringType())
@@ -441,8 +508,10 @@ def extracted(pages: DataFrame, *, source: str = "html", out: str = "text") -> D
     number and are indented by depth, cells of a table column are aligned, and
     preformatted text keeps its blanks. Not visible are the head, scripts,
     styles, templates and embedded media, elements with ``hidden``,
-    ``display: none`` or ``visibility: hidden``, closed dialogs, and closed
-    details but for their summary.
+    ``display: none``, closed dialogs, closed details but for their summary, and
+    what ``visibility: hidden`` hides but for visible elements in it. Cells keep
+    beside those that span rows. Alignment stops where its blanks would exceed
+    PADDING times the text of the table or the page.
 
     Null and empty pages give an empty text; any string is HTML, malformed or
     not, of any length and depth. Repeated rows come out alike, an empty table

@@ -94,3 +94,37 @@ def test_odd_rows(spark):
     assert found.columns == ["page_id", "text"]
     assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, [(1, ""), (2, ""), (2, ""), (None, "x")]))
     assert H.extracted(pages.where("false")).collect() == []
+
+
+def test_tables_do_not_multiply_their_page():
+    wide = "<table><tr>" + ("<td>" + "x" * 400) * 500 + "<tr><td colspan=500><td>x" * 2000 + "</table>"
+    long = "<table><tr>" + "<td>" + "y" * 400 + "<tr><td>a<td>b" * 20_000
+    nested = "<table><tr><td>a<td>" * 300 + "b" * 300 + "<tr><td>c" * 300
+    reaching = "<table><tr>" + "<td rowspan=9999>x" * 2000 + "<tr><td>y" * 2000
+    for page in (wide, long, nested, reaching, "<table>" + "<tr><td colspan=1000>a<td>b" * 3000):
+        text = H.visible_text(page)
+        assert len(text) < 10 * len(page)
+        assert "".join(text.split()) == "".join(H._MARKUP.sub("", page).split())
+
+
+def test_alignment_of_common_tables_stays():
+    page = "<table><tr><td>" + "a" * 60 + "<td>b" + "<tr><td>c<td>d" * 9 + "</table>"
+    assert [line.index(x) for line, x in zip(H.visible_text(page).split("\n"), "bdddddddd", strict=False)] == [62] * 9
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<table><tr><td rowspan=2>A<td>B<tr><td>C<td>D</table>", "A  B\n   C  D"),
+        ("<table><tr><td>A<td rowspan=3>B<td>E<tr><td colspan=2>C<tr><td>D</table>", "A  B  E\n      C\nD"),
+        ("<ul><li>a<li>b</ul>text", "- a\n- b\n\ntext"),
+        ("<ul><li>a<ul><li>b</ul><li>c</ul>text", "- a\n  * b\n- c\n\ntext"),
+        ("<p>x <svg><title>no</title><desc>no</desc><text>label</text></svg> <math><mi>a</mi><mo>=</mo></math>", "x label a="),
+        ("<map name=m><p>in a map</map>", "in a map"),
+        ("<div style='visibility:hidden'>no <b style='visibility: visible'>yes</b><ul><li>no</ul></div>z", "yes\n\nz"),
+        ("<p style='visibility: hidden'>no <i style='display:none; visibility: visible'>no</i></p>z", "z"),
+        ("<table><tr><td style='visibility:hidden'>no<td>b<tr><td>cc<td>d</table>", "    b\ncc  d"),
+    ],
+)
+def test_layout_of(page, text):
+    assert H.visible_text(page).strip("\n") == text
