@@ -7,6 +7,8 @@ produces replaces an input column of the same name.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -61,13 +63,20 @@ def doc_key(doc: str) -> Column:
     return F.coalesce(F.col(f"`{doc}`").cast("bigint"), F.lit(LAST_ID))
 
 
+def _folder_for_now(prefix: str) -> str:
+    folder = tempfile.mkdtemp(prefix=prefix)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 _own_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only a local session may leave it unset; the application then gets a folder of its own.
+    Only a local session may leave it unset; the application then gets a folder
+    of its own, which is removed when Python ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -76,7 +85,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if context.applicationId not in _own_folders:
-        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="llm-shared-")
+        _own_folders[context.applicationId] = _folder_for_now("llm-shared-")
     return _own_folders[context.applicationId]
 
 
@@ -104,7 +113,7 @@ def ship_package(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     top = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="llm-package-")) / f"{top.name}.zip"
+    archive = Path(_folder_for_now("llm-package-")) / f"{top.name}.zip"
     with zipfile.ZipFile(archive, "w") as whole:
         for module in sorted(top.rglob("*.py")):
             whole.write(module, module.relative_to(top.parent))

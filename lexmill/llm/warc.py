@@ -6,7 +6,8 @@ record headers are kept separately; joins reconstruct the original records.
 
 from __future__ import annotations
 
-import gzip
+import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,6 +22,8 @@ DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EOL = "\r\n"
 RECORD_END = b"\r\n\r\n"
+VERSION_START = b"WARC/1."
+_LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*([0-9]+)[ \t]*\r\n", re.IGNORECASE)
 
 
 def digest_of(payload: Column) -> Column:
@@ -223,22 +226,53 @@ def export_warc(archive: DataFrame, path: str, *, compression: str = "none") ->
 
 
 def split_records(data: bytes) -> Iterator[tuple[bytes, bytes]]:
-    """Header and payload of each record of a WARC file, plain or gzipped. An HTTP header belongs to the header."""
+    """Header and payload of each record of a WARC file, plain or gzipped. An HTTP header belongs to the header.
+
+    What is no record is passed over up to the next version line: other bytes,
+    and headers without an end or a length. Of a damaged gzip file, what comes
+    before the damage is read, and a record that is cut off has the payload that is there.
+    """
     if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    at = 0
-    while at < len(data):
-        end = data.index(RECORD_END, at) + 4
+        data = _unzipped(data)
+    at = data.find(VERSION_START)
+    while at >= 0:
+        end = data.find(RECORD_END, at) + len(RECORD_END)
+        if end < len(RECORD_END):
+            return
         header = data[at:end]
-        (size,) = [int(x.split(b":")[1]) for x in header.split(b"\r\n") if x.lower().startswith(b"content-length:")]
-        block = data[end : end + size]
-        inner = block.find(RECORD_END) + 4 if b"application/http" in header else 0
+        size = _LENGTH.search(header)
+        if size is None:
+            at = data.find(VERSION_START, at + len(VERSION_START))
+            continue
+        block = data[end : end + int(size[1])]
+        inner = block.find(RECORD_END) + len(RECORD_END) if b"application/http" in header else 0
+        if inner < len(RECORD_END):
+            inner = 0
         yield header + block[:inner], block[inner:]
-        at = end + size + len(RECORD_END)
+        at = data.find(VERSION_START, end + int(size[1]))
+
+
+def _unzipped(data: bytes) -> bytes:
+    """All members of a gzip file, up to the first damaged byte."""
+    parts = []
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        try:
+            for at in range(0, len(data), 1 << 16):
+                parts.append(member.decompress(data[at : at + (1 << 16)]))
+                if member.eof:
+                    break
+        except zlib.error:
+            break
+        data = member.unused_data + data[at + (1 << 16) :] if member.eof else b""
+    return b"".join(parts)
 
 
 def read_warc(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``header, payload`` of the records of WARC files. A file is read whole by one task: split large ones before."""
+    """``header, payload`` of the records of WARC files; see ``split_records`` for damaged ones.
+
+    A file is read whole by one task: split large ones before.
+    """
     ship_package(spark)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -81,3 +81,43 @@ def test_tokens(stages):
 def test_run(spark, sf_dir, stages):
     found = P.run(spark, sf_dir)
     assert Counter(map(tuple, found.collect())) == Counter(tuple(d[c] for c in found.columns) for d in stages[5])
+
+
+def _odd(spark, odd_docs, tmp_path, rows: str = "true") -> str:
+    """A data folder with nulls in every column, repeated rows and ids, blank and long texts, and extra columns."""
+    docs = odd_docs.withColumns({"lang": odd_docs["source"], "n_chars": odd_docs["doc_id"]}).where(rows)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(1, 1, 0), (None, 1, None), (2, 0, 1), (7, None, 0)], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    return str(tmp_path)
+
+
+def test_odd_rows(spark, odd_docs, tmp_path):
+    """Every stage goes over rows that an earlier stage would have dropped, too."""
+    folder = _odd(spark, odd_docs, tmp_path)
+    given = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = given
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, folder)
+        out.write.parquet(str(tmp_path / name))
+        # The rules reject nearly all of these rows, so the stage after them goes over the given ones again.
+        docs = given if name == "quality_rules" else spark.read.parquet(str(tmp_path / name))
+        if name != "bpe":
+            assert out.columns == P.COLUMNS
+    ids = {r.doc_id for r in given.collect()}
+    for name, _ in P.STAGES:
+        assert {r.doc_id for r in spark.read.parquet(str(tmp_path / name)).collect()} <= ids
+    # One document of each group stays, and rows of one id are one document.
+    before, after = ([r.asDict() for r in spark.read.parquet(str(tmp_path / x)).collect()] for x in ("line_dedup", "simhash_near_dedup"))
+    want = {i for i, _, component in simhash_rows(before) if i == component}
+    assert {d["doc_id"] for d in after} == want < {d["doc_id"] for d in before}
+    # What the base rules reject is short or repeats itself.
+    kept = {r.doc_id for r in spark.read.parquet(str(tmp_path / "quality_rules")).collect()}
+    assert kept <= {d["doc_id"] for d in map(lambda r: r.asDict(), given.collect()) if not quality_base(d["text"])["base_failed"]}
+    found = P.run(spark, folder).collect()
+    assert {r.doc_id for r in found} <= ids
+
+
+def test_empty_table(spark, odd_docs, tmp_path):
+    folder = _odd(spark, odd_docs, tmp_path, "false")
+    assert P.run(spark, folder).collect() == []

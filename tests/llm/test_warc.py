@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import gzip
+
 import pytest
 from definitions import sha, warc
 
@@ -75,3 +77,24 @@ def test_a_damaged_payload_is_found(spark, pages, tmp_path):
 
 def test_empty(pages):
     assert W.archived_pages(pages.where("false")).collect() == []
+
+
+def test_damaged_archives():
+    def record(payload: bytes, length: bytes | None = None) -> bytes:
+        size = length if length is not None else b"Content-Length: %d\r\n" % len(payload)
+        return b"WARC/1.1\r\nWARC-Type: resource\r\n" + size + b"\r\n" + payload + b"\r\n\r\n"
+
+    def payloads(data: bytes) -> list[bytes]:
+        return [p for _, p in W.split_records(data)]
+
+    good, more = record(b"one\r\n\r\nWARC/1.0"), record(b"two")
+    assert payloads(good + more) == [b"one\r\n\r\nWARC/1.0", b"two"]
+    assert payloads(b"no archive at all") == payloads(b"") == payloads(b"WARC/1.1\r\nbroken off") == []
+    assert payloads(b"junk" + good + b"junk" + more) == [b"one\r\n\r\nWARC/1.0", b"two"]
+    assert payloads(record(b"x", b"") + record(b"x", b"Content-Length: many\r\n") + more) == [b"two"]
+    assert payloads(good + more[:-6]) == [b"one\r\n\r\nWARC/1.0", b"t"]
+    big = record(bytes(range(256)) * 2000)
+    zipped = [gzip.compress(r) for r in (good, big, more)]
+    assert payloads(b"".join(zipped)) == payloads(good + big + more)
+    assert payloads(zipped[0] + zipped[1][: len(zipped[1]) // 2])[0] == b"one\r\n\r\nWARC/1.0"
+    assert payloads(zipped[0] + b"\x1f\x8bno member") == [b"one\r\n\r\nWARC/1.0"]
