@@ -6,7 +6,9 @@ change places change the hash, so the fingerprint is sensitive to edit distance
 and not only to content. Native column expressions throughout.
 
 The k-mers are dealt over BINS by their hash and each bin selects its own
-minimal ones, so that every k-mer is hashed once instead of once per slot.
+minimal ones, so that every k-mer is hashed once instead of once per slot. A bin
+with too few of them borrows the minimal ones of the bins that follow, so that
+every slot of a text with two k-mers tells an order.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ BIN_BITS = 6
 BINS = 1 << BIN_BITS
 TUPLE = 2
 SLOT_BITS = 16
-# A selected k-mer is one integer: bin, hash, place in the text. Places beyond the last one are the last one.
-PLACE_BITS = 24
+# A selected k-mer is one integer: bin, hash, place in the text. No text that fits a row has more places.
+PLACE_BITS = 31
 _BIN_SHIFT = 63 - BIN_BITS
 _HASH_MASK = (1 << 63) - (1 << PLACE_BITS)
 # Documents, about, of a block within which the next document is looked up.
@@ -37,8 +39,8 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with ``out``: the filled slots of the text in ``text``, as ``slot << SLOT_BITS | hash``, in order.
 
     A text of fewer than K words is one k-mer; without words it has no slots.
-    A bin with one k-mer only hashes that. Expressions that a lambda refers to
-    are columns of their own, so that they are computed once per text.
+    Bins without k-mers are no slots. Expressions that a lambda refers to are
+    columns of their own, so that they are computed once per text.
     """
     names = [c for c in df.columns if c != out]
     rows = df.select(*names, F.transform(words_of(F.col(text)), lambda w: F.xxhash64(w)).alias("_h"))
@@ -61,7 +63,7 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
 
     def packed(h: Column, occurrence: Column, place: Column) -> Column:
         mixed = F.xxhash64(h, occurrence).bitwiseAND(F.lit(_HASH_MASK))
-        return mixed + F.least(place, F.lit((1 << PLACE_BITS) - 1))
+        return mixed + place
 
     def run(start: Column, r: Column) -> Column:
         end = F.coalesce(F.get("_f", r + 1), F.size("_t")) - start
@@ -79,14 +81,15 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
 
     minimal = F.filter("_s", lambda x, j: (j < TUPLE) | (bin_of(F.get("_s", j - TUPLE)) != bin_of(x)))
     rows = rows.select(*names, minimal.alias("_x"))
-    # Bins are runs of one to TUPLE elements; a tuple is put in the order of the text.
+    # Bins are runs of one to TUPLE elements, and what a bin lacks comes next, around the end; a tuple is put in the order
+    # of the text.
     place = F.lit((1 << PLACE_BITS) - 1)
+    n = F.size("_x")
 
     def slot(x: Column, j: Column) -> Column:
-        members = [F.get("_x", j + k) for k in range(TUPLE)]
-        same = F.filter(F.array(*members), lambda y: bin_of(y) == bin_of(x))
+        members = F.slice(F.array(*[F.get("_x", (j + k) % n) for k in range(TUPLE)]), F.lit(1), F.least(n, F.lit(TUPLE)))
         in_order = F.array_sort(
-            F.transform(same, lambda y: F.struct(y.bitwiseAND(place).alias("p"), F.shiftright(y, PLACE_BITS).alias("h")))
+            F.transform(members, lambda y: F.struct(y.bitwiseAND(place).alias("p"), F.shiftright(y, PLACE_BITS).alias("h")))
         )
         hashed = F.aggregate(in_order, F.lit(0).cast("bigint"), lambda a, y: F.xxhash64(a, y["h"]))
         low = hashed.bitwiseAND(F.lit((1 << SLOT_BITS) - 1))

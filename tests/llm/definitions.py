@@ -187,15 +187,18 @@ def order_minhash(text: str | None, k: int = 3, bins: int = 64, size: int = 2) -
     seen: Counter = Counter()
     slots = defaultdict(list)
     for place, mer in enumerate(mers):
-        mixed = hash_longs(mer, seen[mer]) & ((1 << 63) - (1 << 24))
+        mixed = hash_longs(mer, seen[mer]) & ((1 << 63) - (1 << 31))
         seen[mer] += 1
         slots[mixed >> 57].append(mixed + place)
+    selected = [m for slot in sorted(slots) for m in sorted(slots[slot])[:size]]
     out = {}
     for slot, members in slots.items():
-        chosen = sorted(sorted(members)[:size], key=lambda m: m & ((1 << 24) - 1))
+        first = selected.index(min(members))
+        tuple_ = [selected[(first + i) % len(selected)] for i in range(min(size, len(selected)))]
+        chosen = sorted(tuple_, key=lambda m: m & ((1 << 31) - 1))
         state = 0
         for m in chosen:
-            state = hash_longs(state, m >> 24)
+            state = hash_longs(state, m >> 31)
         out[slot] = state & 0xFFFF
     return out
 

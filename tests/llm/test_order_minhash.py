@@ -55,6 +55,19 @@ def test_order_counts(spark):
     assert likeness(a, cut) > 0.8 > 0.7 > likeness(a, moved) > likeness(a, turned) == 0.0
 
 
+@pytest.mark.parametrize("n", [20, 40, 150, 800])
+def test_order_counts_in_short_texts(spark, n):
+    """Half of all pairs of k-mers keep their order when halves change places."""
+    texts = []
+    for t in range(40):
+        words = [f"w{t}x{i}" for i in range(n)]
+        texts += [(2 * t, " ".join(words)), (2 * t + 1, " ".join(words[n // 2 :] + words[: n // 2]))]
+    found = O.with_signature(spark.createDataFrame(texts, "doc_id bigint, text string"), "text", "sig").collect()
+    slots = {r.doc_id: {v >> O.SLOT_BITS: v & 0xFFFF for v in r.sig} for r in found}
+    mean = sum(likeness(slots[2 * t], slots[2 * t + 1]) for t in range(40)) / 40
+    assert 0.3 < mean < 0.56
+
+
 def test_no_python(docs):
     plan = O.fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
