@@ -13,15 +13,18 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.lookup import bloom_filter
+from lexmill.functions.lookup import bloom_filter, word_set
 from lexmill.functions.text import PAIRS, STRIPES, TokenProfile, explode_runs, raw_tokens
 from lexmill.operators.membership import membership
 from lexmill.sources.sinks import stored
 from lexmill.sources.wordlists import as_literals, word_frame
 
 STRATEGIES = ("auto", "nested", "marked", "band_join")
-# Where tokens are joined with a vocabulary, those of one word are dealt over so many keys.
+# Where tokens are joined with a vocabulary, those of a hot word are dealt over so many keys. Hot are so many words that are
+# the most frequent in so many rows; which they are changes no result.
 SALTS = 16
+HOT_WORDS = 100
+SAMPLE_ROWS = 2_000
 
 
 def pairs(
@@ -197,11 +200,16 @@ def _marked(
     body = F.col(text)
     line = [F.xxhash64(body).alias("k1"), F.xxhash64(F.lit("line"), body).alias("k2")]
     tokens = lines.select(*line, F.posexplode(raw_tokens(body, profile)).alias("pos", "w")).where("w != ''")
+    sample = lines.limit(SAMPLE_ROWS).select(F.explode(raw_tokens(body, profile)).alias("w")).where("w != ''")
+    counted = sample.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(HOT_WORDS)
+    is_hot = word_set([row["w"] for row in counted.collect()])
     # Only tokens that a filter lets through are joined, and those of a hot word with one of many copies of it.
     likely = tokens.where(bloom_filter(vocabulary, vocabulary.count())(F.col("w")))
-    salted = likely.withColumn("salt", F.pmod(F.xxhash64("k1", "pos"), F.lit(SALTS)).cast("int"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    kept = salted.join(vocabulary.select(F.col("word").alias("w"), salts), ["w", "salt"], "left_semi")
+    some = F.pmod(F.xxhash64("k1", "pos"), F.lit(SALTS)).cast("int")
+    salted = likely.withColumn("salt", F.when(is_hot(F.col("w")), some).otherwise(0))
+    copies = F.when(is_hot(F.col("word")), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    words = vocabulary.select(F.col("word").alias("w"), F.explode(copies).alias("salt"))
+    kept = salted.join(words, ["w", "salt"], "left_semi")
     # A set, so that a line that occurs often is no longer than the line.
     rows = kept.groupBy("k1", "k2").agg(F.collect_set(F.struct("pos", "w")).alias("kept"), F.count("*").alias("n"))
     rows = rows.select(F.sort_array("kept").alias("kept"), F.expr("n div size(kept)").alias("m"))
