@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 from lexmill.functions.lookup import bloom_filter, word_set
 from lexmill.functions.text import PAIRS, STRIPES, TokenProfile, explode_runs, raw_tokens
 from lexmill.operators.membership import membership
+from lexmill.sources.corpus import some_rows
 from lexmill.sources.sinks import stored
 from lexmill.sources.wordlists import as_literals, word_frame
 
 STRATEGIES = ("auto", "nested", "marked", "band_join")
 # Where tokens are joined with a vocabulary, those of a hot word are dealt over so many keys. Hot are so many words that are
-# the most frequent in so many rows; which they are changes no result.
+# the most frequent in some rows; which they are changes no result.
 SALTS = 16
 HOT_WORDS = 100
-SAMPLE_ROWS = 2_000
 
 
 def pairs(
@@ -200,7 +200,7 @@ def _marked(
     body = F.col(text)
     line = [F.xxhash64(body).alias("k1"), F.xxhash64(F.lit("line"), body).alias("k2")]
     tokens = lines.select(*line, F.posexplode(raw_tokens(body, profile)).alias("pos", "w")).where("w != ''")
-    sample = lines.limit(SAMPLE_ROWS).select(F.explode(raw_tokens(body, profile)).alias("w")).where("w != ''")
+    sample = some_rows(lines, text).select(F.explode(raw_tokens(body, profile)).alias("w")).where("w != ''")
     counted = sample.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(HOT_WORDS)
     is_hot = word_set([row["w"] for row in counted.collect()])
     # Only tokens that a filter lets through are joined, and those of a hot word with one of many copies of it.

@@ -12,10 +12,9 @@ from lexmill.functions.lookup import word_map
 from lexmill.functions.porter import porter, porter_array
 from lexmill.functions.text import DF, TokenProfile, explode_tokens
 from lexmill.sources import wordlists
+from lexmill.sources.corpus import some_rows
 
 DICTIONARY = "term string, stem string"
-# Rows that are looked through for frequent words.
-SAMPLE_ROWS = 2_000
 
 
 def stem_vocabulary(df: DataFrame, *, text: str = "text", profile: TokenProfile = DF) -> DataFrame:
@@ -34,7 +33,7 @@ def frequent_stems(df: DataFrame, text: str, profile: TokenProfile) -> Callable[
     Which rows these are decides on speed only: words without a stem here are stemmed where they stand.
     At most LITERAL_WORDS words reach the driver.
     """
-    counted = explode_tokens(df.limit(SAMPLE_ROWS), profile, text=text, out="term").groupBy("term").agg(F.count("*").alias("n"))
+    counted = explode_tokens(some_rows(df, text), profile, text=text, out="term").groupBy("term").agg(F.count("*").alias("n"))
     words = counted.where("n > 1").orderBy(F.desc("n"), "term").limit(wordlists.LITERAL_WORDS)
     return word_map({row["term"]: row["stem"] for row in stem_words(words.select("term")).collect()})
 

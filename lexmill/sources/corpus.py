@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +14,8 @@ from lexmill.sources.sinks import stored
 # One scan partition covers at most one 128 MB split, so this many pieces are
 # enough to keep every core busy on a corpus that is a single small file.
 PIECES_PER_SPLIT = 32
+SOME_ROWS = 2_000
+SOME_CHARS = 4_096
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -103,6 +106,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(min(cores, have * PIECES_PER_SPLIT)) if have < cores else df
 
 
+def some_rows(df: DataFrame, text: str) -> DataFrame:
+    """The beginnings of the texts of a few rows, to see which words are frequent; only for what changes no result.
+
+    They come through the driver, because ``take`` reads no more partitions than it needs, where a limit inside a plan would
+    have every task shuffle its rows. At most SOME_ROWS texts of SOME_CHARS characters.
+    """
+    found = df.select(F.left(F.col(text), F.lit(SOME_CHARS)).alias(text)).take(SOME_ROWS)
+    return df.sparkSession.createDataFrame(pa.table({text: pa.array([row[0] for row in found], pa.string())}))
+
+
 def lines_of(df: DataFrame, *, text: str = "text", keep: Sequence[str] = (), numbered: bool = False) -> DataFrame:
     """Split a text column into lines: the ``keep`` columns, ``line_no`` from 0 if asked, and ``line``."""
     lines = split_lines(F.col(text))
