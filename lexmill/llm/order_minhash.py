@@ -19,7 +19,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import doc_key, words_of
+from lexmill.llm.common import LAST_ID, doc_key, words_of
 
 # Words of a k-mer, slots of a fingerprint, k-mers of a slot's tuple, bits of a slot's hash.
 K = 3
@@ -33,6 +33,8 @@ _BIN_SHIFT = 63 - BIN_BITS
 _HASH_MASK = (1 << 63) - (1 << PLACE_BITS)
 # Documents, about, of a block within which the next document is looked up.
 BLOCK_ROWS = 4096
+# Blocks are larger in a table that would have more of them.
+MAX_BLOCKS = 1 << 16
 
 
 def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -124,56 +126,89 @@ def likeness(a: str, b: str) -> Column:
     return F.when(filled == 0, 1.0).otherwise(F.size(F.array_intersect(F.col(a), F.col(b))) / filled)
 
 
-def _blocks(ids: DataFrame) -> tuple[Column, DataFrame]:
-    """The block of an id ``d``, and ``d, goes_to``: to which block the first document of the next one is copied.
+def _search(bounds: list[int], value: Column) -> Column:
+    """How many of the bounds, which ascend, are not above the value."""
+    table = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, len(bounds).bit_length())))])
+    return F.aggregate(steps, F.lit(0), lambda p, s: F.when(F.get(table, p + s - 1) <= value, p + s).otherwise(p))
+
+
+def _in_blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` as ``doc_id, d, h, text, block, piece``, and whole rows that occur too often to be in a block each.
+
+    Blocks are ranges of ids, and an id with more rows than a block is alone in
+    its block, which is cut into pieces by the hash of the text. A row of which
+    even copies of id and text are more than that stands in its piece once; the
+    second result has such rows with ``times``, their other copies, dealt over
+    several rows.
 
-    Blocks are ranges of ids that hold about BLOCK_ROWS documents each. Their
-    bounds and their largest ids come to the driver: two integers per
-    BLOCK_ROWS documents.
+    What comes to the driver is at most some MAX_BLOCKS rows in each case:
+    bounds, frequent ids, and frequent rows.
     """
-    spark = ids.sparkSession
-    blocks = max(1, ceil(ids.count() / BLOCK_ROWS))
-    bounds: list[int] = []
+    spark = docs.sparkSession
+    rows = docs.select("doc_id", doc_key("doc_id").alias("d"), F.coalesce("text", F.lit("")).alias("text"))
+    total = rows.count()
+    most = max(BLOCK_ROWS, ceil(total / MAX_BLOCKS))
+    counted = rows.groupBy("d").agg(F.count("*").alias("n")).where(F.col("n") > most).collect()
+    frequent = {r["d"]: ceil(r["n"] / most) for r in counted}
+    blocks = max(1, ceil(total / most))
+    bounds = {b for d in frequent for b in (d, min(d + 1, LAST_ID))}
     if blocks > 1:
         at = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
-        found = ids.agg(F.percentile_approx("d", at, F.lit(max(10_000, 20 * blocks))).alias("at")).first()
-        bounds = sorted(set(found["at"]))
-    table = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
-    # Binary search for the number of bounds that are not above the id.
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, len(bounds).bit_length())))])
-    block = F.aggregate(steps, F.lit(0), lambda p, s: F.when(F.get(table, p + s - 1) <= F.col("d"), p + s).otherwise(p))
-    largest = ids.groupBy(block.alias("block")).agg(F.max("d").alias("d")).collect()
-    largest = sorted(largest, key=lambda r: r["block"])
-    # Ids descend: after the last document of a block comes the largest id of the block below, and after all the first.
-    copies = [(r["d"], largest[(i + 1) % len(largest)]["block"]) for i, r in enumerate(largest)]
-    return block, spark.createDataFrame(copies, "d bigint, goes_to int")
+        found = rows.agg(F.percentile_approx("d", at, F.lit(max(10_000, 20 * blocks))).alias("at")).first()
+        bounds |= set(found["at"])
+    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("block", _search(sorted(bounds), F.col("d")))
+    if not frequent:
+        return rows.withColumn("piece", F.lit(0).cast("bigint")), None
+    cuts = spark.createDataFrame(list(frequent.items()), "d bigint, pieces bigint")
+    rows = rows.join(F.broadcast(cuts), "d", "left")
+    part = F.shiftright((F.shiftright("h", 32) + (1 << 31)) * F.col("pieces"), 32)
+    rows = rows.withColumn("piece", F.coalesce(part, F.lit(0).cast("bigint")))
+    copies = rows.where("pieces IS NOT NULL").groupBy("doc_id", "h").agg(F.count("*").alias("n"))
+    copies = [(r["doc_id"], r["h"], r["n"]) for r in copies.where(F.col("n") > most).collect()]
+    rows = rows.drop("pieces")
+    if not copies:
+        return rows, None
+    known = F.broadcast(spark.createDataFrame(copies, "of_id bigint, of_h bigint, n bigint"))
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("h") == F.col("of_h"))
+    one = rows.join(known, same).groupBy("doc_id", "d", "h", "block", "piece", "n").agg(F.first("text").alias("text"))
+    others = F.transform(
+        F.sequence(F.lit(0), F.expr(f"(n - 2) div {most}")), lambda k: F.least(F.col("n") - 1 - k * most, F.lit(most))
+    )
+    repeated = one.select("doc_id", "text", F.explode(others).alias("times"))
+    return rows.join(known, same, "left_anti").unionByName(one.drop("n")), repeated
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, sig`` of every document, and ``next_text, next_sig`` of the next one by descending id.
+    """``doc_id, text, sig``, and ``next_text, next_sig`` of the next document by descending id.
 
     The next of the last document is the first. Texts are shuffled once, to
     blocks of neighbouring ids, and the first document of a block is copied to
-    the block before.
+    the block before. ``times`` is how many rows a row stands for, which is one
+    unless id and text repeat more often than a block has rows.
     """
-    body = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", doc_key("doc_id").alias("d"), body.alias("text"))
-    block, copies = _blocks(docs.select(doc_key("doc_id").alias("d")))
-    # One row per block.
-    rows = rows.select("*", block.alias("block")).join(F.broadcast(copies), "d", "left")
-    places = F.array_compact(
-        F.array(
-            F.struct(F.col("block").alias("block"), F.lit(0).alias("copy")),
-            F.when(F.col("goes_to").isNotNull(), F.struct(F.col("goes_to").alias("block"), F.lit(1).alias("copy"))),
-        )
-    )
-    signed = with_signature(rows.select("doc_id", "d", "text", places.alias("places")), "text", "sig")
-    placed = signed.select("doc_id", "d", "text", "sig", F.inline("places"))
-    order = Window.partitionBy("block").orderBy("copy", F.desc("d"), F.xxhash64("text"))
+    rows, repeated = _in_blocks(docs)
+    found = rows.groupBy("block", "piece").agg(F.max("d").alias("d")).collect()
+    # Ids descend from block to block, hashes ascend from piece to piece. After the last row of all comes the first.
+    found = sorted(found, key=lambda r: (-r["block"], r["piece"]))
+    before = [(*r, *found[i - 1][:2]) for i, r in enumerate(found)]
+    ends = rows.sparkSession.createDataFrame(before, "block int, piece bigint, d bigint, to_block int, to_piece bigint")
+    # At most a few times MAX_BLOCKS rows.
+    first = rows.join(F.broadcast(ends), ["block", "piece", "d"]).groupBy("to_block", "to_piece")
+    first = first.agg(F.min_by(F.struct("doc_id", "d", "h", "text"), "h").alias("row"))
+    copied = first.select("row.*", F.col("to_block").alias("block"), F.col("to_piece").alias("piece"), F.lit(1).alias("copy"))
+    placed = with_signature(rows.withColumn("copy", F.lit(0)).unionByName(copied), "text", "sig")
+    order = Window.partitionBy("block", "piece").orderBy("copy", F.desc("d"), "h")
     following = placed.select(
         "doc_id", "text", "sig", "copy", F.lead("text").over(order).alias("next_text"), F.lead("sig").over(order).alias("next_sig")
     )
-    return following.where("copy = 0").drop("copy")
+    following = following.where("copy = 0").select("doc_id", "text", "sig", "next_text", "next_sig", F.lit(1).cast("bigint").alias("times"))
+    if repeated is None:
+        return following
+    # Copies of a row follow each other.
+    itself = with_signature(repeated, "text", "sig")
+    itself = itself.select("*", F.col("text").alias("next_text"), F.col("sig").alias("next_sig"))
+    return following.unionByName(itself)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -196,10 +231,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.left("text", F.length("text") - half), F.left("next_text", half))
     rows = with_next(docs).select(
-        "doc_id", F.length("text").cast("bigint").alias("n_chars"), "sig", "next_sig", edited.alias("edited")
+        "doc_id", "times", F.length("text").cast("bigint").alias("n_chars"), "sig", "next_sig", edited.alias("edited")
     )
     rows = with_signature(rows, "edited", "edited_sig")
-    return rows.select(
+    found = rows.select(
+        "times",
         "doc_id",
         "n_chars",
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
@@ -208,3 +244,4 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         likeness("sig", "edited_sig").alias("near_edited"),
         likeness("sig", "next_sig").alias("near_next"),
     )
+    return found.withColumn("times", F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).drop("times")

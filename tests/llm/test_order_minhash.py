@@ -1,11 +1,16 @@
 from __future__ import annotations
 
 import pytest
+import xxhash
 from definitions import likeness, order_minhash, sha
 
 from lexmill.llm import order_minhash as O
 
 
+def spark_hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text, seed=42) - (1 << 64) * (xxhash.xxh64_intdigest(text, seed=42) >> 63)
+
+
 def as_text(slots: dict[int, int]) -> str:
     return "".join(f"{slots[s]:04x}" if s in slots else "----" for s in range(O.BINS))
 
@@ -45,6 +50,31 @@ def test_odd_rows(spark, odd_docs):
     assert alone.near_next == 1.0
 
 
+def test_frequent_ids_and_rows(spark, monkeypatch):
+    """Null ids, an id that repeats, and rows that repeat as a whole, each more often than a block has rows."""
+    monkeypatch.setattr(O, "BLOCK_ROWS", 7)
+    text = lambda i: " ".join(f"w{(i * i + j) % 97}" for j in range(30))
+    rows = [(i, text(i)) for i in range(60)] + [(None, text(i)) for i in range(100, 160)]
+    rows += [(30, text(i)) for i in range(200, 240)] + [(30, "one two three four")] * 50 + [(None, None)] * 20 + [(7, "")] * 9
+    rows.sort(key=lambda r: (-(r[0] if r[0] is not None else O.LAST_ID), spark_hash(r[1] or "")))
+    want = []
+    for i, (doc_id, body) in enumerate(rows):
+        body, after = body or "", rows[(i + 1) % len(rows)][1] or ""
+        half = len(body) // 2
+        edited = body[: len(body) - half] + after[:half]
+        near = likeness(order_minhash(body), order_minhash(after))
+        want.append((str(doc_id), sha(edited), as_text(order_minhash(body)), round(near, 9)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = O.fingerprints(docs).collect()
+    got = [(str(r.doc_id), r.edited_sha256, r.fingerprint, round(r.near_next, 9)) for r in found]
+    assert sorted(got) == sorted(want)
+    # No piece is much larger than a block, and rows of whole copies stand there once.
+    placed, repeated = O._in_blocks(docs)
+    sizes = [r["count"] for r in placed.groupBy("block", "piece").count().collect()]
+    assert max(sizes) <= 3 * 7 and sum(sizes) == len(rows) - 49 - 19 - 8
+    assert [r.times for r in repeated.orderBy("times").collect()] == [1, 5, 7, 7, 7, 7, 7, 7, 7, 7, 7, 7]
+
+
 def test_order_counts(spark):
     words = [f"w{i}" for i in range(400)]
     texts = [" ".join(words), " ".join(words[200:] + words[:200]), " ".join(reversed(words)), " ".join(words[:390])]
