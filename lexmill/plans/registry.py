@@ -22,7 +22,7 @@ from lexmill.operators.stems import stem_vocabulary, stem_words, update_stems
 from lexmill.plans import pipelines as P
 from lexmill.plans.defaults import STOP_WORDS
 from lexmill.sources.corpus import lines_of, read_documents, read_lines, read_numbered_lines, read_table
-from lexmill.sources.sinks import read_runs, scratch_path, write_run, write_sorted_tsv, write_top_tsv, write_tsv
+from lexmill.sources.sinks import read_runs, scratch_path, stored, write_run, write_sorted_tsv, write_top_tsv, write_tsv
 from lexmill.sources.wordlists import as_local_df_table, read_counts, read_df_table, read_stop_words, read_vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -453,8 +453,8 @@ def _document_files(spark: SparkSession, sf: str) -> str:
     folder = ["source", "lang"]
     n_files = F.ceil(F.sum(F.octet_length("text")) / F.lit(FILE_BYTES)).alias("n_files")
     counted = corpus.groupBy(*[F.col(c).alias(f"of_{c}") for c in folder]).agg(n_files)
-    # Only folders of several files: at most one row per FILE_BYTES of the corpus.
-    several = F.broadcast(counted.where("n_files > 1"))
+    # Only folders of several files. Stored, so that Spark knows their size and broadcasts them if they are few.
+    several = stored(counted.where("n_files > 1"), "folders")
     same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in folder]
     piece = F.pmod(F.xxhash64("doc_id", "text"), F.coalesce("n_files", F.lit(1))).alias("piece")
     dealt = corpus.join(several, same, "left").select(*folder, "text", piece)
