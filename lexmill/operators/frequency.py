@@ -181,10 +181,11 @@ def split_table(words: DataFrame, limit: int | None = None) -> tuple[list[Row],
     All words of one term fall on the same side.
     """
     limit = wordlists.LITERAL_WORDS if limit is None else limit
+    # Stored before its length is known: to find that out is to compute it, and a long one is read again.
+    words = stored(words, "words")
     rows = small_rows(words, limit)
     if rows is not None:
         return rows, None
-    words = stored(words, "words")
     rows = words.orderBy(F.desc("df"), "term", "word").limit(limit + 1).collect()
     last = rows[-1]
     far = words.where((F.col("df") < last["df"]) | ((F.col("df") == last["df"]) & (F.col("term") >= last["term"])))
