@@ -13,18 +13,22 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.lookup import bloom_filter, word_set
+from lexmill.functions.lookup import MAX_BLOCKS, bloom_filter, word_set
 from lexmill.functions.text import PAIRS, STRIPES, TokenProfile, explode_runs, raw_tokens
 from lexmill.operators.membership import membership
-from lexmill.sources.corpus import some_rows
+from lexmill.sources import wordlists
 from lexmill.sources.sinks import stored
 from lexmill.sources.wordlists import as_literals, word_frame
 
 STRATEGIES = ("auto", "nested", "marked", "band_join")
-# Where tokens are joined with a vocabulary, those of a hot word are dealt over so many keys. Hot are so many words that are
-# the most frequent in some rows; which they are changes no result.
+# Where tokens are joined with a word list, those of a hot word are dealt over so many keys. Hot are so many of the most
+# frequent words that are left to the join; which they are changes no result.
 SALTS = 16
 HOT_WORDS = 100
+# Filters with fewer bits a word let nearly everything through.
+USEFUL_BITS = 4
+# Positions in a bucket of the band join, at least.
+BAND = 16
 
 
 def pairs(
@@ -41,10 +45,11 @@ def pairs(
     """``w, u, n``: how often ``u`` stands within ``distance`` positions of ``w``.
 
     ``strategy`` is ``"nested"`` (pairs of vocabulary words are made inside the
-    row; of the corpus only partial counts are shuffled), ``"marked"`` (positions
-    of vocabulary words are found by a join, lines are put together again from
-    those, and pairs are made inside them), ``"band_join"`` (tokens are joined by
-    line and position, for cross-checks) or ``"auto"``, which is nested as far
+    row; of the corpus only partial counts are shuffled), ``"marked"`` (frequent
+    words are looked up in the row, others that are not in the vocabulary are
+    found by a join and sent to their lines, and pairs are made inside those),
+    ``"band_join"`` (tokens of the marked lines are joined by line and buckets of
+    positions, for cross-checks) or ``"auto"``, which is nested as far
     as that goes: a vocabulary short enough becomes literals, and a longer one
     a filter with exceptions (``membership``), for which the corpus is reduced to
     its distinct words first. A vocabulary too long even for that takes the
@@ -128,27 +133,32 @@ def _count(
         raise ValueError("the distance is at least 1")
     if strategy not in STRATEGIES or preagg not in ("task", "line"):
         raise ValueError(f"unknown strategy {strategy!r} or preagg {preagg!r}")
+    if isinstance(vocabulary, DataFrame):
+        # Computed once, and of known size; stored before its length is known, since to find that out is to compute it.
+        vocabulary = stored(vocabulary.select("word").where("word IS NOT NULL").distinct(), "vocabulary")
     words = as_literals(vocabulary) if strategy in ("auto", "nested") else None
     if words is not None:
         words = [word for word in words if word]
-    if words is None:
-        if not isinstance(vocabulary, DataFrame):
-            vocabulary = word_frame(lines.sparkSession, vocabulary)
-        # Computed once, and of known size.
-        vocabulary = stored(vocabulary.select("word").where("word IS NOT NULL").distinct(), "vocabulary")
+    elif not isinstance(vocabulary, DataFrame):
+        vocabulary = stored(word_frame(lines.sparkSession, vocabulary), "vocabulary")
     if required and (vocabulary.isEmpty() if words is None else not words):
         raise ValueError("the vocabulary is empty")
     if words is not None:
         wanted = (lambda w: w.isin(*words)) if words else (lambda w: F.lit(False))
         return _nested(lines, wanted, distance, text, profile, preagg, seen)
-    if strategy == "band_join":
-        return _band_join(lines, vocabulary, distance, text, profile, preagg, key, seen)
-    if strategy != "marked":
-        tokens = lines.select(F.explode(raw_tokens(F.col(text), profile)).alias("word")).where("word != ''")
-        wanted = membership(tokens.distinct(), vocabulary.where("word != ''"))
+    if strategy == "band_join" and not key:
+        raise ValueError("the band join needs columns that identify a line")
+    tokens = lines.select(F.explode(raw_tokens(F.col(text), profile)).alias("word")).where("word != ''")
+    # Read several times: for the test in the row, and for the lists of the marked way.
+    corpus_words = stored(tokens.groupBy("word").agg(F.count("*").alias("n")), "corpus")
+    if strategy not in ("marked", "band_join"):
+        wanted = membership(corpus_words, vocabulary.where("word != ''"))
         if wanted is not None:
             return _nested(lines, lambda w: (w != "") & wanted(w), distance, text, profile, preagg, seen)
-    return _marked(lines, vocabulary, distance, text, profile, preagg, seen)
+    marked, wanted = _marked(lines, corpus_words, vocabulary, text, profile, key if strategy == "band_join" else ())
+    if strategy == "band_join":
+        return _band_join(marked, wanted, distance, text, profile, preagg, key, seen)
+    return _nested(marked, wanted, distance, text, profile, preagg, seen, keep=["_others"])
 
 
 def _ordered(a: Column, b: Column) -> Column:
@@ -167,69 +177,115 @@ def _nested(
     profile: TokenProfile,
     preagg: str,
     seen: bool,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Pairs of the words that are wanted, from array expressions inside the row."""
-    tokens = lines.select(raw_tokens(F.col(text), profile).alias("tokens"))
-    known = F.col("tokens")
-    kept = F.array_remove(F.transform(known, lambda w, i: F.when(wanted(w), i).otherwise(-1)), -1)
+    """Pairs of the words that are wanted, from array expressions inside the row; the test may read the ``keep`` columns."""
+    tokens = lines.select(*keep, raw_tokens(F.col(text), profile).alias("tokens"))
+    rows = tokens.select(_kept(wanted).alias("kept"))
 
     # Any two kept positions within the distance have fewer than `distance` kept
     # positions between them, so the next `distance` entries are all candidates.
-    def ahead(p: Column, i: Column) -> Column:
-        near = F.filter(F.slice("kept", i + 2, F.lit(distance)), lambda q: q - p <= distance)
-        return F.transform(near, lambda q: _ordered(F.get(known, p), F.get(known, q)))
-
-    found = F.flatten(F.transform("kept", ahead))
-    if seen:
-        found = F.concat(found, F.array_distinct(F.transform("kept", lambda p: _alone(F.get(known, p)))))
-    rows = tokens.select("tokens", kept.alias("kept"))
     if preagg == "line":
+
+        def ahead(p: Column, i: Column) -> Column:
+            near = F.filter(F.slice("kept", i + 2, F.lit(distance)), lambda q: q["pos"] - p["pos"] <= distance)
+            return F.transform(near, lambda q: _ordered(p["w"], q["w"]))
+
+        found = F.flatten(F.transform("kept", ahead))
+        if seen:
+            found = F.concat(found, F.array_distinct(F.transform("kept", lambda p: _alone(p["w"]))))
         counted = explode_runs(rows, found, name="pair", count="n")
         return counted.groupBy("pair.lo", "pair.hi").agg(F.sum("n").alias("n"))
-    return rows.select(F.inline(found)).groupBy("lo", "hi").agg(F.count("*").alias("n"))
+    # A word with its candidates is a row, so that pairs are made in generated code and not in lambdas.
+    near = F.transform("kept", lambda p, i: F.slice("kept", i + 1, F.lit(distance + 1)))
+    words = rows.select(F.explode(near).alias("near"))
+    first = F.get("near", F.lit(0))
+    pairs = words.select(
+        first["pos"].alias("p"), first["w"].alias("a"), F.inline(F.slice("near", 2, distance)).alias("q", "b")
+    )
+    found = pairs.where(F.col("q") - F.col("p") <= distance).select("a", "b")
+    if seen:
+        found = found.unionByName(words.select(first["w"].alias("a"), F.lit(None).cast("string").alias("b")))
+    return _in_pairs(found).groupBy("lo", "hi").agg(F.count("*").alias("n"))
 
 
-def _marked(
-    lines: DataFrame, vocabulary: DataFrame, distance: int, text: str, profile: TokenProfile, preagg: str, seen: bool
-) -> DataFrame:
-    """Pairs of the words of a table: positions of its words, put together again by line.
+def _kept(wanted: Callable[[Column], Column]) -> Column:
+    """``pos, w`` of the wanted words of the array ``tokens``, in order."""
+    known = F.transform("tokens", lambda w, i: F.when(wanted(w), F.struct(i.alias("pos"), w.alias("w"))))
+    return F.filter(known, lambda t: t.isNotNull())
+
+
+def _in_pairs(found: DataFrame, *keep: str) -> DataFrame:
+    """``lo, hi`` of the words ``a, b``. A word that was only seen has none beside it."""
+    a, b = F.col("a"), F.col("b")
+    return found.select(F.least(a, b).alias("lo"), F.when(b.isNotNull(), F.greatest(a, b)).alias("hi"), *keep)
 
-    Other words go before anything is paired. A line is known by two hashes of
-    its text: lines of equal text are one, with the number of times it occurs.
+
+def _marked(
+    lines: DataFrame,
+    corpus_words: DataFrame,
+    vocabulary: DataFrame,
+    text: str,
+    profile: TokenProfile,
+    key: Sequence[str],
+) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """Lines with the words that are not in the vocabulary as ``_others``, and the test for words of these lines.
+
+    The most frequent words of the corpus are looked up in the row, and filters
+    settle some others. The rest is joined with the corpus words that are not in
+    the vocabulary, and what is found there goes to its line. Lines are known by
+    a short hash: where two have the same, each gets the words of both, and as
+    no such word is in the vocabulary, that changes nothing.
     """
     body = F.col(text)
-    line = [F.xxhash64(body).alias("k1"), F.xxhash64(F.lit("line"), body).alias("k2")]
-    tokens = lines.select(*line, F.posexplode(raw_tokens(body, profile)).alias("pos", "w")).where("w != ''")
-    sample = some_rows(lines, text).select(F.explode(raw_tokens(body, profile)).alias("w")).where("w != ''")
-    counted = sample.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(HOT_WORDS)
-    is_hot = word_set([row["w"] for row in counted.collect()])
-    # Only tokens that a filter lets through are joined, and those of a hot word with one of many copies of it.
-    likely = tokens.where(bloom_filter(vocabulary, vocabulary.count())(F.col("w")))
-    some = F.pmod(F.xxhash64("k1", "pos"), F.lit(SALTS)).cast("int")
-    salted = likely.withColumn("salt", F.when(is_hot(F.col("w")), some).otherwise(0))
+    words = corpus_words.join(vocabulary.withColumn("member", F.lit(True)), "word", "left")
+    words = stored(words.select("word", "n", F.col("member").isNotNull().alias("member")), "words")
+    frequent = words.orderBy(F.desc("n"), "word").limit(wordlists.LITERAL_WORDS).collect()
+    is_known = word_set([row["word"] for row in frequent])
+    is_known_other = word_set([row["word"] for row in frequent if not row["member"]])
+    rest = words
+    if frequent:
+        last = frequent[-1]
+        rest = words.where((F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("word") > last["word"])))
+    members, others = rest.where("member"), rest.where("NOT member")
+    tokens_of = {row["member"]: row["n"] for row in rest.groupBy("member").agg(F.sum("n").alias("n")).collect()}
+    may_be_other = _filter(others)
+    # A filter of the members, frequent ones included, spares tokens where most of them are no members.
+    may_be_member = lambda word: F.lit(True)
+    if tokens_of.get(False, 0) > tokens_of.get(True, 0):
+        may_be_member = _filter(words.where("member"))
+    hot = others.orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()
+    is_hot = word_set([row["word"] for row in hot])
+
+    def doubtful(word: Column) -> Column:
+        return (word != "") & ~is_known(word) & may_be_member(word) & may_be_other(word)
+
+    full, line = lines.where(body != ""), F.hash(body)
+    in_doubt = F.array_distinct(F.filter(raw_tokens(body, profile), doubtful))
+    likely = full.select(line.alias("line_hash"), F.explode(in_doubt).alias("word"))
+    # Those of a hot word are joined with one of many copies of it.
+    salted = likely.withColumn("salt", F.when(is_hot(F.col("word")), F.pmod("line_hash", F.lit(SALTS))).otherwise(0))
     copies = F.when(is_hot(F.col("word")), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    words = vocabulary.select(F.col("word").alias("w"), F.explode(copies).alias("salt"))
-    kept = salted.join(words, ["w", "salt"], "left_semi")
-    # A set, so that a line that occurs often is no longer than the line.
-    rows = kept.groupBy("k1", "k2").agg(F.collect_set(F.struct("pos", "w")).alias("kept"), F.count("*").alias("n"))
-    rows = rows.select(F.sort_array("kept").alias("kept"), F.expr("n div size(kept)").alias("m"))
+    found = salted.join(others.select("word", F.explode(copies).alias("salt")), ["word", "salt"], "left_semi")
+    by_line = found.groupBy("line_hash").agg(F.collect_set("word").alias("_others"))
+    marked = full.select(*key, body.alias(text), line.alias("line_hash")).join(by_line, "line_hash", "left")
 
-    def ahead(p: Column, i: Column) -> Column:
-        near = F.filter(F.slice("kept", i + 2, F.lit(distance)), lambda q: q["pos"] - p["pos"] <= distance)
-        return F.transform(near, lambda q: _ordered(p["w"], q["w"]))
+    def wanted(word: Column) -> Column:
+        other = is_known_other(word) | F.coalesce(F.array_contains("_others", word), F.lit(False))
+        return (word != "") & may_be_member(word) & ~other
+
+    return marked, wanted
 
-    found = F.flatten(F.transform("kept", ahead))
-    if seen:
-        found = F.concat(found, F.array_distinct(F.transform("kept", lambda p: _alone(p["w"]))))
-    if preagg == "line":
-        counted = explode_runs(rows, found, name="pair", count="c", keep=["m"])
-        return counted.groupBy("pair.lo", "pair.hi").agg(F.sum(F.col("c") * F.col("m")).alias("n"))
-    return rows.select("m", F.inline(found)).groupBy("lo", "hi").agg(F.sum("m").alias("n"))
+
+def _filter(words: DataFrame) -> Callable[[Column], Column]:
+    """A Bloom filter of the words, or one that lets all through where they are too many for it."""
+    n = words.count()
+    return bloom_filter(words, n) if USEFUL_BITS * n <= 64 * MAX_BLOCKS else lambda word: F.lit(True)
 
 
 def _band_join(
     lines: DataFrame,
-    vocabulary: DataFrame,
+    wanted: Callable[[Column], Column],
     distance: int,
     text: str,
     profile: TokenProfile,
@@ -237,30 +293,33 @@ def _band_join(
     key: Sequence[str],
     seen: bool,
 ) -> DataFrame:
-    """Equi-join on line and position bucket.
+    """Equi-join on line and bucket of positions.
 
-    Buckets are as wide as the distance, so a word meets at most two buckets
-    of words and a long line is spread over many keys.
+    The words of a bucket are one row, with nulls in the places of others. They
+    meet those of the bucket and the first ones after it; buckets are as wide as
+    the distance at least, and a long line is spread over many keys.
     """
-    key = list(key)
-    if not key:
-        raise ValueError("the band join needs columns that identify a line")
-    tokens = lines.select(*key, F.posexplode(raw_tokens(F.col(text), profile)).alias("pos", "w")).where("w != ''")
-    kept = tokens.join(vocabulary.select(F.col("word").alias("w")), "w", "left_semi")
-    bucket = F.expr(f"pos div {int(distance)}")
-    left = kept.select(*key, bucket.alias("bucket"), F.col("pos").alias("p"), F.col("w").alias("a"))
-    right = kept.select(
-        *key, F.explode(F.array(bucket, bucket - 1)).alias("bucket"), F.col("pos").alias("q"), F.col("w").alias("b")
-    )
-    gap = F.col("q") - F.col("p")
-    found = left.join(right, [*key, "bucket"]).where((gap > 0) & (gap <= distance))
-    rows = found.select(*key, _ordered(F.col("a"), F.col("b")).alias("pair"))
+    key, width = list(key), max(BAND, distance)
+    tokens = F.transform(raw_tokens(F.col(text), profile), lambda w: F.when(wanted(w), w))
+    rows = lines.select(*key, tokens.alias("tokens"))
+    starts = F.sequence(F.lit(1), F.size("tokens"), F.lit(width))
+
+    def buckets(n: int) -> Column:
+        return F.posexplode(F.transform(starts, lambda start: F.slice("tokens", start, n)))
+
+    left = rows.select(*key, buckets(width).alias("bucket", "here"))
+    right = rows.select(*key, buckets(width + distance).alias("bucket", "there"))
+    both = left.join(right, [*key, "bucket"])
+    words = both.select(*key, F.posexplode("here").alias("p", "a"), "there").where("a IS NOT NULL")
+    pairs = words.select(*key, "a", F.explode(F.slice("there", F.col("p") + 2, F.lit(distance))).alias("b"))
+    found = pairs.where("b IS NOT NULL")
     if seen:
-        rows = rows.unionByName(kept.select(*key, _alone(F.col("w")).alias("pair")))
+        alone = rows.select(*key, F.explode(F.array_distinct("tokens")).alias("a")).where("a IS NOT NULL")
+        found = found.unionByName(alone.select(*key, "a", F.lit(None).cast("string").alias("b")))
     if preagg == "line":
-        per_line = rows.groupBy(*key, "pair").agg(F.count("*").alias("n"))
-        return per_line.groupBy("pair.lo", "pair.hi").agg(F.sum("n").alias("n"))
-    return rows.groupBy("pair.lo", "pair.hi").agg(F.count("*").alias("n"))
+        per_line = found.groupBy(*key, "a", "b").agg(F.count("*").alias("n"))
+        return _in_pairs(per_line, "n").groupBy("lo", "hi").agg(F.sum("n").alias("n"))
+    return _in_pairs(found).groupBy("lo", "hi").agg(F.count("*").alias("n"))
 
 
 def _mirror(counted: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 
 from lexmill.functions.formats import stripe_text
 from lexmill.functions.text import PAIRS
+from lexmill.operators import cooccur
 from lexmill.operators.cooccur import merge_pairs, merge_stripes, pairs, stripes
 from lexmill.sources import wordlists
 from pyspark.sql import functions as F
@@ -197,3 +198,29 @@ def test_parts_merge_to_the_whole(spark):
     merged = merge_stripes([stripes(p, words, 1, keep_empty=True) for p in parts])
     expected = stripes(whole, words, 1, keep_empty=True)
     assert {r.w: r.stripe for r in merged.collect()} == {r.w: r.stripe for r in expected.collect()}
+
+
+@pytest.mark.parametrize("strategy", ["marked", "band_join"])
+@pytest.mark.parametrize("filters", [True, False])
+def test_only_doubtful_words_are_joined(spark, monkeypatch, strategy, filters):
+    """No token with its place meets the vocabulary in a join: rare words that may be others go there, once a line."""
+    monkeypatch.setattr(wordlists, "LITERAL_WORDS", 2)
+    if not filters:
+        monkeypatch.setattr(cooccur, "MAX_BLOCKS", 0)
+    texts = [f"the of w{chr(97 + i % 26)} the x{chr(97 + i % 7)}y the" for i in range(60)] + ["", None, "the " * 50]
+    known = {"the", *(f"w{chr(97 + i)}" for i in range(26))}
+    vocabulary = spark.createDataFrame([(w,) for w in sorted(known)], "word string")
+    for distance in (1, 3, 20):
+        found = pairs(lines(spark, *texts), vocabulary, distance, strategy=strategy, key=["id"])
+        plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        at = next(i for i, line in enumerate(plan) if "Join LeftSemi" in line)
+        depth = plan[at].index("Join")
+        below = "\n".join(line for line in plan[at + 1 : at + 8] if len(line) - len(line.lstrip(" :+-")) > depth)
+        assert "explode(array_distinct(filter(" in below and "posexplode" not in below
+        assert as_dict(found) == window_pairs([t for t in texts if t], known, distance)
+
+
+def test_a_bucket_of_words_is_one_row_of_the_band_join(spark):
+    found = pairs(lines(spark, "a b " * 100), ["a", "b"], 2, strategy="band_join", key=["id"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(tokens" in plan and as_dict(found) == window_pairs(["a b " * 100], {"a", "b"}, 2)
