@@ -490,9 +490,11 @@ def tfidf_of_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _line_files(spark: SparkSession, sf: str) -> str:
-    """All lines, in the order of documents and places, in several files."""
+    """All lines, in the order of documents and places, in four files or as many as their bytes ask for."""
     path = scratch_path(spark, "ordered")
-    write_sorted_tsv(numbered_lines(spark, sf), path, "line", key=["doc_id", "line_no"], files=4)
+    n_bytes = texts(spark, sf).agg(F.sum(F.octet_length("text")).cast("bigint")).first()[0] or 0
+    files = max(4, -(-n_bytes // FILE_BYTES))
+    write_sorted_tsv(numbered_lines(spark, sf), path, "line", key=["doc_id", "line_no"], files=files)
     return path
 
 

@@ -183,6 +183,17 @@ def test_document_files_are_bounded(spark, tmp_path, monkeypatch):
     assert [sorted(map(tuple, q(spark, str(tmp_path)).collect())) for q in queries] == want
 
 
+def test_line_files_are_as_many_as_their_bytes_ask_for(spark, tmp_path, monkeypatch):
+    rows = [(i, f"some words of line {i}\nsecond {i}") for i in range(2000)] + [(None, None), (2001, "")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = sorted(map(tuple, registry.src_numbered_lines(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(registry, "FILE_BYTES", 4_000)
+    files = corpus.read_lines(spark, registry._line_files(spark, str(tmp_path))).select("_metadata.file_path").distinct().count()
+    assert files >= 10
+    assert sorted(map(tuple, registry.src_numbered_lines(spark, str(tmp_path)).collect())) == want
+    assert [line for _, line in want][:3] == ["some words of line 0", "second 0", "some words of line 1"]
+
+
 @pytest.fixture
 def small_splits(spark):
     """Splits of 2 KB, and no packing of files beyond that."""
