@@ -38,10 +38,14 @@ def frequent_stems(df: DataFrame, text: str, profile: TokenProfile) -> Callable[
     return word_map({row["term"]: row["stem"] for row in stem_words(words.select("term")).collect()})
 
 
-def read_stems(spark: SparkSession, path: str) -> DataFrame:
-    """The stem dictionary at ``path``, ``term, stem``; an empty one if there is none yet."""
+def read_stems(spark: SparkSession, path: str, *, distinct: bool = True) -> DataFrame:
+    """The stem dictionary at ``path``, ``term, stem``; an empty one if there is none yet.
+
+    Without ``distinct``, words that two updates appended at once are there twice.
+    """
     try:
-        return spark.read.schema(DICTIONARY).parquet(path).dropDuplicates(["term"])
+        found = spark.read.schema(DICTIONARY).parquet(path)
+        return found.dropDuplicates(["term"]) if distinct else found
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -55,8 +59,10 @@ def update_stems(words: DataFrame, path: str) -> DataFrame:
     appends nothing, and words that two updates append at once count once when read.
     """
     spark = words.sparkSession
-    known = read_stems(spark, path).select("term")
-    unseen = words.select("term").where("term IS NOT NULL").distinct().join(known, "term", "left_anti")
+    known = read_stems(spark, path, distinct=False).select("term", F.lit(True).alias("known"))
+    # One aggregation in place of distinct words and a join: a task need not hold its words in a hash table and sorted, too.
+    both = words.select("term", F.lit(False).alias("known")).where("term IS NOT NULL").unionByName(known)
+    unseen = both.groupBy("term").agg(F.max("known").alias("known")).where("NOT known").select("term")
     stem_words(unseen).write.mode("append").parquet(path)
     return read_stems(spark, path)
 

@@ -62,6 +62,16 @@ def test_dictionary_grows_by_new_words(spark, tmp_path):
     assert spark.read.parquet(path).count() == stems.update_stems(grown.select("term"), path).count() == 2
 
 
+def test_new_words_are_found_without_a_join(spark, tmp_path, monkeypatch):
+    path, joins = str(tmp_path / "stems"), []
+    stem_words = stems.stem_words
+    monkeypatch.setattr(stems, "stem_words", lambda w: joins.append(w._jdf.queryExecution().optimizedPlan().toString()) or stem_words(w))
+    for words in (["cats", "runs", None], ["cats", "dogs", "dogs", None]):
+        found = stems.update_stems(spark.createDataFrame([(w,) for w in words], "term string"), path)
+    assert sorted(map(tuple, found.collect())) == [("cats", "cat"), ("dogs", "dog"), ("runs", "run")]
+    assert len(joins) == 2 and not any("Join" in plan for plan in joins)
+
+
 def test_no_stemming_above_the_text(spark, docs):
     table = spark.createDataFrame([("cat", 4), ("dog", 1)], "term string, df bigint")
     found = frequency.term_frequency(docs, stem=True, stop=["the"], df_table=table, row_is_document=True, profile=TF)
