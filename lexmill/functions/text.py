@@ -155,10 +155,10 @@ def add_runs(
 
     def total(end: Column, i: Column) -> Column:
         start = F.coalesce(F.get("_ends", i - 1), F.lit(0))
+        last = F.get("_items", end - 1)
         run = F.slice("_items", start + 1, end - start)
-        return F.struct(
-            F.get("_items", end - 1)[name].alias(name),
-            F.aggregate(run, F.lit(0).cast("bigint"), lambda a, x: a + x[count]).alias(count),
-        )
+        added = F.aggregate(run, F.lit(0).cast("bigint"), lambda a, x: a + x[count])
+        # Most runs are of one element.
+        return F.struct(last[name].alias(name), F.when(end - start == 1, last[count]).otherwise(added).alias(count))
 
     return rows, F.transform("_ends", total)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.formats import COLLECTION_SIZE
@@ -17,9 +17,13 @@ from lexmill.functions.text import TF, TokenProfile, add_runs
 from lexmill.operators.counts import without_stop_words
 from lexmill.operators.frequency import row_cells, scores, split_table
 from lexmill.operators.stems import attach_stems
+from lexmill.sources import wordlists
 from lexmill.sources.sinks import stored
 from lexmill.sources.wordlists import as_literals
 
+# Share of the documents that tell which terms are frequent.
+SOME_DOCUMENTS = 0.1
+
 
 def forward_index(
     df: DataFrame,
@@ -67,9 +71,33 @@ def index_words(index: DataFrame) -> DataFrame:
 
 
 def stemmed_index(index: DataFrame, stems: DataFrame, *, doc: str = "doc_id", min_stem_len: int = 1, root: str | None = None) -> DataFrame:
-    """The index of the stems, from a table ``term, stem`` that may be partial; stored, so that stems are applied once."""
-    found = attach_stems(_entries(index, doc), stems, "term").where(F.length("term") >= min_stem_len)
-    return stored(_grouped(found, ["_row", doc], doc), "stemmed", root)
+    """The index of the stems, from a table ``term, stem`` that may be partial; stored, so that stems are applied once.
+
+    Stems of terms that are frequent in some documents are looked up in the row,
+    at most LITERAL_WORDS of them; only entries of other terms are joined. Which
+    terms these are decides on speed only.
+    """
+    stems = stored(stems.select("term", "stem"), "stems", root)
+    some = index_document_frequency(index.sample(SOME_DOCUMENTS, seed=0))
+    frequent = some.orderBy(F.desc("df"), "term").limit(wordlists.LITERAL_WORDS)
+    near = attach_stems(frequent.select("term", F.col("term").alias("stem")), stems, "stem").collect()
+    stem_of = word_map({row["term"]: row["stem"] for row in near})
+    rows = index.select(F.monotonically_increasing_id().alias("_row"), doc, "terms")
+
+    def with_stem(cell: Column) -> Column:
+        return F.struct(stem_of(cell["term"]).alias("term"), cell["tf"].alias("tf"))
+
+    # The index is stored, so its rows have the same numbers each time it is read. Null stems are those of other terms.
+    known = F.filter(F.transform("terms", with_stem), lambda c: F.length(c["term"]) >= min_stem_len)
+    others = rows.select("_row", doc, F.inline(F.filter("terms", lambda c: stem_of(c["term"]).isNull())))
+    found = attach_stems(others, stems, "term").where(F.length("term") >= min_stem_len)
+    one = F.array(F.struct("term", "tf"))
+    cells = rows.select("_row", doc, known.alias("_part")).unionByName(found.select("_row", doc, one.alias("_part")))
+    lists = cells.groupBy("_row", doc).agg(F.flatten(F.collect_list("_part")).alias("_cells"))
+    # A generator drops documents without a term.
+    summed, terms = add_runs(lists, F.col("_cells"), name="term", count="tf", keep=[doc])
+    whole = summed.select(doc, terms.alias("terms"))
+    return stored(whole.select(doc, F.explode(F.when(F.size("terms") > 0, F.array("terms"))).alias("terms")), "stemmed", root)
 
 
 def index_document_frequency(index: DataFrame) -> DataFrame:

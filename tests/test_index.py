@@ -72,6 +72,22 @@ def test_new_words_are_found_without_a_join(spark, tmp_path, monkeypatch):
     assert len(joins) == 2 and not any("Join" in plan for plan in joins)
 
 
+@pytest.mark.parametrize("limit", [0, 2, 10_000])
+def test_stems_of_frequent_terms_are_not_joined(spark, docs, monkeypatch, limit):
+    """Whatever part of the terms is looked up in the row, partial stem tables and one-letter stems included."""
+    index = I.forward_index(docs)
+    table = spark.createDataFrame([("cats", "cat"), ("dogs", "d"), ("run", None)], "term string, stem string")
+    want = [(1, "cat", 1), (1, "cat", 2), (1, "dog", 1), (1, "ran", 1), (1, "run", 1), (1, "the", 1), (2, "b2b", 1), (2, "cat", 3), (3, "the", 2)]
+    monkeypatch.setattr(wordlists, "LITERAL_WORDS", limit)
+    monkeypatch.setattr(I, "SOME_DOCUMENTS", 1.0)
+    joined, attach = [], I.attach_stems
+    monkeypatch.setattr(I, "attach_stems", lambda tokens, *rest: joined.append(tokens.count()) or attach(tokens, *rest))
+    found = I.index_term_frequency(I.stemmed_index(index, table, min_stem_len=2))
+    assert sorted(map(tuple, found.collect())) == want
+    # The frequent terms, and the entries of all others.
+    assert joined == {0: [0, 12], 2: [2, 7], 10_000: [8, 0]}[limit]
+
+
 def test_no_stemming_above_the_text(spark, docs):
     table = spark.createDataFrame([("cat", 4), ("dog", 1)], "term string, df bigint")
     found = frequency.term_frequency(docs, stem=True, stop=["the"], df_table=table, row_is_document=True, profile=TF)
