@@ -84,11 +84,10 @@ def _row_terms(
         return df.select(*keep, F.explode(terms).alias("term"))
     stem_of = frequent_stems(df, text, profile)
     rows = df.select(*keep, terms.alias("_terms"))
-    rows = rows.select(
-        *keep,
-        F.transform("_terms", stem_of).alias("_stems"),
-        F.filter("_terms", lambda w: stem_of(w).isNull()).alias("_words"),
-    )
+    # Looked up once; words without a stem there are known by their places.
+    rows = rows.select(*keep, "_terms", F.transform("_terms", stem_of).alias("_stems"))
+    words = F.filter("_terms", lambda w, i: F.get("_stems", i).isNull())
+    rows = rows.select(*keep, "_stems", words.alias("_words"))
     known = F.filter("_stems", lambda s: s.isNotNull())
     stemmed = F.filter(F.concat(known, porter_array("_words")), lambda s: F.length(s) >= profile.min_stem_len)
     return rows.select(*keep, F.explode(F.array_distinct(stemmed)).alias("term"))
