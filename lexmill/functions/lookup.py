@@ -6,6 +6,7 @@ can use them, where a join cannot go. Their sizes are bounded by their callers.
 
 from __future__ import annotations
 
+import itertools
 import json
 import zlib
 from collections.abc import Callable, Mapping, Sequence
@@ -38,6 +39,57 @@ def word_map(values: Mapping[str, object], kind: str = "string") -> Callable[[Co
     return find
 
 
+def _murmur3(data: bytes) -> int:
+    """What ``hash`` gives for a text of these bytes: Murmur3 of 32 bits, with what is left of the last four byte by byte."""
+
+    def rotated(x: int, by: int) -> int:
+        return (x << by | x >> (32 - by)) & 0xFFFFFFFF
+
+    whole, h = len(data) - len(data) % 4, 42
+    parts = [int.from_bytes(data[k : k + 4], "little") for k in range(0, whole, 4)]
+    # Bytes are signed there.
+    for part in [*parts, *((x - 256 if x > 127 else x) & 0xFFFFFFFF for x in data[whole:])]:
+        h ^= rotated(part * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
+        h = (rotated(h, 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
+    h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
+    return h ^ h >> 16
+
+
+def word_table(values: Mapping[str, str]) -> Callable[[Column], Column]:
+    """As ``word_map``, for the sides of a join that should be one shuffle.
+
+    Spark does a shuffle once for equal plans only, and literals are equal if
+    they are arrays, but never if they are maps. So there is one table of the words
+    and one of their values.
+    """
+    n = 1 << max(0, len(values) - 1).bit_length()
+    words: list[list[str]] = [[] for _ in range(n)]
+    # Nothing stands in the place 0, which a word has that is not there.
+    found: list[list[str | None]] = [[None] for _ in range(n)]
+    for word, value in values.items():
+        bucket = _murmur3(word.encode()) % n
+        words[bucket].append(word)
+        found[bucket].append(value)
+    all_words, all_found = (F.from_json(F.lit(json.dumps(x)), "array<array<string>>") for x in (words, found))
+
+    def find(word: Column) -> Column:
+        bucket = F.hash(word).bitwiseAND(F.lit(n - 1))
+        return F.get(F.get(all_found, bucket), F.array_position(F.get(all_words, bucket), word))
+
+    return find
+
+
+def short_codes(words: Sequence[str], *, without: str) -> dict[str, str]:
+    """A code of a few ASCII characters for each word, the shorter the earlier; no code holds a character of ``without``."""
+    signs = [chr(k) for k in range(33, 127) if chr(k) not in without]
+    codes, size = (), 1
+    while len(words) > len(codes):
+        codes, size = [*codes, *map("".join, itertools.islice(itertools.product(signs, repeat=size), len(words)))], size + 1
+    return dict(zip(words, codes, strict=False))
+
+
 def word_set(words: Sequence[str]) -> Callable[[Column], Column]:
     """A function that tells whether a word is one of ``words``."""
     if not words:

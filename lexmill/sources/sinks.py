@@ -91,8 +91,23 @@ def scratch_path(spark: SparkSession, name: str, root: str | None = None) -> str
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# With this setting Spark removes what a query shuffled when the query ends, not when the driver's garbage is collected.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
-    """Write ``df`` to a fresh table in the scratch folder and read it back: what follows does not compute it again."""
-    path = scratch_path(df.sparkSession, name, root)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to a fresh table in the scratch folder and read it back: what follows does not compute it again.
+
+    Nothing that was shuffled to compute it is left on the executors' disks.
+    """
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name, root), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
